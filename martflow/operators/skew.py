@@ -1,0 +1,78 @@
+"""Keeping one very frequent key from filling one task.
+
+An inner or left join of two plain scans needs nothing: adaptive execution
+splits its skewed partitions. It cannot do so where the frequent key sits on
+the side that is not preserved, or where joins on the same key are chained, so
+there the key's rows are spread over ``SALTS`` partitions by hand.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# A key is frequent if it holds more than this share of all rows, so there are
+# fewer than 1 / HOT_SHARE such keys whatever the data size ...
+HOT_SHARE = 1 / 2000
+# ... and more rows than one task handles with ease.
+HOT_ROWS = 1_000_000
+# Partitions a frequent key is spread over.
+SALTS = 256
+
+
+def rows_per_key(df: DataFrame, key: str, share: float = HOT_SHARE, floor: int = HOT_ROWS) -> DataFrame:
+    """``(key, is_hot)`` with one row per key of ``df``."""
+    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    limit = counts.agg(F.greatest(F.sum("_rows") * F.lit(share), F.lit(float(floor))).alias("limit")).scalar()
+    return counts.select(key, (F.col("_rows") > limit).alias("is_hot"))
+
+
+def salted(df: DataFrame, is_hot: Column, spread_by: list[str], salts: int = SALTS) -> DataFrame:
+    """Add ``_salt``: a number from the row's other columns for frequent keys, else 0."""
+    chunk = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
+    return df.withColumn("_salt", F.when(is_hot, chunk).otherwise(0))
+
+
+def replicated(df: DataFrame, is_hot: Column, salts: int = SALTS) -> DataFrame:
+    """Add ``_salt``, repeating rows of frequent keys once per salt."""
+    every = F.sequence(F.lit(0), F.lit(salts - 1))
+    return df.withColumn("_salt", F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0)))))
+
+
+def left_join_spread(
+    one: DataFrame,
+    many: DataFrame,
+    key: str,
+    many_key: str,
+    spread_by: list[str],
+    keys: DataFrame | None = None,
+    salts: int = SALTS,
+) -> DataFrame:
+    """``one LEFT JOIN many`` for a unique ``one.key`` and any skew of ``many_key``.
+
+    Equal to the plain left join: every row of ``one`` without a match gives a
+    single row. The column names of the two sides must differ. ``keys`` is
+    ``rows_per_key`` of ``many``, or of a frame with the same keys and at least
+    as many rows that is cheaper to count. Frequent keys are looked up by a
+    broadcast whose size ``HOT_SHARE`` bounds.
+    """
+    if keys is None:
+        keys = rows_per_key(many, many_key)
+    hot = keys.filter("is_hot").select(F.col(many_key).alias("_hot_key"))
+    spread_many = salted(
+        many.join(F.broadcast(hot), F.col(many_key) == F.col("_hot_key"), "left"),
+        F.col("_hot_key").isNotNull(),
+        spread_by,
+        salts,
+    ).withColumnRenamed("_salt", "_many_salt")
+
+    known = one.join(keys.withColumnRenamed(many_key, "_known_key"), F.col(key) == F.col("_known_key"), "left")
+    spread_one = replicated(known, F.coalesce("is_hot", F.lit(False)), salts)
+    joined = spread_one.join(
+        spread_many,
+        (F.col(key) == F.col(many_key)) & (F.col("_salt") == F.col("_many_salt")),
+        "left",
+    )
+    # A copy of a frequent key whose salt drew no row is not a missing match.
+    real = F.col(many_key).isNotNull() | F.col("_known_key").isNull()
+    return joined.filter(real).select(*one.columns, *many.columns)

@@ -1,0 +1,68 @@
+"""Every registered query against DuckDB on the same tables."""
+
+from __future__ import annotations
+
+import datetime
+import math
+import os
+
+import duckdb
+import pytest
+
+from __spark_entry__ import entry, oracle_sql, queries
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+TABLES = "region nation customer supplier part orders lineitem events".split()
+TYPES = {
+    "BIGINT": "bigint",
+    "INTEGER": "int",
+    "DOUBLE": "double",
+    "VARCHAR": "string",
+    "DATE": "date",
+    "BOOLEAN": "boolean",
+}
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF_DIR}/{t}.parquet'")
+    return con
+
+
+def plain(value):
+    if isinstance(value, datetime.datetime):
+        return value.date() if value.time() == datetime.time() else value
+    return value
+
+
+def sorted_rows(rows):
+    return sorted(([plain(v) for v in r] for r in rows), key=lambda r: [(v is None, str(v)) for v in r])
+
+
+def test_every_query_has_sql():
+    assert set(queries()) == set(oracle_sql())
+
+
+def test_entry_is_a_lazy_frame(spark):
+    assert entry(spark).columns[0] == "customer_key"
+
+
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_query_matches_sql(spark, duck, name):
+    df = queries()[name](spark, SF_DIR)
+    columns = sorted(df.columns)
+    result = duck.sql(oracle_sql()[name])
+    assert sorted(result.columns) == columns
+    kinds = dict(zip(result.columns, map(str, result.types)))
+    assert {c: TYPES[kinds[c]] for c in columns} == {c: t for c, t in df.dtypes}
+    actual = sorted_rows(df.select(columns).collect())
+    expected = sorted_rows(result.select(*[f'"{c}"' for c in columns]).fetchall())
+    assert len(actual) == len(expected)
+    for got, want in zip(actual, expected):
+        for g, w in zip(got, want):
+            if isinstance(w, float) and g is not None:
+                assert math.isclose(g, w, rel_tol=1e-12), (name, got, want)
+            else:
+                assert g == w, (name, got, want)
