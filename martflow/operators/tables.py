@@ -95,13 +95,16 @@ def upsert_dimension(spark: SparkSession, mart: str, name: str, source: DataFram
 
 
 def _by_month(df: DataFrame, schema: StructType) -> DataFrame:
-    return conform(df, schema).withColumn(MONTH, month_key(F.col("time_key")))
+    """Rows with their month, gathered for writing.
+
+    Rebalancing puts a month in as few files as its size needs and splits a
+    month that is too large for one task.
+    """
+    return conform(df, schema).withColumn(MONTH, month_key(F.col("time_key"))).hint("rebalance", MONTH)
 
 
 def _write_fact(by_month: DataFrame, path: str, mode: str, **options: str) -> None:
-    # Rebalancing gathers a month in as few files as its size needs and splits
-    # a month that is too large for one task.
-    by_month.hint("rebalance", MONTH).write.mode(mode).options(**options).partitionBy(MONTH).parquet(path)
+    by_month.write.mode(mode).options(**options).partitionBy(MONTH).parquet(path)
 
 
 def read_fact(spark: SparkSession, path: str, name: str, since: date | None = None) -> DataFrame:

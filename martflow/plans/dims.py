@@ -20,14 +20,15 @@ def calendar(spark: SparkSession, first_day: Column, days: int = CALENDAR_DAYS)
     """One row per day from ``first_day``, which may be a literal or a scalar subquery.
 
     Built on a row range, so the optimizer knows its exact size and can decide
-    by itself to broadcast it.
+    by itself to broadcast it. One partition: the rows are few, however many
+    cores the cluster has.
     """
     day = F.date_add(first_day, F.col("id").cast("int"))
-    return spark.range(days).select(day.alias("date"))
+    return spark.range(0, days, 1, numPartitions=1).select(day.alias("date")).filter("date is not null")
 
 
 def dim_time(sales: DataFrame, days: int = CALENDAR_DAYS) -> DataFrame:
-    """Calendar from the first order. Later days than ``days`` have no row."""
+    """Calendar from the first order, ``days`` days long; empty if there is no order."""
     first_order = sales.agg(F.min(F.to_date("order_date"))).scalar()
     return time_attributes(calendar(sales.sparkSession, first_order, days))
 

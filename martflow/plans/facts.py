@@ -24,6 +24,17 @@ def sales_window(sales: DataFrame, since: date | None = None, as_of: date | None
     return in_window(sales.withColumn("order_date", F.to_date("order_date")), "order_date", since=since, as_of=as_of)
 
 
+def sale_product_window(
+    sale_product: DataFrame, sales: DataFrame, since: date | None = None, as_of: date | None = None
+) -> DataFrame:
+    """Lines whose order is in the window.
+
+    For extracting lines alone; ``fct_sales`` needs no such step, because its
+    join with the window's orders keeps the same lines.
+    """
+    return sale_product.join(sales_window(sales, since, as_of).select("sales_id"), "sales_id", "left_semi")
+
+
 def with_time_key(df: DataFrame, dim_time: DataFrame, day: str = "order_date") -> DataFrame:
     """Look up ``time_key``; NULL for a day outside the calendar."""
     lookup = dim_time.select(F.col("date").alias("_calendar_day"), "time_key")

@@ -88,6 +88,10 @@ def staged_table(spark: SparkSession, staging: str, name: str) -> DataFrame:
     return spark.read.schema(MART_TABLES[name]).parquet(f"{staging}/{name}")
 
 
+def staged_tables(spark: SparkSession, staging: str) -> dict[str, DataFrame]:
+    return {name: staged_table(spark, staging, name) for name in MART_TABLES}
+
+
 def load_mart(spark: SparkSession, staging: str, mart: str, replace_since: date | None = None) -> RunReport:
     """Upsert the staged dimensions, then append the staged facts.
 
@@ -115,19 +119,3 @@ def mart_tables(spark: SparkSession, mart: str) -> dict[str, DataFrame]:
     """All tables of a loaded mart, ready for checks and reports."""
     tables = {name: read_dimension(spark, mart, name) for name in DIMENSIONS}
     return tables | {name: read_fact(spark, f"{mart}/{name}", name) for name in FACTS}
-
-
-def planned_tables(source: RetailSource) -> dict[str, DataFrame]:
-    """The same tables as lazy plans over the source, without writing anything."""
-    dim_time = dims.dim_time(source.sales)
-    dim_customer = dims.dim_customer(source.customer)
-    return {
-        "dim_time": dim_time,
-        "dim_customer": dim_customer,
-        "dim_product": dims.dim_product(source.product, source.sale_product),
-        "dim_location": dims.dim_location(source.locations),
-        "fct_sales": facts.fct_sales(source.sales, source.sale_product, dim_time),
-        "fct_marketing": facts.fct_marketing(
-            dim_customer, source.sales, facts.visits(source.web_visit), dim_time
-        ),
-    }

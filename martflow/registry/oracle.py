@@ -342,6 +342,12 @@ WHERE registered > DATE '{PRODUCT_AFTER}'""",
             LINES,
             select="""SELECT * REPLACE (CAST(subtotal AS DOUBLE) AS subtotal, CAST(ratings AS DOUBLE) AS ratings)
 FROM sale_product""",
+        ),
+        "sale_product_since": with_tables(
+            SALES,
+            LINES,
+            select=f"""SELECT * REPLACE (CAST(subtotal AS DOUBLE) AS subtotal, CAST(ratings AS DOUBLE) AS ratings)
+FROM sale_product WHERE sales_id IN (SELECT sales_id FROM sales WHERE order_date >= DATE '{SALES_DAY}')""",
         ),
         "fct_sales": whole_sales,
         "fct_sales_since": with_tables(*SALES_BASE, fct_sales(SINCE), select="SELECT * FROM fct_sales"),

@@ -19,7 +19,7 @@ from martflow.operators.tables import append_fact, month_start, read_fact, repla
 from martflow.operators.upsert import scd1_changes, scd1_counts
 from martflow.operators.windows import in_window
 from martflow.plans import dims, facts, reports
-from martflow.plans.mart import planned_tables
+from martflow.plans.mart import build_mart, staged_tables
 from martflow.schemas import MART_TABLES, VISITS
 from martflow.session import scratch_dir
 from martflow.sources.cache import read_or_build
@@ -108,6 +108,13 @@ def sale_product_scan(spark, sf_dir):
     return _shown(retail_source(spark, sf_dir).sale_product, "subtotal", "ratings")
 
 
+@query
+def sale_product_since(spark, sf_dir):
+    source = retail_source(spark, sf_dir)
+    lines = facts.sale_product_window(source.sale_product, source.sales, since=SALES_DAY)
+    return _shown(lines, "subtotal", "ratings")
+
+
 # --- facts --------------------------------------------------------------------
 
 
@@ -398,9 +405,16 @@ def check_calendar(spark, sf_dir):
     return checks.calendar_gaps(ordered)
 
 
+def _staged_mart(spark, sf_dir) -> dict[str, DataFrame]:
+    """All mart tables, written once: the checks scan each of them several times."""
+    staging = _scratch(spark, "staging")
+    build_mart(retail_source(spark, sf_dir), staging)
+    return staged_tables(spark, staging)
+
+
 @query
 def check_fk(spark, sf_dir):
-    return checks.foreign_keys(planned_tables(retail_source(spark, sf_dir)))
+    return checks.foreign_keys(_staged_mart(spark, sf_dir))
 
 
 @query
@@ -412,7 +426,7 @@ def check_fk_orphans(spark, sf_dir):
 
 @query
 def check_suite(spark, sf_dir):
-    return checks.check_suite(planned_tables(retail_source(spark, sf_dir)))
+    return checks.check_suite(_staged_mart(spark, sf_dir))
 
 
 # --- reports ------------------------------------------------------------------------

@@ -9,6 +9,7 @@ that does not parse fails the read.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from martflow.schemas import conform
@@ -24,6 +25,9 @@ DIALECT = {
     "ignoreTrailingWhiteSpace": "false",
 }
 
+# Stands for a quoted empty field while reading: Spark would take it for NULL.
+_EMPTY = "\u0001empty\u0001"
+
 # Spark's name for a first column with a blank header.
 INDEX_COLUMN = "_c0"
 
@@ -42,13 +46,15 @@ def _header(spark: SparkSession, path: str) -> list[str]:
 def _parse(
     spark: SparkSession, path: str, schema: StructType, multiline: bool, check_header: bool = True
 ) -> DataFrame:
-    return (
+    parsed = (
         spark.read.schema(schema)
-        .options(**DIALECT, emptyValue="", mode="FAILFAST")
+        .options(**DIALECT, emptyValue=_EMPTY, mode="FAILFAST")
         .option("multiLine", multiline)
         .option("enforceSchema", not check_header)
         .csv(path)
     )
+    text = [f.name for f in schema if f.dataType == StringType()]
+    return parsed.withColumns({c: F.when(F.col(c) == _EMPTY, "").otherwise(F.col(c)) for c in text})
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType, multiline: bool = False) -> DataFrame:
