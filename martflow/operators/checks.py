@@ -6,12 +6,13 @@ shuffled, so a repeated value costs no more than a rare one.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martflow.functions.text import NOT_BLANK, POSTAL_CODE
 from martflow.schemas import FOREIGN_KEYS, PRIMARY_KEYS, ForeignKey
 
 
@@ -32,25 +33,43 @@ def key_violations(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("copies")).filter((F.col("copies") > 1) | unknown)
 
 
-def _per_column(df: DataFrame, tests: Mapping[str, Column], count_name: str) -> DataFrame:
-    """One pass over ``df`` that counts a condition per column; one row per column."""
-    counted = df.agg(
-        F.count(F.lit(1)).alias("checked_rows"),
-        *[F.count_if(test).alias(name) for name, test in tests.items()],
-    )
-    return counted.unpivot("checked_rows", list(tests), "column", count_name).select(
-        "column", "checked_rows", count_name
+def _counted(df: DataFrame, tests: Mapping[tuple[str, ...], Column], *names: str) -> DataFrame:
+    """Count conditions in one pass over ``df``; one labelled row per condition.
+
+    ``tests`` maps labels (one per name in ``names``) to a condition.
+    """
+    rows = F.count(F.lit(1))
+    findings = F.array(
+        *[
+            F.struct(
+                *[F.lit(text).alias(name) for name, text in zip(names, labels)],
+                rows.alias("checked_rows"),
+                F.count_if(test).alias("failed_rows"),
+            )
+            for labels, test in tests.items()
+        ]
     )
+    return df.agg(findings.alias("findings")).select(F.inline("findings"))
+
+
+def _is_missing(columns: Sequence[str]) -> dict[str, Column]:
+    return {c: F.col(c).isNull() for c in columns}
+
+
+def _is_misformatted(rules: Mapping[str, str]) -> dict[str, Column]:
+    return {c: ~F.col(c).cast("string").rlike(pattern) for c, pattern in rules.items()}
 
 
 def missing_values(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """NULLs per column."""
-    return _per_column(df, {c: F.col(c).isNull() for c in columns or df.columns}, "missing_rows")
+    tests = {(c,): test for c, test in _is_missing(columns or df.columns).items()}
+    return _counted(df, tests, "column").withColumnRenamed("failed_rows", "missing_rows")
 
 
 def format_violations(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     """Known values per column that do not match the column's regular expression."""
-    return _per_column(df, {c: ~F.col(c).cast("string").rlike(p) for c, p in rules.items()}, "bad_rows")
+    tests = {(c,): test for c, test in _is_misformatted(rules).items()}
+    return _counted(df, tests, "column").withColumnRenamed("failed_rows", "bad_rows")
 
 
 def misformatted_rows(df: DataFrame, column: str, pattern: str) -> DataFrame:
@@ -91,35 +110,68 @@ def orphan_keys(fact: DataFrame, column: str, dimension: DataFrame, key: str) ->
     return used.join(parents, F.col(column) == F.col("_parent_key"), "left_anti")
 
 
-def foreign_keys(
-    tables: Mapping[str, DataFrame], keys: Sequence[ForeignKey] = FOREIGN_KEYS
-) -> DataFrame:
-    """One row per foreign key: fact rows with a known key, and those without a parent."""
-
-    def test(fk: ForeignKey) -> DataFrame:
-        used = (
-            tables[fk.fact]
-            .filter(F.col(fk.column).isNotNull())
-            .groupBy(F.col(fk.column).alias("_key"))
-            .agg(F.count(F.lit(1)).alias("_rows"))
-        )
-        parents = (
-            tables[fk.dimension].select(F.col(PRIMARY_KEYS[fk.dimension]).alias("_parent")).distinct()
-        )
-        joined = used.join(parents, F.col("_key") == F.col("_parent"), "left")
-        orphaned = F.when(F.col("_parent").isNull(), F.col("_rows")).otherwise(0)
-        return joined.agg(
-            F.coalesce(F.sum("_rows"), F.lit(0)).alias("checked_rows"),
-            F.coalesce(F.sum(orphaned), F.lit(0)).alias("orphan_rows"),
-        ).select(
-            F.lit(fk.fact).alias("fact"),
-            F.lit(fk.column).alias("column"),
-            F.lit(fk.dimension).alias("dimension"),
-            "checked_rows",
-            "orphan_rows",
-        )
-
-    return union_all([test(fk) for fk in keys])
+def _dimension_keys(tables: Mapping[str, DataFrame], dimensions: Iterable[str]) -> DataFrame:
+    """``(dimension, dimension_key, copies)`` over several dimensions."""
+    keys = [
+        tables[d].select(F.lit(d).alias("dimension"), F.col(PRIMARY_KEYS[d]).cast("bigint").alias("dimension_key"))
+        for d in dimensions
+    ]
+    return union_all(keys).groupBy("dimension", "dimension_key").agg(F.count(F.lit(1)).alias("copies"))
+
+
+def _used_keys(tables: Mapping[str, DataFrame], keys: Sequence[ForeignKey]) -> DataFrame:
+    """``(fk, referred, key, fact_rows)``: known fact keys with their number of rows."""
+
+    def unfolded(fact: str) -> DataFrame:
+        pairs = [
+            F.struct(
+                F.lit(i).alias("fk"), F.lit(fk.dimension).alias("referred"), F.col(fk.column).cast("bigint").alias("key")
+            )
+            for i, fk in enumerate(keys)
+            if fk.fact == fact
+        ]
+        return tables[fact].select(F.inline(F.array(*pairs))).filter(F.col("key").isNotNull())
+
+    facts = list(dict.fromkeys(fk.fact for fk in keys))
+    return (
+        union_all([unfolded(f) for f in facts])
+        .groupBy("fk", "referred", "key")
+        .agg(F.count(F.lit(1)).alias("fact_rows"))
+    )
+
+
+def foreign_keys(tables: Mapping[str, DataFrame], keys: Sequence[ForeignKey] = FOREIGN_KEYS) -> DataFrame:
+    """One row per foreign key: fact rows with a known key, and those without a parent.
+
+    Each fact is read once for all its keys, and its rows are folded to one per
+    key value before the shuffle; the dimensions join that small result.
+    """
+    parents = _dimension_keys(tables, dict.fromkeys(fk.dimension for fk in keys))
+    joined = _used_keys(tables, keys).join(
+        parents,
+        (F.col("referred") == F.col("dimension")) & (F.col("key") == F.col("dimension_key")),
+        "left",
+    )
+
+    def total(number: int, orphans_only: bool) -> Column:
+        of_this_key = F.col("fk") == number
+        if orphans_only:
+            of_this_key &= F.col("dimension").isNull()
+        return F.coalesce(F.sum(F.when(of_this_key, F.col("fact_rows"))), F.lit(0))
+
+    findings = F.array(
+        *[
+            F.struct(
+                F.lit(fk.fact).alias("fact"),
+                F.lit(fk.column).alias("column"),
+                F.lit(fk.dimension).alias("dimension"),
+                total(i, orphans_only=False).alias("checked_rows"),
+                total(i, orphans_only=True).alias("orphan_rows"),
+            )
+            for i, fk in enumerate(keys)
+        ]
+    )
+    return joined.agg(findings.alias("findings")).select(F.inline("findings"))
 
 
 # --- one table with the outcome of every check --------------------------------
@@ -134,16 +186,16 @@ REQUIRED_COLUMNS: dict[str, tuple[str, ...]] = {
     "fct_marketing": ("customer_key", "location_key", "time_key"),
 }
 FORMATS: dict[str, dict[str, str]] = {
-    "dim_location": {"postal_code": "^[0-9]{5}$"},
-    "dim_customer": {"name": "\\S"},
-    "dim_product": {"product_name": "\\S"},
+    "dim_location": {"postal_code": POSTAL_CODE},
+    "dim_customer": {"name": NOT_BLANK},
+    "dim_product": {"product_name": NOT_BLANK},
 }
 
 
-def _finding(df: DataFrame, table: str, check: str, column: Column, failed: str) -> DataFrame:
+def _finding(df: DataFrame, table: Column, check: Column, column: Column, failed: str = "failed_rows") -> DataFrame:
     return df.select(
-        F.lit(table).alias("table"),
-        F.lit(check).alias("check"),
+        table.alias("table"),
+        check.alias("check"),
         column.alias("column"),
         F.col("checked_rows").cast("bigint").alias("checked_rows"),
         F.col(failed).cast("bigint").alias("failed_rows"),
@@ -151,17 +203,52 @@ def _finding(df: DataFrame, table: str, check: str, column: Column, failed: str)
     )
 
 
-def _copies_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows, surplus copies and rows with an unknown key part, from one grouping."""
-    unknown = reduce(Column.__or__, [F.col(c).isNull() for c in columns])
-    grouped = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
-    return grouped.agg(
-        F.coalesce(F.sum("_copies"), F.lit(0)).alias("checked_rows"),
-        F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("surplus_rows"),
-        F.coalesce(F.sum(F.when(unknown, F.col("_copies")).otherwise(F.col("_copies") - 1)), F.lit(0)).alias(
-            "key_failures"
-        ),
+def _column_findings(df: DataFrame, table: str, required: Sequence[str], rules: Mapping[str, str]) -> DataFrame:
+    """Missing values and formats of a table from a single pass."""
+    tests = {("missing", c): test for c, test in _is_missing(required).items()}
+    tests |= {("format", c): test for c, test in _is_misformatted(rules).items()}
+    return _finding(_counted(df, tests, "check", "column"), F.lit(table), F.col("check"), F.col("column"))
+
+
+def _duplicate_findings(df: DataFrame, table: str) -> DataFrame:
+    copies = df.groupBy(df.columns).agg(F.count(F.lit(1)).alias("copies"))
+    total = copies.agg(
+        F.coalesce(F.sum("copies"), F.lit(0)).alias("checked_rows"),
+        F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("failed_rows"),
+    )
+    return _finding(total, F.lit(table), F.lit("duplicates"), F.lit("*"))
+
+
+def _key_findings(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Uniqueness of every primary key, from one grouping of all of them."""
+    keys = _dimension_keys(tables, PRIMARY_KEYS)
+    surplus = F.when(F.col("dimension_key").isNull(), F.col("copies")).otherwise(F.col("copies") - 1)
+
+    def total(value: Column, dimension: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("dimension") == dimension, value)), F.lit(0))
+
+    findings = F.array(
+        *[
+            F.struct(
+                F.lit(d).alias("table"),
+                F.lit(key).alias("column"),
+                total(F.col("copies"), d).alias("checked_rows"),
+                total(surplus, d).alias("failed_rows"),
+            )
+            for d, key in PRIMARY_KEYS.items()
+        ]
     )
+    counted = keys.agg(findings.alias("findings")).select(F.inline("findings"))
+    return _finding(counted, F.col("table"), F.lit("unique"), F.col("column"))
+
+
+def _calendar_findings(dim_time: DataFrame) -> DataFrame:
+    span = F.datediff(F.max("date"), F.min("date")) + 1
+    counted = dim_time.agg(
+        F.count(F.lit(1)).alias("checked_rows"),
+        F.coalesce(span - F.count_distinct("date"), F.lit(0)).alias("failed_rows"),
+    )
+    return _finding(counted, F.lit("dim_time"), F.lit("complete"), F.lit("date"))
 
 
 def check_suite(
@@ -174,44 +261,19 @@ def check_suite(
 
     ``duplicates`` counts copies beyond the first of equal rows, ``unique``
     copies beyond the first of a key plus rows with a NULL key, ``missing``
-    NULLs, ``format`` values that do not match, ``complete`` calendar gaps and
-    ``foreign_key`` fact rows whose known key has no parent. A format is tested
-    on known values only.
+    NULLs, ``format`` known values that do not match, ``complete`` days missing
+    from the calendar and ``foreign_key`` fact rows whose known key has no
+    parent. Pass stored tables: each is scanned a few times.
     """
-    findings = []
-    for table in unique_rows:
-        df = tables[table]
-        findings.append(
-            _finding(_copies_summary(df, df.columns), table, "duplicates", F.lit("*"), "surplus_rows")
-        )
-    for table, key in PRIMARY_KEYS.items():
-        findings.append(
-            _finding(_copies_summary(tables[table], [key]), table, "unique", F.lit(key), "key_failures")
-        )
-    for table, columns in required.items():
-        findings.append(
-            _finding(missing_values(tables[table], columns), table, "missing", F.col("column"), "missing_rows")
-        )
-    for table, rules in formats.items():
-        findings.append(
-            _finding(format_violations(tables[table], rules), table, "format", F.col("column"), "bad_rows")
-        )
-    days = tables["dim_time"].agg(F.count(F.lit(1)).alias("checked_rows"))
-    gaps = calendar_gaps(tables["dim_time"]).agg(F.count(F.lit(1)).alias("gap_days"))
-    findings.append(
-        _finding(
-            days.withColumn("gap_days", gaps.scalar()), "dim_time", "complete", F.lit("date"), "gap_days"
-        )
-    )
-    fks = foreign_keys(tables)
+    findings = [_duplicate_findings(tables[t], t) for t in unique_rows]
+    findings.append(_key_findings(tables))
+    findings += [
+        _column_findings(tables[t], t, required.get(t, ()), formats.get(t, {}))
+        for t in tables
+        if required.get(t) or formats.get(t)
+    ]
+    findings.append(_calendar_findings(tables["dim_time"]))
     findings.append(
-        fks.select(
-            F.col("fact").alias("table"),
-            F.lit("foreign_key").alias("check"),
-            "column",
-            F.col("checked_rows").cast("bigint").alias("checked_rows"),
-            F.col("orphan_rows").cast("bigint").alias("failed_rows"),
-            (F.col("orphan_rows") == 0).alias("passed"),
-        )
+        _finding(foreign_keys(tables), F.col("fact"), F.lit("foreign_key"), F.col("column"), failed="orphan_rows")
     )
     return union_all(findings)

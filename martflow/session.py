@@ -28,6 +28,8 @@ def local_session(cpus: int = 8, app_name: str = "martflow", **extra: str) -> Sp
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Noting the Python line of every column costs more than small queries do.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for name, value in {**SETTINGS, **extra}.items():
         builder = builder.config(name, value)
