@@ -1,0 +1,108 @@
+"""Frequent keys: same results, work spread over tasks."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from frames import rows
+from martflow.operators import skew
+from martflow.plans import facts
+
+
+@pytest.fixture(scope="module")
+def one(spark):
+    return spark.range(6).select(F.col("id").alias("k"), (F.col("id") * 10).alias("extra"))
+
+
+def many_rows(spark, counts):
+    """``counts[key]`` rows per key, numbered."""
+    frames = [spark.range(n).select(F.lit(k).cast("long").alias("m"), F.col("id").alias("n")) for k, n in counts.items()]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.union(f)
+    return out
+
+
+@pytest.mark.parametrize(
+    "counts, floor",
+    [
+        ({1: 500, 2: 3, 7: 4}, 50),  # one frequent key, one unknown to the other side
+        ({1: 500, 2: 400, 3: 5}, 50),
+        ({1: 3, 2: 2}, 1),  # frequent keys with fewer rows than salts
+        ({1: 3, 2: 2}, 10**6),  # none
+        ({7: 900}, 50),  # only an unmatched frequent key
+    ],
+)
+def test_spread_join_equals_the_left_join(spark, one, counts, floor):
+    many = many_rows(spark, counts)
+    keys = skew.rows_per_key(many, "m", share=0.01, floor=floor)
+    spread = skew.left_join_spread(one, many, "k", "m", ["n"], keys=keys, salts=16)
+    assert rows(spread) == rows(one.join(many, one.k == many.m, "left"))
+
+
+def test_null_keys_match_nothing(spark, one):
+    many = many_rows(spark, {1: 100}).union(spark.sql("select cast(null as long), id from range(100)"))
+    keys = skew.rows_per_key(many, "m", share=0.01, floor=10)
+    spread = skew.left_join_spread(one, many, "k", "m", ["n"], keys=keys, salts=4)
+    assert rows(spread) == rows(one.join(many, one.k == many.m, "left"))
+
+
+def test_default_needs_no_key_counts(spark, one):
+    many = many_rows(spark, {1: 5, 2: 1})
+    assert rows(skew.left_join_spread(one, many, "k", "m", ["n"])) == rows(one.join(many, one.k == many.m, "left"))
+
+
+def test_only_keys_above_the_share_are_frequent(spark):
+    many = many_rows(spark, {1: 600, 2: 300, 3: 100})
+    assert rows(skew.rows_per_key(many, "m", share=0.25, floor=10)) == [(1, True), (2, True), (3, False)]
+    assert rows(skew.rows_per_key(many, "m", share=0.25, floor=400)) == [(1, True), (2, False), (3, False)]
+
+
+def test_a_key_with_a_third_of_the_rows_is_spread_evenly(spark):
+    many = many_rows(spark, {k: 2000 if k == 1 else 40 for k in range(1, 101)})
+    hot = F.col("m") == 1
+    sizes = skew.salted(many, hot, ["n"], salts=64).groupBy("m", "_salt").count().agg(F.max("count")).first()[0]
+    assert sizes <= 80
+
+
+def _final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_adaptive_execution_splits_a_frequent_order(spark):
+    """One order with a third of the lines: its partition of the join is split."""
+    n = 40000
+    lines = spark.range(0, n, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("sales_id"),
+        (F.col("id") % 50).alias("product_id"),
+        F.lit(1).alias("quantity"),
+        F.lit(1).cast("decimal(18,2)").alias("subtotal"),
+    )
+    sales = spark.range(n).select(
+        F.col("id").alias("sales_id"),
+        (F.col("id") % 100).alias("customer_id"),
+        F.lit(1).alias("ship_to"),
+        F.lit("2024-01-01").cast("date").alias("order_date"),
+    )
+    calendar = spark.sql("select date'2024-01-01' date, 20240101 time_key")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        fact = facts.fct_sales(sales, lines, calendar)
+        assert "skew=true" in _final_plan(fact)
+        totals = fact.agg(F.sum("quantity")).first()[0]
+        kept = facts.fct_sales_all_lines(sales, lines, calendar)
+        assert "skew=true" in _final_plan(kept)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert totals == n
