@@ -20,6 +20,12 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return exists(spark, f"{path}/_SUCCESS")
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Stored bytes at or below ``path``; 0 if it does not exist."""
+    fs, handle = _open(spark, path)
+    return fs.getContentSummary(handle).getLength() if fs.exists(handle) else 0
+
+
 def folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly below ``path``."""
     fs, handle = _open(spark, path)

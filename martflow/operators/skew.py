@@ -20,8 +20,12 @@ HOT_ROWS = 1_000_000
 SALTS = 256
 
 
-def rows_per_key(df: DataFrame, key: str, share: float = HOT_SHARE, floor: int = HOT_ROWS) -> DataFrame:
-    """``(key, is_hot)`` with one row per key of ``df``."""
+def rows_per_key(df: DataFrame, key: str, share: float = HOT_SHARE, floor: int | None = None) -> DataFrame:
+    """``(key, is_hot)`` with one row per key of ``df``.
+
+    A key is hot above both ``share`` of all rows and ``floor`` (``HOT_ROWS``) rows.
+    """
+    floor = HOT_ROWS if floor is None else floor
     counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
     limit = counts.agg(F.greatest(F.sum("_rows") * F.lit(share), F.lit(float(floor))).alias("limit")).scalar()
     return counts.select(key, (F.col("_rows") > limit).alias("is_hot"))

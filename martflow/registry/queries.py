@@ -384,11 +384,13 @@ def check_format_rows(spark, sf_dir):
 @query
 def check_completeness(spark, sf_dir):
     """Orders without lines, and customers who never visited."""
-    source = retail_source(spark, sf_dir)
-    no_lines = checks.parents_without_children(source.sales, "sales_id", source.sale_product, "sales_id")
-    no_visit = checks.parents_without_children(source.customer, "customer_id", source.web_visit, "customer_id")
-    return no_lines.select(F.lit("order without lines").alias("finding"), F.col("sales_id").alias("key")).union(
-        no_visit.select(F.lit("customer without visits"), "customer_id")
+    orders, lineitem, customer, events = (
+        open_table(spark, sf_dir, name) for name in ("orders", "lineitem", "customer", "events")
+    )
+    no_lines = checks.parents_without_children(orders, "o_orderkey", lineitem, "l_orderkey")
+    no_visit = checks.parents_without_children(customer, "c_custkey", events, "user_id")
+    return no_lines.select(F.lit("order without lines").alias("finding"), F.col("o_orderkey").alias("key")).union(
+        no_visit.select(F.lit("customer without visits"), "c_custkey")
     )
 
 

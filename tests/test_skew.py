@@ -69,22 +69,9 @@ def _final_plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_adaptive_execution_splits_a_frequent_order(spark):
-    """One order with a third of the lines: its partition of the join is split."""
-    n = 40000
-    lines = spark.range(0, n, 1, 8).select(
-        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("sales_id"),
-        (F.col("id") % 50).alias("product_id"),
-        F.lit(1).alias("quantity"),
-        F.lit(1).cast("decimal(18,2)").alias("subtotal"),
-    )
-    sales = spark.range(n).select(
-        F.col("id").alias("sales_id"),
-        (F.col("id") % 100).alias("customer_id"),
-        F.lit(1).alias("ship_to"),
-        F.lit("2024-01-01").cast("date").alias("order_date"),
-    )
-    calendar = spark.sql("select date'2024-01-01' date, 20240101 time_key")
+@pytest.fixture
+def large_data_settings(spark):
+    """Thresholds scaled down, so that small data is planned like large data."""
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
@@ -94,15 +81,68 @@ def test_adaptive_execution_splits_a_frequent_order(spark):
         "spark.sql.shuffle.partitions": "16",
     }
     before = {k: spark.conf.get(k) for k in settings}
-    try:
-        for k, v in settings.items():
-            spark.conf.set(k, v)
-        fact = facts.fct_sales(sales, lines, calendar)
-        assert "skew=true" in _final_plan(fact)
-        totals = fact.agg(F.sum("quantity")).first()[0]
-        kept = facts.fct_sales_all_lines(sales, lines, calendar)
-        assert "skew=true" in _final_plan(kept)
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
-    assert totals == n
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+N = 40000
+
+
+def orders(spark, customer):
+    return spark.range(0, N, 1, 8).select(
+        F.col("id").alias("sales_id"),
+        customer.alias("customer_id"),
+        F.lit(1).alias("ship_to"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 700).cast("int")).alias("order_date"),
+        F.lit(1).cast("decimal(18,2)").alias("total"),
+    )
+
+
+def test_adaptive_execution_splits_a_frequent_order(spark, large_data_settings):
+    """One order with a third of the lines: its partition of the join is split."""
+    lines = spark.range(0, N, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("sales_id"),
+        (F.col("id") % 50).alias("product_id"),
+        F.lit(1).alias("quantity"),
+        F.lit(1).cast("decimal(18,2)").alias("subtotal"),
+    )
+    sales = orders(spark, F.col("id") % 100)
+    calendar = spark.sql("select date'2024-01-01' date, 20240101 time_key")
+    fact = facts.fct_sales(sales, lines, calendar)
+    assert "skew=true" in _final_plan(fact)
+    assert fact.agg(F.sum("quantity")).first()[0] == N
+    kept = facts.fct_sales_all_lines(sales, lines, calendar)
+    assert "skew=true" in _final_plan(kept)
+    assert kept.agg(F.sum("quantity")).first()[0] == N
+
+
+def test_a_join_before_a_grouping_on_the_same_key_is_split_too(spark, large_data_settings):
+    """One customer with a third of the orders, looked up and then grouped by."""
+    sales = orders(spark, F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id"))).drop("ship_to")
+    people = spark.range(-1, N).select(F.col("id").alias("person"), (F.col("id") % 25).alias("ship_to"))
+    daily = facts.orders_by_customer_day(sales.join(people, F.col("customer_id") == F.col("person"), "left"))
+    assert "skew=true" in _final_plan(daily)
+    assert daily.agg(F.sum("orders")).first()[0] == N
+
+
+def test_marketing_with_a_frequent_customer(spark, large_data_settings, monkeypatch):
+    """One customer with a third of the orders and of the visits."""
+    monkeypatch.setattr(skew, "HOT_ROWS", 100)
+    sales = orders(spark, F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")))
+    customers = spark.range(0, N + 5).select(F.col("id").alias("customer_key"))
+    web = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("customer_id"),
+        F.lit("2024-01-01").cast("timestamp").alias("time_visit"),
+    )
+    calendar = spark.sql("select date'2024-01-01' date, 20240101 time_key")
+    fact = facts.fct_marketing(customers, sales, facts.visits(web), calendar)
+    days = facts.orders_by_customer_day(sales)
+    quiet = customers.join(sales, F.col("customer_key") == F.col("customer_id"), "left_anti").count()
+    assert fact.count() == days.count() + quiet
+    assert fact.filter("customer_key = 1").count() == days.filter("customer_id = 1").count() > 500
+    assert {r[0] for r in fact.filter("customer_key = 1").select("conversion_rate").distinct().collect()} <= {
+        n / 3001 for n in range(1, 40)
+    }

@@ -1,7 +1,7 @@
 import pytest
 
 from martflow.schemas import SOURCE_TABLES
-from martflow.session import scratch_dir
+from martflow.session import prepare, scratch_dir, shuffle_partitions
 from martflow.sources import jdbc, model
 
 
@@ -50,3 +50,17 @@ def test_database_source_splits_tables_with_bounds():
 
 def test_scratch_folder_comes_from_the_session(spark):
     assert scratch_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_shuffle_partitions_grow_with_the_input():
+    gib = 1024**3
+    assert shuffle_partitions(0, at_least=8) == 8
+    assert shuffle_partitions(10 * gib, at_least=8) == 80
+    assert shuffle_partitions(10 * gib, at_least=200) == 200
+    assert shuffle_partitions(100 * 1024 * gib, at_least=200) == 50_000
+
+
+def test_prepare_keeps_a_session_that_is_large_enough(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    prepare(spark, "/root/testdata/sf0.001/orders.parquet", "/no/such/folder")
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
