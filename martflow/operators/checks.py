@@ -120,13 +120,14 @@ def _dimension_keys(tables: Mapping[str, DataFrame], dimensions: Iterable[str])
 
 
 def _used_keys(tables: Mapping[str, DataFrame], keys: Sequence[ForeignKey]) -> DataFrame:
-    """``(fk, referred, key, fact_rows)``: known fact keys with their number of rows."""
+    """``(fk, key, fact_rows, referred)``: known fact keys with their number of rows.
+
+    ``fk`` is the position in ``keys``, ``referred`` its dimension.
+    """
 
     def unfolded(fact: str) -> DataFrame:
         pairs = [
-            F.struct(
-                F.lit(i).alias("fk"), F.lit(fk.dimension).alias("referred"), F.col(fk.column).cast("bigint").alias("key")
-            )
+            F.struct(F.lit(i).alias("fk"), F.col(fk.column).cast("bigint").alias("key"))
             for i, fk in enumerate(keys)
             if fk.fact == fact
         ]
@@ -135,8 +136,9 @@ def _used_keys(tables: Mapping[str, DataFrame], keys: Sequence[ForeignKey]) -> D
     facts = list(dict.fromkeys(fk.fact for fk in keys))
     return (
         union_all([unfolded(f) for f in facts])
-        .groupBy("fk", "referred", "key")
+        .groupBy("fk", "key")
         .agg(F.count(F.lit(1)).alias("fact_rows"))
+        .withColumn("referred", F.element_at(F.array(*[F.lit(fk.dimension) for fk in keys]), F.col("fk") + 1))
     )
 
 

@@ -63,9 +63,10 @@ def read_current(spark: SparkSession, path: str, schema: StructType) -> DataFram
 
 
 def expire_versions(spark: SparkSession, path: str, keep: int = 2) -> list[int]:
-    """Remove all but the last ``keep`` committed versions; returns the removed ones."""
-    committed = [n for n in _versions(spark, path) if files.is_complete(spark, f"{path}/v={n}")]
-    expired = committed[: max(len(committed) - max(keep, 1), 0)]
+    """Remove everything before the last ``keep`` committed versions; returns what went."""
+    versions = _versions(spark, path)
+    kept = [n for n in versions if files.is_complete(spark, f"{path}/v={n}")][-max(keep, 1) :]
+    expired = [n for n in versions if kept and n < kept[0]]
     for number in expired:
         files.remove(spark, f"{path}/v={number}")
     return expired
@@ -133,7 +134,8 @@ def replace_window(df: DataFrame, path: str, name: str, since: date) -> None:
     ``since`` must be the first of a month, because whole months are replaced,
     and ``df`` must be the fact built with that window. Months of the window
     that ``df`` no longer has are emptied. Rows without a time key count as
-    part of every window.
+    part of every window, so the calendar must reach into it: otherwise older
+    orders past the calendar would be among them but not in ``df``.
     """
     if since != month_start(since):
         raise ValueError(f"the window must start with a month: use {month_start(since)}")

@@ -18,6 +18,7 @@ from martflow.operators import files
 from martflow.operators.tables import (
     append_fact,
     create_mart,
+    expire_versions,
     month_start,
     read_dimension,
     read_fact,
@@ -92,20 +93,29 @@ def staged_tables(spark: SparkSession, staging: str) -> dict[str, DataFrame]:
     return {name: staged_table(spark, staging, name) for name in MART_TABLES}
 
 
-def load_mart(spark: SparkSession, staging: str, mart: str, replace_since: date | None = None) -> RunReport:
+def load_mart(
+    spark: SparkSession, staging: str, mart: str, replace_since: date | None = None, keep_versions: int = 5
+) -> RunReport:
     """Upsert the staged dimensions, then append the staged facts.
 
     Every input must be present and complete before anything is written. With
     ``replace_since`` the facts are replaced from the start of that month
     instead of appended; stage them with ``since=month_start(replace_since)``.
+    Rows without a time key, such as customers without orders in the window,
+    are then those of the last window.
     """
     absent = [n for n in (*DIMENSIONS, *FACTS) if not files.is_complete(spark, f"{staging}/{n}")]
     if absent:
         raise FileNotFoundError(f"not staged in {staging}: {', '.join(absent)}")
+    if replace_since is not None:
+        last_day = staged_table(spark, staging, "dim_time").agg(F.max("date")).first()[0]
+        if last_day is None or last_day < month_start(replace_since):
+            raise ValueError(f"the calendar ends on {last_day}, before the window; stage a longer one")
     create_mart(spark, mart)
     report = RunReport()
     for name in DIMENSIONS:
         report.changes[name] = upsert_dimension(spark, mart, name, staged_table(spark, staging, name))
+        expire_versions(spark, f"{mart}/{name}", keep_versions)
     for name in FACTS:
         staged = staged_table(spark, staging, name)
         if replace_since is None:

@@ -14,7 +14,7 @@ def jdbc_options(
     url: str,
     relation: str,
     split_column: str | None = None,
-    bounds: tuple[int, int] | None = None,
+    bounds: tuple | None = None,
     partitions: int = 64,
     **options: str,
 ) -> dict[str, str]:
@@ -32,6 +32,13 @@ def jdbc_options(
     return merged | options
 
 
+def key_range(spark: SparkSession, url: str, table: str, column: str, **options: str) -> tuple | None:
+    """Smallest and largest value of a column, found by the database; None if there is none."""
+    sql = f"SELECT min({column}) AS low, max({column}) AS high FROM {table}"
+    low, high = read_query(spark, url, sql, **options).first()
+    return None if low is None else (low, high)
+
+
 def read_table(spark: SparkSession, url: str, table: str, **split) -> DataFrame:
     """A whole table."""
     return spark.read.format("jdbc").options(**jdbc_options(url, table, **split)).load()

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from martflow.schemas import SOURCE_TABLES
-from martflow.sources.jdbc import read_table
+from martflow.sources.jdbc import key_range, read_table
 
 
 @dataclass(frozen=True)
@@ -34,40 +34,35 @@ def catalog_source(spark: SparkSession, database: str) -> RetailSource:
     return RetailSource(**{name: spark.table(f"{database}.{name}") for name in SOURCE_TABLES})
 
 
-# Key that splits each table evenly enough for parallel reads from a database.
+# What splits each table evenly for parallel reads from a database. Visits go by
+# time, because one customer may have very many.
 SPLIT_COLUMNS = {
     "sales": "sales_id",
     "sale_product": "sales_id",
     "customer": "customer_id",
     "product": "product_id",
     "locations": "location_id",
-    "web_visit": "customer_id",
+    "web_visit": "time_visit",
 }
 
 
 def database_source(
     spark: SparkSession,
     url: str,
-    bounds: dict[str, tuple[int, int]],
     partitions: int = 64,
+    bounds: dict[str, tuple] | None = None,
     **options: str,
 ) -> RetailSource:
-    """The source tables from a relational database.
+    """The source tables from a relational database, each read by ``partitions`` tasks.
 
-    ``bounds`` gives the key range per table. A table without bounds would be
-    read by a single task, so it must be left out on purpose: only tables in
-    ``bounds`` are split.
+    ``bounds`` gives the range of the split column per table; the database is
+    asked for the ones left out. Values outside the range are read too, by the
+    first and last task.
     """
     frames = {}
     for name in SOURCE_TABLES:
-        low_high = bounds.get(name)
-        frames[name] = read_table(
-            spark,
-            url,
-            name,
-            split_column=SPLIT_COLUMNS[name] if low_high else None,
-            bounds=low_high,
-            partitions=partitions,
-            **options,
-        )
+        column = SPLIT_COLUMNS[name]
+        span = (bounds or {}).get(name) or key_range(spark, url, name, column, **options)
+        split = {"split_column": column, "bounds": span, "partitions": partitions} if span else {}
+        frames[name] = read_table(spark, url, name, **split, **options)
     return RetailSource(**frames)

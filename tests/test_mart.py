@@ -81,6 +81,14 @@ def test_weekly_replacement_equals_one_full_run(spark, source, staged, tmp_path)
     assert rows(stored) == rows(mart.staged_table(spark, staging, "fct_sales"))
 
 
+def test_a_window_past_the_calendar_is_refused(spark, source, tmp_path):
+    staging = str(tmp_path / "staging")
+    mart.build_mart(source, staging, calendar_days=30)
+    with pytest.raises(ValueError, match="before the window"):
+        mart.load_mart(spark, staging, str(tmp_path / "mart"), replace_since=date(2000, 6, 15))
+    assert not (tmp_path / "mart").exists()
+
+
 def test_visits_are_stored_once_and_reused(spark, source, tmp_path):
     staging = str(tmp_path)
     mart.build_mart(source, staging)

@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from martflow.operators import skew
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events".split()
@@ -50,6 +51,36 @@ def test_entry_is_a_lazy_frame(spark):
 
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query_matches_sql(spark, duck, name):
+    compare(spark, duck, name)
+
+
+@pytest.fixture
+def large_plans(spark, monkeypatch):
+    """Plans as for large data: no broadcast by size, skewed partitions split, frequent keys spread."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    monkeypatch.setattr(skew, "HOT_ROWS", 1)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+@pytest.mark.parametrize(
+    "name", ["fct_sales", "fct_sales_sql", "fct_marketing", "dim_product", "scd1_customer", "check_fk", "report_retention"]
+)
+def test_query_matches_sql_with_large_plans(spark, duck, large_plans, name):
+    compare(spark, duck, name)
+
+
+def compare(spark, duck, name):
     df = queries()[name](spark, SF_DIR)
     columns = sorted(df.columns)
     result = duck.sql(oracle_sql()[name])

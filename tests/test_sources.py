@@ -17,9 +17,10 @@ def test_split_reads_name_their_bounds():
 class Reader:
     """Stands in for a session: records what would be read."""
 
-    def __init__(self):
+    def __init__(self, answer=(1, 10)):
         self.seen = []
         self.read = self
+        self.answer = answer
 
     def format(self, name):
         assert name == "jdbc"
@@ -30,24 +31,38 @@ class Reader:
         return self
 
     def load(self):
-        return self.seen[-1]["dbtable"]
+        return self
+
+    def first(self):
+        return self.answer
 
 
 def test_query_becomes_a_derived_table():
     reader = Reader()
-    assert jdbc.read_query(reader, "jdbc:x", " select 1;\n") == "(select 1) AS q"
+    jdbc.read_query(reader, "jdbc:x", " select 1;\n")
+    assert reader.seen[0]["dbtable"] == "(select 1) AS q"
 
 
-def test_database_source_splits_tables_with_bounds():
+def test_every_database_table_is_split():
     reader = Reader()
-    source = model.database_source(reader, "jdbc:x", {"sale_product": (1, 10)}, partitions=4, password="p")
-    assert source.sales == "sales"
-    split = {o["dbtable"]: o.get("partitionColumn") for o in reader.seen}
-    assert set(split) == set(SOURCE_TABLES)
-    assert {t for t, c in split.items() if c} == {"sale_product"}
+    model.database_source(reader, "jdbc:x", partitions=4, bounds={"sales": (5, 6)}, password="p")
+    tables = {o["dbtable"]: o for o in reader.seen if not o["dbtable"].startswith("(")}
+    assert set(tables) == set(SOURCE_TABLES)
+    assert {t: o["partitionColumn"] for t, o in tables.items()} == model.SPLIT_COLUMNS
+    assert (tables["sales"]["lowerBound"], tables["sales"]["upperBound"]) == ("5", "6")
+    assert (tables["product"]["lowerBound"], tables["product"]["upperBound"]) == ("1", "10")
+    asked = [o["dbtable"] for o in reader.seen if o["dbtable"].startswith("(")]
+    assert "(SELECT min(time_visit) AS low, max(time_visit) AS high FROM web_visit) AS q" in asked
+    assert len(asked) == 5
     assert all(o["password"] == "p" for o in reader.seen)
 
 
+def test_an_empty_database_table_needs_no_split():
+    reader = Reader(answer=(None, None))
+    model.database_source(reader, "jdbc:x")
+    assert all("partitionColumn" not in o for o in reader.seen)
+
+
 def test_scratch_folder_comes_from_the_session(spark):
     assert scratch_dir(spark) == spark.conf.get("spark.checkpoint.dir")
 

@@ -60,7 +60,9 @@ def test_expired_versions_are_removed_except_the_last(spark, tmp_path):
         tables.publish(spark.range(1), path)
     assert tables.expire_versions(spark, path, keep=2) == [1, 2]
     assert files.folders(spark, path) == ["v=3", "v=4"]
-    assert tables.expire_versions(spark, path, keep=0) == [3]
+    (tmp_path / "t" / "v=1").mkdir()  # left by a failed write
+    assert tables.expire_versions(spark, path, keep=0) == [1, 3]
+    assert tables.expire_versions(spark, str(tmp_path / "none")) == []
 
 
 # --- dimensions -------------------------------------------------------------
