@@ -1,7 +1,8 @@
 """One named query per operator or plan, each a function of (session, table folder).
 
 Every query reads whole tables. Money is exact inside the library and shown as
-double here, so that results compare with other engines.
+double here, so that results compare with other engines. Queries about writing
+leave their tables in the scratch folder, because their result reads from it.
 """
 
 from __future__ import annotations

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,9 +11,20 @@ from martflow.schemas import SOURCE_TABLES
 from martflow.sources.jdbc import key_range, read_table
 
 
+class RetailSource(Protocol):
+    """Anything with frames that have the columns of ``schemas.SOURCE_TABLES``."""
+
+    sales: DataFrame
+    sale_product: DataFrame
+    customer: DataFrame
+    product: DataFrame
+    locations: DataFrame
+    web_visit: DataFrame
+
+
 @dataclass(frozen=True)
-class RetailSource:
-    """Lazy frames with the columns of ``schemas.SOURCE_TABLES``."""
+class StoredSource:
+    """A ``RetailSource`` whose tables exist as such."""
 
     sales: DataFrame
     sale_product: DataFrame
@@ -24,14 +36,14 @@ class RetailSource:
 
 def parquet_source(spark: SparkSession, root: str) -> RetailSource:
     """The source tables as parquet folders ``{root}/{table}``."""
-    return RetailSource(
+    return StoredSource(
         **{name: spark.read.schema(schema).parquet(f"{root}/{name}") for name, schema in SOURCE_TABLES.items()}
     )
 
 
 def catalog_source(spark: SparkSession, database: str) -> RetailSource:
     """The source tables from the session catalogue."""
-    return RetailSource(**{name: spark.table(f"{database}.{name}") for name in SOURCE_TABLES})
+    return StoredSource(**{name: spark.table(f"{database}.{name}") for name in SOURCE_TABLES})
 
 
 # What splits each table evenly for parallel reads from a database. Visits go by
@@ -65,4 +77,4 @@ def database_source(
         span = (bounds or {}).get(name) or key_range(spark, url, name, column, **options)
         split = {"split_column": column, "bounds": span, "partitions": partitions} if span else {}
         frames[name] = read_table(spark, url, name, **split, **options)
-    return RetailSource(**frames)
+    return StoredSource(**frames)

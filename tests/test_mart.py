@@ -10,7 +10,7 @@ from martflow.operators import checks
 from martflow.operators.tables import read_dimension, read_fact
 from martflow.plans import dims, facts, mart
 from martflow.schemas import SOURCE_TABLES
-from martflow.sources.model import RetailSource, parquet_source
+from martflow.sources.model import StoredSource, parquet_source
 from martflow.sources.testtables import retail_source
 
 SF = "/root/testdata/sf0.001"
@@ -93,6 +93,6 @@ def test_visits_are_stored_once_and_reused(spark, source, tmp_path):
     staging = str(tmp_path)
     mart.build_mart(source, staging)
     first = rows(spark.read.parquet(f"{staging}/customer_visit"))
-    without = RetailSource(**{**source.__dict__, "web_visit": source.web_visit.limit(0)})
+    without = StoredSource(**{**source.__dict__, "web_visit": source.web_visit.limit(0)})
     mart.build_mart(without, staging)
     assert rows(spark.read.parquet(f"{staging}/customer_visit")) == first
