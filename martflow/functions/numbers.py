@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from martflow.schemas import MONEY
+
 
 def ratio(numerator: Column, denominator: Column) -> Column:
     """Double division; NULL where the denominator is zero or unknown."""
@@ -22,6 +24,11 @@ def rounded_mean(total: Column, n: Column, digits: int = 2) -> Column:
     return F.round(ratio(total, n).cast("decimal(18,10)"), digits)
 
 
-def sum_or_zero(column: Column) -> Column:
-    """Sum that gives 0, not NULL, for a group without any value."""
-    return F.coalesce(F.sum(column), F.lit(0))
+def money_sum(column: str) -> Column:
+    """Exact sum of money, whatever the order of the rows, also of a double column."""
+    return F.sum(F.col(column).cast(MONEY)).cast(MONEY)
+
+
+def or_zero(total: Column) -> Column:
+    """A sum that gives 0, not NULL, for a group without any value."""
+    return F.coalesce(total, F.lit(0))

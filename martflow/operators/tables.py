@@ -79,7 +79,9 @@ def read_dimension(spark: SparkSession, mart: str, name: str) -> DataFrame:
     return read_current(spark, f"{mart}/{name}", MART_TABLES[name])
 
 
-def upsert_dimension(spark: SparkSession, mart: str, name: str, source: DataFrame, latest_by: tuple[str, ...] = ()) -> dict[str, int]:
+def upsert_dimension(
+    spark: SparkSession, mart: str, name: str, source: DataFrame, latest_by: tuple[str, ...] = ()
+) -> dict[str, int]:
     """Merge ``source`` into a dimension and publish it; returns the change counts.
 
     The counts are observed in the task that writes the rows: no second pass,

@@ -13,7 +13,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martflow.functions.numbers import ratio, sum_or_zero
+from martflow.functions.numbers import money_sum, or_zero, ratio
 from martflow.operators.skew import left_join_spread, rows_per_key
 from martflow.operators.windows import in_window, with_known
 from martflow.schemas import MONEY
@@ -57,8 +57,8 @@ def fct_sales(
         .join(with_known(orders, "customer_id", "ship_to", "order_date"), "sales_id")
         .groupBy(keys)
         .agg(
-            sum_or_zero("quantity").alias("quantity"),
-            sum_or_zero("subtotal").cast(MONEY).alias("sales"),
+            or_zero(F.sum("quantity")).alias("quantity"),
+            or_zero(money_sum("subtotal")).cast(MONEY).alias("sales"),
         )
     )
     return with_time_key(daily, dim_time).select(
@@ -95,7 +95,7 @@ def _line_totals(sale_product: DataFrame, orders: DataFrame, **extra_keys: str)
     return (
         lines.join(orders, "sales_id", "left")
         .groupBy([F.col(column).alias(name) for name, column in keys.items()])
-        .agg(F.sum("quantity").alias("quantity"), F.sum("subtotal").cast(MONEY).alias("sales"))
+        .agg(F.sum("quantity").alias("quantity"), money_sum("subtotal").alias("sales"))
     )
 
 
@@ -111,7 +111,7 @@ def orders_by_customer_day(sales: DataFrame) -> DataFrame:
     return (
         _dated_orders(sales)
         .groupBy(*DAY_KEYS)
-        .agg(F.count(F.lit(1)).alias("orders"), sum_or_zero("total").cast(MONEY).alias("total"))
+        .agg(F.count(F.lit(1)).alias("orders"), or_zero(money_sum("total")).cast(MONEY).alias("total"))
     )
 
 

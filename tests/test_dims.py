@@ -58,7 +58,9 @@ def test_iso_week_differs_from_week_of_month(spark, text, week):
 
 def test_month_key_and_monday(spark):
     row = spark.range(1).select(
-        dates.month_key(F.lit(20211231)), dates.month_key(F.lit(None).cast("int")), dates.week_start(F.lit(day("2024-01-21")))
+        dates.month_key(F.lit(20211231)),
+        dates.month_key(F.lit(None).cast("int")),
+        dates.week_start(F.lit(day("2024-01-21"))),
     )
     assert tuple(row.first()) == (202112, None, day("2024-01-15"))
 

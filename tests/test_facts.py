@@ -98,6 +98,15 @@ def test_an_order_with_a_time_of_day_belongs_to_its_day(spark, lines, calendar):
     assert rows(facts.orders_by_customer_day(timed), "order_date") == [(day("2024-01-02"),)]
 
 
+def test_money_of_double_type_is_summed_exactly(spark, sales, calendar):
+    lines = spark.createDataFrame(
+        [(1, 7, 1, 0.1)] * 3 + [(1, 7, 1, 0.2)] * 7,
+        "sales_id long, product_id long, quantity int, subtotal double",
+    )
+    assert rows(facts.fct_sales(sales, lines, calendar), "sales") == [(money("1.70"),)]
+    assert rows(facts.sales_with_product(sales, lines), "quantity", "sales") == [(10, money("1.70"))]
+
+
 def test_orders_are_counted_as_rows(sales):
     assert rows(facts.orders_by_customer_day(sales)) == [
         (10, 100, day("2024-01-02"), 2, money("5.00")),

@@ -7,7 +7,8 @@ def sale(customer, location, quantity, amount):
 
 
 def test_sales_reports_keep_rows_without_a_dimension(spark):
-    fact = mart(spark, "fct_sales", [sale(1, 1, 1, "1.00"), sale(1, 2, 2, "2.00"), sale(2, 2, 3, "4.00"), sale(9, 9, 4, "8.00")])
+    sold = [sale(1, 1, 1, "1.00"), sale(1, 2, 2, "2.00"), sale(2, 2, 3, "4.00"), sale(9, 9, 4, "8.00")]
+    fact = mart(spark, "fct_sales", sold)
     places = mart(
         spark,
         "dim_location",

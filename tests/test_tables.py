@@ -177,18 +177,35 @@ def test_rows_before_the_window_are_refused_and_nothing_changes(spark, tmp_path)
     assert content(spark, path) == [(1, 20231231, 1), (1, 20240105, 2)]
 
 
-def test_a_month_becomes_few_files_whatever_the_task_count(spark, tmp_path):
-    path = str(tmp_path / "f")
-    df = (
-        spark.range(0, 2000, 1, 16)
-        .select(
-            F.col("id").alias("customer_key"),
-            F.lit(1).alias("location_key"),
-            F.lit(1).alias("product_key"),
-            F.when(F.col("id") % 2 == 0, 20240101).otherwise(20240201).alias("time_key"),
-            F.lit(1).alias("quantity"),
-            F.lit(1).alias("sales"),
-        )
+def many_rows(spark, n, time_key):
+    return spark.range(0, n, 1, 16).select(
+        F.col("id").alias("customer_key"),
+        F.lit(1).alias("location_key"),
+        F.lit(1).alias("product_key"),
+        time_key.alias("time_key"),
+        F.lit(1).alias("quantity"),
+        F.lit(1).alias("sales"),
     )
-    tables.append_fact(df, path, "fct_sales")
-    assert len(list((tmp_path / "f").glob("month_key=*/*.parquet"))) == 2
+
+
+def test_a_month_becomes_few_files_whatever_the_task_count(spark, tmp_path):
+    df = many_rows(spark, 2000, F.when(F.col("id") % 2 == 0, 20240101).otherwise(20240201))
+    tables.append_fact(df, str(tmp_path / "a"), "fct_sales")
+    tables.replace_window(df, str(tmp_path / "r"), "fct_sales", day("2024-01-01"))
+    for folder in "ar":
+        assert len(list((tmp_path / folder).glob("month_key=*/*.parquet"))) == 2
+
+
+def test_a_month_too_large_for_one_task_is_split(spark, tmp_path):
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "50KB")
+    try:
+        df = many_rows(spark, 40000, F.when(F.col("id") % 100 == 0, 20240101).otherwise(20240201))
+        tables.append_fact(df, str(tmp_path / "a"), "fct_sales")
+        tables.replace_window(df, str(tmp_path / "r"), "fct_sales", day("2024-01-01"))
+    finally:
+        spark.conf.set(size, before)
+    for folder in "ar":
+        assert len(list((tmp_path / folder / "month_key=202402").glob("*.parquet"))) > 3
+        assert tables.read_fact(spark, str(tmp_path / folder), "fct_sales").count() == 40000
