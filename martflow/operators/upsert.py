@@ -6,10 +6,11 @@ to it. Rules:
 * A matched row takes every listed column from the source, NULL included.
 * A matched row counts as updated even if nothing differs.
 * Target rows the source does not mention stay.
-* The source must have each key once and no NULL key. A violation fails the
-  job while it runs, inside the same plan, without a pass of its own. Giving
-  ``latest_by`` instead picks one row per key: the greatest by those columns,
-  ties broken by the other columns, so the choice is reproducible.
+* The source must have each key once and no NULL key. This is counted on the
+  key column alone, as a subquery of the same plan; a violation fails the job
+  before any row is merged. Giving ``latest_by`` instead picks one row per key:
+  the greatest by those columns, ties broken by the other columns, so the
+  choice is reproducible.
 """
 
 from __future__ import annotations
@@ -23,35 +24,38 @@ CHANGE = "change"
 UPDATED, INSERTED, KEPT = "updated", "inserted", "kept"
 
 
-def _failure(message: Column) -> Column:
-    return F.raise_error(message).cast("boolean")
+def _violation(source: DataFrame, key: str, repeats_too: bool) -> Column:
+    """Scalar: what is wrong with the source's keys, NULL if nothing is."""
+    copies = source.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("copies"))
+    wrong = F.col("key").isNull()
+    if repeats_too:
+        wrong |= F.col("copies") > 1
+    # NULL sorts first, so a NULL key is the one reported.
+    first = copies.filter(wrong).agg(F.min(F.struct("key", "copies")).alias("first")).select("first.*")
+    rows = F.col("copies").cast("string")
+    message = F.when(
+        F.col("key").isNull() & F.col("copies").isNotNull(),
+        F.concat(F.lit(f"upsert source has NULL {key} in rows: "), rows),
+    ).when(
+        F.col("copies").isNotNull(),
+        F.concat(F.lit(f"upsert source repeats {key} "), F.col("key").cast("string"), F.lit(", copies: "), rows),
+    )
+    return first.select(message.alias("message")).scalar()
 
 
 def one_row_per_key(source: DataFrame, key: str, latest_by: Sequence[str] = ()) -> DataFrame:
     """The source with a single row per key, or an error at run time.
 
-    Repeats of a key are folded map-side, so even a key with most of the rows
-    arrives as one row per task.
+    Choosing by ``latest_by`` folds the rows of a key map-side, so even a key
+    with most of the rows arrives as one row per task.
     """
-    order = list(dict.fromkeys([*latest_by, *source.columns]))
-    folded = source.groupBy(F.col(key).alias("_key")).agg(
-        F.count(F.lit(1)).alias("_copies"), F.max(F.struct(*order)).alias("_row")
-    )
-    copies = F.col("_copies").cast("string")
-    sound = F.when(
-        F.col("_key").isNull(),
-        _failure(F.concat(F.lit(f"upsert source has NULL {key} in rows: "), copies)),
-    )
-    if not latest_by:
-        sound = sound.when(
-            F.col("_copies") > 1,
-            _failure(
-                F.concat(
-                    F.lit(f"upsert source repeats {key} "), F.col("_key").cast("string"), F.lit(", copies: "), copies
-                )
-            ),
-        )
-    return folded.filter(sound.otherwise(F.lit(True))).select("_row.*").select(*source.columns)
+    violation = _violation(source, key, repeats_too=not latest_by)
+    sound = F.when(violation.isNotNull(), F.raise_error(violation).cast("boolean")).otherwise(F.lit(True))
+    if latest_by:
+        order = list(dict.fromkeys([*latest_by, *source.columns]))
+        best = source.groupBy(F.col(key).alias("_key")).agg(F.max(F.struct(*order)).alias("_row"))
+        return best.select("_row.*").select(*source.columns).filter(sound)
+    return source.filter(sound)
 
 
 def scd1_changes(
@@ -68,8 +72,8 @@ def scd1_changes(
     """
     columns = [c for c in target.columns if c != key] if columns is None else list(columns)
     old = target.alias("old")
-    new = one_row_per_key(source.select(key, *columns, *[c for c in latest_by if c not in {key, *columns}]), key, latest_by)
-    new = new.alias("new")
+    used = list(dict.fromkeys([key, *columns, *latest_by]))
+    new = one_row_per_key(source.select(*used), key, latest_by).alias("new")
     old_key, new_key = F.col(f"old.{key}"), F.col(f"new.{key}")
     in_source = new_key.isNotNull()
 

@@ -85,9 +85,12 @@ def test_ratings_are_folded_before_the_join(spark, no_size_broadcast):
 def test_an_upsert_shuffles_each_side_once(spark, no_size_broadcast):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     customers = spark.range(10).selectExpr("id as k", "id as v")
-    text = plan(scd1_changes(customers, customers, "k"))
-    assert text.count("Exchange hashpartitioning") == 2
-    assert "FullOuter" in text
+    merged = scd1_changes(customers, customers, "k")
+    assert "FullOuter" in plan(merged)
+    assert plan(merged).count("Exchange hashpartitioning(k#") == 2
+    assert "SortAggregate(key=[k" not in plan(merged)
+    merged.collect()
+    assert "ReusedSubquery" in plan(merged)  # the keys are checked once
 
 
 def test_bucketed_source_tables_join_without_a_shuffle(spark, tmp_path):
