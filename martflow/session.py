@@ -22,25 +22,39 @@ ADAPTIVE = {
 }
 SETTINGS = {**ADAPTIVE, "spark.sql.session.timeZone": "UTC"}
 
-# Shuffle partitions: one per this many stored input bytes, up to a number the
-# driver can still keep track of. Adaptive execution merges those that turn out
-# small, but it cannot make more of them.
-BYTES_PER_PARTITION = 128 * 1024 * 1024
-MOST_PARTITIONS = 50_000
+# Shuffle partitions: one per this many stored input bytes. Adaptive execution
+# merges those that turn out small, but it cannot make more of them. The driver
+# tracks scan tasks times shuffle partitions, so both are bounded; scan tasks by
+# reading more bytes in each.
+MIB = 1024 * 1024
+BYTES_PER_PARTITION = 128 * MIB
+MOST_PARTITIONS = 20_000
+MOST_SCAN_TASKS = 200_000
+LARGEST_SCAN = 1024 * MIB
 
 
 def shuffle_partitions(input_bytes: int, at_least: int) -> int:
     return max(at_least, min(math.ceil(input_bytes / BYTES_PER_PARTITION), MOST_PARTITIONS))
 
 
+def scan_bytes(input_bytes: int, at_least: int) -> int:
+    return max(at_least, min(math.ceil(input_bytes / MOST_SCAN_TASKS), LARGEST_SCAN))
+
+
 def prepare(spark: SparkSession, *inputs: str) -> SparkSession:
     """Fit a running session to the size of the stored inputs; returns it."""
     for name, value in ADAPTIVE.items():
         spark.conf.set(name, value)
-    present = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = shuffle_partitions(sum(files.size(spark, path) for path in inputs), present)
-    if wanted != present:
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    stored = sum(files.size(spark, path) for path in inputs)
+    as_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    for name, fit, parse in (
+        ("spark.sql.shuffle.partitions", shuffle_partitions, int),
+        ("spark.sql.files.maxPartitionBytes", scan_bytes, as_bytes),
+    ):
+        present = parse(spark.conf.get(name))
+        wanted = fit(stored, present)
+        if wanted != present:
+            spark.conf.set(name, str(wanted))
     return spark
 
 

@@ -1,7 +1,8 @@
 import pytest
 
+from martflow.operators import files
 from martflow.schemas import SOURCE_TABLES
-from martflow.session import prepare, scratch_dir, shuffle_partitions
+from martflow.session import prepare, scan_bytes, scratch_dir, shuffle_partitions
 from martflow.sources import jdbc, model
 
 
@@ -72,7 +73,27 @@ def test_shuffle_partitions_grow_with_the_input():
     assert shuffle_partitions(0, at_least=8) == 8
     assert shuffle_partitions(10 * gib, at_least=8) == 80
     assert shuffle_partitions(10 * gib, at_least=200) == 200
-    assert shuffle_partitions(100 * 1024 * gib, at_least=200) == 50_000
+    assert shuffle_partitions(100 * 1024 * gib, at_least=200) == 20_000
+
+
+def test_scan_tasks_stay_countable():
+    mib = 1024**2
+    assert scan_bytes(1024 * mib, at_least=128 * mib) == 128 * mib
+    assert 500 * mib < scan_bytes(100 * 1024**4, at_least=128 * mib) < 550 * mib
+    assert scan_bytes(10**18, at_least=128 * mib) == 1024 * mib
+
+
+def test_prepare_fits_a_session_to_large_inputs(spark, monkeypatch):
+    names = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")
+    before = {n: spark.conf.get(n) for n in names}
+    monkeypatch.setattr(files, "size", lambda spark, path: 50 * 1024**4)
+    try:
+        prepare(spark, "lines", "orders")
+        assert spark.conf.get(names[0]) == "20000"
+        assert spark.conf.get(names[1]) == str(scan_bytes(100 * 1024**4, 0))
+    finally:
+        for n, v in before.items():
+            spark.conf.set(n, v)
 
 
 def test_prepare_keeps_a_session_that_is_large_enough(spark):
