@@ -81,6 +81,17 @@ def held_in(bucket: int, of: int) -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % of == bucket, F.lit(False))
 
 
+def packed(docs: DataFrame, *own: str) -> DataFrame:
+    """``own`` columns and all others in one struct, where their names clash with nothing."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in own]
+    return docs.select(*own, F.struct(F.lit(True).alias("_"), *others).alias("_kept"))
+
+
+def unpacked(rows: DataFrame, columns: Sequence[str], *own: str) -> DataFrame:
+    """The columns of ``packed`` as they were."""
+    return rows.select(*[c if c in own else F.col("_kept")[c].alias(c) for c in columns])
+
+
 def batches_of_bytes(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """The same rows in order, in pieces of about ``limit`` bytes of ``column`` or a single row."""
     held: list[pa.RecordBatch] = []

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from martflow.llm.common import table
+from martflow.llm.decontaminate import find_leaks
+from martflow.llm.rules import quality_rules
 from martflow.llm.sharding import shard_documents, uniform_tree, with_shard
 from martflow.llm.urls import judge_urls
 
@@ -33,6 +35,17 @@ def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents against all benchmark items."""
+    found = find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("spans", "items")
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule figures and verdicts of all documents."""
+    return quality_rules(table(spark, sf_dir, "documents")).drop("text_hash", "host", "removed")
+
+
 OP5_SQL = r"""
 WITH parts AS (
   SELECT page_id, row_number() OVER () AS row,
@@ -58,7 +71,9 @@ FROM urls u LEFT JOIN best b ON u.row = b.row
 
 QUERIES: dict[str, Query] = {
     "op1_hash_tree": op1_hash_tree,
+    "op3_decontaminate": op3_decontaminate,
     "op5_url_rules": op5_url_rules,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLE: dict[str, str] = {
