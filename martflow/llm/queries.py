@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martflow.llm.common import table
+from martflow.llm.common import shared_folder, table
 from martflow.llm.decontaminate import find_leaks
+from martflow.llm.packing import pack_documents
 from martflow.llm.rules import quality_rules
 from martflow.llm.sharding import shard_documents, uniform_tree, with_shard
+from martflow.llm.token_counts import token_totals
 from martflow.llm.urls import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +26,16 @@ URL_RULES = [
     ("block", "example.com", "/de/"),
     ("allow", "org", "/fr/"),
 ]
+#: The ids of this file and of the tokenizers library's byte_bpe_50k.json are the same (tests/llm/test_tokens.py).
+PACKING_VOCABULARY = "byte_bpe_50k.tiktoken"
+COUNTED_VOCABULARIES = ("byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken")
+
+
+def vocabulary(name: str) -> tuple[bytes, str]:
+    """A public tokenizer's file and its pattern; both have a fixed size."""
+    import public_tokenizers
+
+    return Path(public_tokenizers.path(name)).read_bytes(), public_tokenizers.PATTERN
 
 
 def op1_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +43,11 @@ def op1_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), SHARD_TREE, with_shard(SHARD_TREE))
 
 
+def op4_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 1024 tokens."""
+    return pack_documents(table(spark, sf_dir, "documents"), *vocabulary(PACKING_VOCABULARY))
+
+
 def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages judged by the url rules."""
     rules = spark.createDataFrame(URL_RULES, "verdict string, host string, path string")
@@ -41,6 +60,17 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("spans", "items")
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token totals of all documents by source, language and tokenizer version."""
+    found = {name: vocabulary(name) for name in COUNTED_VOCABULARIES}
+    return token_totals(
+        table(spark, sf_dir, "documents"),
+        f"{shared_folder(spark)}/token-ledger-{uuid.uuid4().hex}",
+        {name.removesuffix(".tiktoken"): ranks for name, (ranks, _) in found.items()},
+        found[COUNTED_VOCABULARIES[0]][1],
+    )
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule figures and verdicts of all documents."""
     return quality_rules(table(spark, sf_dir, "documents")).drop("text_hash", "host", "removed")
@@ -72,7 +102,9 @@ FROM urls u LEFT JOIN best b ON u.row = b.row
 QUERIES: dict[str, Query] = {
     "op1_hash_tree": op1_hash_tree,
     "op3_decontaminate": op3_decontaminate,
+    "op4_best_fit": op4_best_fit,
     "op5_url_rules": op5_url_rules,
+    "op6_token_counts": op6_token_counts,
     "op10_quality_rules": op10_quality_rules,
 }
 

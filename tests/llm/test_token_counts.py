@@ -1,0 +1,67 @@
+"""The ledger's totals against plain counting."""
+
+from __future__ import annotations
+
+from collections import Counter
+
+from pyspark.sql import functions as F
+from samples import awkward_texts, documents, rows_of
+from test_tokens import wanted  # noqa: F401
+
+from martflow.llm.queries import COUNTED_VOCABULARIES, op6_token_counts, vocabulary
+from martflow.llm.token_counts import TokenLedger
+
+TOTALS = ["source", "lang", "tokenizer", "n_docs", "n_bytes", "n_tokens"]
+
+
+def plain(rows, wanted, tokenizer):  # noqa: F811
+    docs, size, tokens = Counter(), Counter(), Counter()
+    for r in rows:
+        docs[r.source, r.lang] += 1
+        size[r.source, r.lang] += len((r.text or "").encode())
+        tokens[r.source, r.lang] += len(wanted(r.text))
+    return sorted(((*k, tokenizer, docs[k], size[k], tokens[k]) for k in docs), key=repr)
+
+
+def test_table(spark, sf_dir, wanted):  # noqa: F811
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    got = op6_token_counts(spark, sf_dir)
+    assert rows_of(got.filter("tokenizer = 'byte_bpe_50k'"), *TOTALS) == plain(docs, wanted, "byte_bpe_50k")
+    assert got.select("tokenizer").distinct().count() == 2
+
+
+def test_changes(spark, tmp_path, wanted):  # noqa: F811
+    ranks, pattern = vocabulary(COUNTED_VOCABULARIES[0])
+    ledger = TokenLedger(spark, f"file://{tmp_path}/ledger", {"v1": ranks}, pattern)
+    docs = documents(spark, awkward_texts()).filter("doc_id is null or doc_id != 2")
+    rows = {k: r for k, r in enumerate(docs.collect())}
+    assert ledger.commit("a", docs.withColumn("op", F.lit("insert")))
+    assert not ledger.commit("a", docs.withColumn("op", F.lit("insert")))
+    assert rows_of(ledger.totals(), *TOTALS) == plain(rows.values(), wanted, "v1")
+    # Revised texts move to another language; two documents go, one that is not there too.
+    changes = (
+        docs.filter("doc_id between 4 and 9").withColumns({"op": F.lit("revise"), "text": F.lit("new text"), "lang": F.lit("en")})
+    ).unionByName(docs.filter("doc_id in (10, 11)").withColumn("op", F.lit("delete")))
+    changes = changes.unionByName(changes.filter("doc_id = 10").withColumn("doc_id", F.lit(999)))
+    assert ledger.commit("b", changes) and not ledger.commit("b", changes)
+    from pyspark.sql import Row
+
+    after = [r for r in rows.values() if r.doc_id is None or not 4 <= r.doc_id <= 11]
+    after += [Row(source=r.source, lang="en", text="new text") for r in rows.values() if r.doc_id and 4 <= r.doc_id <= 9]
+    assert rows_of(ledger.totals(), *TOTALS) == plain(after, wanted, "v1")
+    # All go: nothing is left.
+    ledger.commit("c", docs.filter("doc_id is not null").withColumn("op", F.lit("delete")))
+    assert rows_of(ledger.totals(), "n_docs") == [(1,)]
+    assert ledger.documents().filter("doc_id is not null").count() == 0
+
+
+def test_empty_and_wrong_changes(spark, tmp_path):
+    import pytest
+
+    ranks, pattern = vocabulary(COUNTED_VOCABULARIES[0])
+    ledger = TokenLedger(spark, f"file://{tmp_path}/ledger", {"v1": ranks}, pattern)
+    none = documents(spark, []).withColumn("op", F.lit("insert"))
+    assert ledger.commit("empty", none) and ledger.totals().count() == 0
+    with pytest.raises(Exception, match="can't be applied"):
+        ledger.commit("wrong", documents(spark, ["a", "b"]).withColumn("op", F.lit("upsert")))
+    assert ledger.batches() == ["empty"]
