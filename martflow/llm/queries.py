@@ -14,6 +14,7 @@ from martflow.llm.packing import pack_documents
 from martflow.llm.rules import quality_rules
 from martflow.llm.sharding import shard_documents, uniform_tree, with_shard
 from martflow.llm.token_counts import token_totals
+from martflow.llm.toxicity import score_toxicity, train
 from martflow.llm.urls import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +72,12 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents."""
+    docs = table(spark, sf_dir, "documents")
+    return score_toxicity(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule figures and verdicts of all documents."""
     return quality_rules(table(spark, sf_dir, "documents")).drop("text_hash", "host", "removed")
@@ -105,6 +112,7 @@ QUERIES: dict[str, Query] = {
     "op4_best_fit": op4_best_fit,
     "op5_url_rules": op5_url_rules,
     "op6_token_counts": op6_token_counts,
+    "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
 }
 
