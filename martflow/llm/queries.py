@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from martflow.llm.common import shared_folder, table
 from martflow.llm.decontaminate import find_leaks
+from martflow.llm.near_duplicates import near_duplicates
 from martflow.llm.packing import pack_documents
 from martflow.llm.rules import quality_rules
 from martflow.llm.sharding import shard_documents, uniform_tree, with_shard
@@ -55,6 +56,11 @@ def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes and links of all documents at a similarity of 0.8 of five-word shingles."""
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("row", "class_row")
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents against all benchmark items."""
     found = find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -108,6 +114,7 @@ FROM urls u LEFT JOIN best b ON u.row = b.row
 
 QUERIES: dict[str, Query] = {
     "op1_hash_tree": op1_hash_tree,
+    "op2_near_duplicates": op2_near_duplicates,
     "op3_decontaminate": op3_decontaminate,
     "op4_best_fit": op4_best_fit,
     "op5_url_rules": op5_url_rules,

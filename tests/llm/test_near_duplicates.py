@@ -1,0 +1,105 @@
+"""Near duplicates against all pairs."""
+
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+
+from samples import awkward_texts, documents, rows_of
+
+from martflow.llm.near_duplicates import matched_depth, near_duplicates, one_of_each
+from martflow.llm.queries import op2_near_duplicates
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def shingle_set(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
+    n = min(5, len(words))
+    return tuple(words), frozenset(tuple(words[i : i + n]) for i in range(len(words) - n + 1)) if n else frozenset()
+
+
+def expected(rows):
+    """(doc_id, class_id, n_links) by comparing all texts."""
+    texts = {}
+    for r in rows:
+        words, own = shingle_set(r.text)
+        texts.setdefault(words or ("", id(r)), (own, []))[1].append(r)
+    keys = [k for k, (own, _) in texts.items() if own]
+    by_shingle = {}
+    for k in keys:
+        for s in texts[k][0]:
+            by_shingle.setdefault(s, []).append(k)
+    links = {k: set() for k in texts}
+    for k in keys:
+        both = Counter(o for s in texts[k][0] for o in by_shingle[s] if o != k)
+        for o, n in both.items():
+            if n >= 0.8 * (len(texts[k][0]) + len(texts[o][0]) - n) - 1e-9:
+                links[k].add(o)
+    out, seen = [], set()
+    for k in texts:
+        if k in seen:
+            continue
+        group, todo = {k}, [k]
+        while todo:
+            for o in links[todo.pop()] - group:
+                group.add(o)
+                todo.append(o)
+        seen |= group
+        members = [r for o in group for r in texts[o][1]]
+        ids = [r.doc_id for r in members if r.doc_id is not None]
+        out += [(r.doc_id, min(ids, default=None), len(links[o])) for o in group for r in texts[o][1]]
+    return sorted(out, key=repr)
+
+
+COLUMNS = ["doc_id", "class_id", "n_links"]
+
+
+def near_copies(seed, copies, words=120):
+    pick = random.Random(seed)
+    base = [f"w{pick.randint(0, 5000)}" for _ in range(words)]
+    out = []
+    for _ in range(copies):
+        own = list(base)
+        for _ in range(pick.randint(0, 4)):
+            own[pick.randrange(words)] = f"x{pick.randint(0, 10**6)}"
+        out.append(" ".join(own))
+    return out
+
+
+def saved(spark, docs, tmp_path):
+    docs.write.parquet(f"{tmp_path}/docs")
+    return spark.read.parquet(f"{tmp_path}/docs")
+
+
+def test_table(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    wanted = expected(rows)
+    assert rows_of(op2_near_duplicates(spark, sf_dir), *COLUMNS) == wanted
+    assert any(n for _, _, n in wanted)
+
+
+def test_awkward_texts_and_large_groups(spark, tmp_path):
+    texts = awkward_texts() + near_copies(1, 40) + near_copies(2, 3) + ["A b c", "a  B\tc", "a b c d"]
+    docs = saved(spark, documents(spark, texts), tmp_path)
+    wanted = expected(docs.collect())
+    assert rows_of(near_duplicates(docs), *COLUMNS) == wanted
+    # Parts cut into several blocks give the same.
+    assert rows_of(near_duplicates(docs, block_bytes=3000), *COLUMNS) == wanted
+    kept = one_of_each(docs)
+    assert kept.columns == docs.columns
+    # One row of each class; a repeated id may name rows of two classes.
+    found = near_duplicates(docs)
+    assert kept.count() == found.select("class_row").distinct().count()
+    assert {r.doc_id for r in kept.collect()} <= {c for _, c, _ in wanted}
+
+
+def test_depth():
+    assert matched_depth(0.8, 32, 8, 0.9999) == 6
+    assert matched_depth(0.8, 1, 8, 0.9999) == 1
+
+
+def test_empty_table(spark, tmp_path):
+    docs = saved(spark, documents(spark, []), tmp_path)
+    assert near_duplicates(docs).count() == 0 and one_of_each(docs).count() == 0
