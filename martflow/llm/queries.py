@@ -12,6 +12,7 @@ from martflow.llm.common import shared_folder, table
 from martflow.llm.decontaminate import find_leaks
 from martflow.llm.near_duplicates import near_duplicates
 from martflow.llm.packing import pack_documents
+from martflow.llm.repeats import find_repeats
 from martflow.llm.rules import quality_rules
 from martflow.llm.sharding import shard_documents, uniform_tree, with_shard
 from martflow.llm.token_counts import token_totals
@@ -78,6 +79,11 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without their repeated strings of 400 bytes."""
+    return find_repeats(table(spark, sf_dir, "documents")).drop("row", "kept_text")
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity scores of all documents."""
     docs = table(spark, sf_dir, "documents")
@@ -119,6 +125,7 @@ QUERIES: dict[str, Query] = {
     "op4_best_fit": op4_best_fit,
     "op5_url_rules": op5_url_rules,
     "op6_token_counts": op6_token_counts,
+    "op7_repeats": op7_repeats,
     "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
 }
