@@ -143,7 +143,9 @@ def fit(
         at = np.repeat(bounds[rows] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
         own, place = np.repeat(np.arange(len(rows)), sizes), places[at]
         error = (sigmoid(machine.logits(own, place, len(rows))) - labels[rows]) / len(rows)
-        grads = [np.array([error.sum()]), np.bincount(place, weights=error[own], minlength=m), np.zeros((m, FACTORS))]
+        # A sum over no terms at all would be of integers.
+        linear = np.bincount(place, weights=error[own], minlength=m).astype(float)
+        grads = [np.array([error.sum()]), linear, np.zeros((m, FACTORS))]
         for k in range(FACTORS):
             v = machine.factors[place, k]
             total = np.bincount(own, weights=v, minlength=len(rows))

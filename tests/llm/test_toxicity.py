@@ -57,3 +57,8 @@ def test_empty_tables(spark):
     docs = documents(spark, awkward_texts())
     assert score_toxicity(docs, train(docs, none)).filter("predicted = 1").count() == 0
     assert score_toxicity(documents(spark, []), train(documents(spark, []), none)).count() == 0
+
+
+def test_rows_without_terms():
+    machine = fit(np.array([10]), np.array([600]), np.array([0]), np.r_[np.zeros(600), 1.0], steps=50)
+    assert machine.weights.dtype == float
