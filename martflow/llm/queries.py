@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from martflow.llm.common import shared_folder, table
 from martflow.llm.decontaminate import find_leaks
+from martflow.llm.language_model import score_texts
 from martflow.llm.near_duplicates import near_duplicates
 from martflow.llm.packing import pack_documents
 from martflow.llm.repeats import find_repeats
@@ -84,6 +85,11 @@ def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_repeats(table(spark, sf_dir, "documents")).drop("row", "kept_text")
 
 
+def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model scores of all documents."""
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity scores of all documents."""
     docs = table(spark, sf_dir, "documents")
@@ -126,6 +132,7 @@ QUERIES: dict[str, Query] = {
     "op5_url_rules": op5_url_rules,
     "op6_token_counts": op6_token_counts,
     "op7_repeats": op7_repeats,
+    "op8_language_model": op8_language_model,
     "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
 }
