@@ -1,15 +1,64 @@
-"""The corpus pipeline: stages that read documents and hand documents on."""
+"""The corpus pipeline: documents in, packed training sequences out.
+
+Each stage takes a stored table of documents and hands on what it keeps with the
+same columns; the last packs what is left. ``run`` stores the documents between
+stages, so that a lost executor repeats at most a part of one stage.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from martflow.llm.common import stored, table
+from martflow.llm.decontaminate import decontaminate
+from martflow.llm.near_duplicates import one_of_each
+from martflow.llm.packing import pack_documents
+from martflow.llm.queries import PACKING_VOCABULARY, vocabulary
+from martflow.llm.repeats import remove_repeats
+from martflow.llm.rules import apply_rules
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejected documents go; lines that are frequent in their source go from the others."""
+    return apply_rules(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates stays."""
+    return one_of_each(docs)
+
+
+def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated strings are cut out; documents of which nothing is left go."""
+    return remove_repeats(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a window of a benchmark item go."""
+    return decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What is left, tokenised and packed into sequences."""
+    return pack_documents(docs, *vocabulary(PACKING_VOCABULARY))
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("n-gram Jaccard join", near_duplicates),
+    ("suffix-array dedup", repeats),
+    ("benchmark decontamination", decontamination),
+    ("best-fit packing", packing),
+]
+#: Tokens, suffixes and similarities are beyond SQL; tests/llm/test_pipeline.py has a plain version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    """The stages applied to ``documents``, which is stored after each."""
+    docs = table(spark, sf_dir, "documents")
+    for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = stored(docs, f"stage-{name.replace(' ', '-')}")
     return docs
