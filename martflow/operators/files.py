@@ -15,9 +15,43 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(handle)
 
 
-def is_complete(spark: SparkSession, path: str) -> bool:
-    """Whether a Spark write to ``path`` has committed."""
-    return exists(spark, f"{path}/_SUCCESS")
+def claim(spark: SparkSession, path: str, token: str) -> bool:
+    """Create the folder ``path`` with the empty entry ``token`` in it; False if another one came first.
+
+    The folder is made elsewhere and renamed, which is one step on file systems
+    with an atomic rename. A rename onto a folder that exists fails or moves
+    into it, so whoever finds no own entry at the top came second.
+    """
+    fs, handle = _open(spark, path)
+    if fs.exists(handle):
+        return False
+    attempt = spark._jvm.org.apache.hadoop.fs.Path(handle.getParent(), f".claim-{token}")
+    fs.mkdirs(spark._jvm.org.apache.hadoop.fs.Path(attempt, token))
+    try:
+        fs.rename(attempt, handle)
+    except Exception:  # noqa: BLE001 - how a file system refuses is up to it; the entry decides
+        pass
+    won = token in folders(spark, path)
+    if not won:
+        fs.delete(attempt, True)
+    return won
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, in place of the one there may be."""
+    fs, handle = _open(spark, path)
+    out = fs.create(handle, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, handle = _open(spark, path)
+    size = fs.getFileStatus(handle).getLen()
+    stream = fs.open(handle)
+    data = spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream, size)
+    stream.close()
+    return bytes(b & 0xFF for b in data).decode()
 
 
 def size(spark: SparkSession, path: str) -> int:

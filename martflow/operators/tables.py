@@ -1,8 +1,9 @@
 """Mart tables on a file system: versioned dimensions and month-partitioned facts.
 
-A dimension is rewritten as a whole into ``v=N`` and never overwrites what it
-is read from. The current version is the highest one whose write committed, so
-readers switch at once and a failed write leaves no trace in results.
+A dimension is rewritten as a whole into a folder of its own and never
+overwrites what it is read from. A version ``v=N`` is a pointer to such a
+folder, made in one step after the write, so readers switch at once, a failed
+write leaves no trace in results, and of two writers only one gets the number.
 
 A fact is partitioned by the month of ``time_key``. Rows without a time key
 form a partition of their own.
@@ -11,6 +12,7 @@ form a partition of their own.
 from __future__ import annotations
 
 from datetime import date
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -28,47 +30,51 @@ NO_MONTH = "__HIVE_DEFAULT_PARTITION__"
 # --- versioned tables -------------------------------------------------------
 
 
-def _version(folder: str) -> int:
-    return int(folder.removeprefix("v="))
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    return sorted(int(f.removeprefix("v=")) for f in files.folders(spark, path) if f.startswith("v="))
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    return sorted(_version(f) for f in files.folders(spark, path) if f.startswith("v="))
+def _data(spark: SparkSession, path: str, number: int) -> str:
+    """The folder a version points to."""
+    (name,) = [f for f in files.folders(spark, f"{path}/v={number}") if f.startswith("data-")]
+    return f"{path}/{name}"
 
 
 def current_version(spark: SparkSession, path: str) -> int | None:
-    for number in reversed(_versions(spark, path)):
-        if files.is_complete(spark, f"{path}/v={number}"):
-            return number
-    return None
+    return max(_versions(spark, path), default=None)
 
 
-def publish(df: DataFrame, path: str) -> int:
+def publish(df: DataFrame, path: str, after: int | None = None) -> int:
     """Write ``df`` as the next version; returns its number.
 
-    Numbers of failed writes are not used again. Two writers that race for the
-    same number: the later one fails.
+    ``after`` is the version that ``df`` was made from, by default the present
+    one. If another writer has published since, this one fails and what it wrote
+    is removed.
     """
     spark = df.sparkSession
-    number = max(_versions(spark, path), default=0) + 1
-    df.write.mode("errorifexists").parquet(f"{path}/v={number}")
-    return number
+    after = (current_version(spark, path) if after is None else after) or 0
+    token = f"data-{uuid4().hex}"
+    df.write.parquet(f"{path}/{token}")
+    if not files.claim(spark, f"{path}/v={after + 1}", token):
+        files.remove(spark, f"{path}/{token}")
+        raise RuntimeError(f"{path} has a version {after + 1} already: another writer came first")
+    return after + 1
 
 
 def read_current(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     number = current_version(spark, path)
     if number is None:
         raise FileNotFoundError(f"no committed version of {path}")
-    return spark.read.schema(schema).parquet(f"{path}/v={number}")
+    return spark.read.schema(schema).parquet(_data(spark, path, number))
 
 
 def expire_versions(spark: SparkSession, path: str, keep: int = 2) -> list[int]:
-    """Remove everything before the last ``keep`` committed versions; returns what went."""
-    versions = _versions(spark, path)
-    kept = [n for n in versions if files.is_complete(spark, f"{path}/v={n}")][-max(keep, 1) :]
-    expired = [n for n in versions if kept and n < kept[0]]
+    """Remove all versions but the last ``keep``; returns what went."""
+    expired = _versions(spark, path)[: -max(keep, 1)]
     for number in expired:
+        data = _data(spark, path, number)
         files.remove(spark, f"{path}/v={number}")
+        files.remove(spark, data)
     return expired
 
 
@@ -85,12 +91,14 @@ def upsert_dimension(
     """Merge ``source`` into a dimension and publish it; returns the change counts.
 
     The counts are observed in the task that writes the rows: no second pass,
-    and a retried task counts once.
+    and a retried task counts once. The source's keys are checked in a pass of
+    their own, so give a stored table.
     """
+    present = current_version(spark, f"{mart}/{name}")
     target = read_dimension(spark, mart, name)
     changes = scd1_changes(target, source, PRIMARY_KEYS[name], latest_by=latest_by)
     counts = Observation()
-    publish(changes.observe(counts, *change_counts()).drop(CHANGE), f"{mart}/{name}")
+    publish(changes.observe(counts, *change_counts()).drop(CHANGE), f"{mart}/{name}", after=present)
     return counts.get
 
 

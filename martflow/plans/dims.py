@@ -27,10 +27,17 @@ def calendar(spark: SparkSession, first_day: Column, days: int = CALENDAR_DAYS)
     return spark.range(0, days, 1, numPartitions=1).select(day.alias("date")).filter("date is not null")
 
 
-def dim_time(sales: DataFrame, days: int = CALENDAR_DAYS) -> DataFrame:
-    """Calendar from the first order, ``days`` days long; empty if there is no order."""
-    first_order = sales.agg(F.min(F.to_date("order_date"))).scalar()
-    return time_attributes(calendar(sales.sparkSession, first_order, days))
+def dim_time(sales: DataFrame, days: int | None = CALENDAR_DAYS) -> DataFrame:
+    """Calendar from the first order, ``days`` days long; empty if there is no order.
+
+    Orders after it have no time key. Without ``days`` it reaches the last order.
+    """
+    span = sales.agg(F.min(F.to_date("order_date")).alias("first"), F.max(F.to_date("order_date")).alias("last"))
+    if days is None:
+        first, last = span.first()
+        days = (last - first).days + 1 if first else 0
+        return time_attributes(calendar(sales.sparkSession, F.lit(first), days))
+    return time_attributes(calendar(sales.sparkSession, span.select("first").scalar(), days))
 
 
 def time_attributes(days: DataFrame) -> DataFrame:

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martflow.functions.numbers import money_sum, or_zero, ratio
-from martflow.operators.skew import left_join_spread, rows_per_key
 from martflow.operators.windows import in_window, with_known
 from martflow.schemas import MONEY
 
@@ -128,7 +127,11 @@ def visits(web_visit: DataFrame, since: date | datetime | None = None, as_of: da
 
 
 def fct_marketing(
-    dim_customer: DataFrame, sales: DataFrame, customer_visits: DataFrame, dim_time: DataFrame
+    dim_customer: DataFrame,
+    sales: DataFrame,
+    customer_visits: DataFrame,
+    dim_time: DataFrame,
+    all_sales: DataFrame | None = None,
 ) -> DataFrame:
     """Conversion rate and average purchase value per customer, location and order day.
 
@@ -137,24 +140,25 @@ def fct_marketing(
     over all visits. A customer without orders keeps one row without location,
     time and ratios; without visits the conversion rate is unknown. Orders of
     customers the dimension does not have are left out.
+
+    Who has no orders is decided by ``all_sales``, by default the window alone.
+    A window that is to replace a part of the fact must be decided by all
+    orders. ``sales`` is read twice: give a stored table, or both reads may
+    differ. A customer with very many order days is split by adaptive execution,
+    because both joins below keep or drop order days, never multiply customers.
     """
-    customers = dim_customer.select("customer_key").join(
-        customer_visits.select(F.col("customer_key").alias("_visitor"), "visits"),
-        F.col("customer_key") == F.col("_visitor"),
-        "left",
-    ).select("customer_key", "visits")
-    activity = left_join_spread(
-        customers,
-        orders_by_customer_day(sales),
-        key="customer_key",
-        many_key="customer_id",
-        spread_by=["ship_to", "order_date"],
-        keys=rows_per_key(_dated_orders(sales), "customer_id"),
-    )
-    return with_time_key(activity, dim_time).select(
+    customers = dim_customer.select("customer_key")
+    days = orders_by_customer_day(sales).join(customers, F.col("customer_id") == F.col("customer_key"))
+    buyers = _dated_orders(sales if all_sales is None else all_sales).select("customer_id").distinct()
+    quiet = customers.join(buyers, F.col("customer_key") == F.col("customer_id"), "left_anti")
+    visitors = customer_visits.select(F.col("customer_key").alias("_visitor"), "visits")
+    bought = with_time_key(
+        days.join(visitors, F.col("customer_key") == F.col("_visitor"), "left"), dim_time
+    ).select(
         "customer_key",
         F.col("ship_to").alias("location_key"),
         "time_key",
         ratio(F.col("orders"), F.col("visits")).alias("conversion_rate"),
         ratio(F.col("total"), F.col("orders")).alias("avg_purchase_value"),
     )
+    return bought.unionByName(quiet, allowMissingColumns=True)

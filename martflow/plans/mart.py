@@ -1,14 +1,21 @@
 """The two runs: stage everything from the source, then load it into the mart.
 
-``build_mart`` writes each result once into a staging folder and reads it back
-where a later step needs it. Written tables cut the lineage: losing an executor
-repeats at most the step that is running.
+``build_mart`` writes each result once into a folder of its own run and reads it
+back where a later step needs it. Written tables cut the lineage: losing an
+executor repeats at most the step that is running. The run's manifest is written
+last, so a run that died half-way is no run, and ``load_mart`` takes the tables
+of one run only. Steps that need nothing of each other are submitted together.
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date
+from typing import Any
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -28,21 +35,34 @@ from martflow.operators.tables import (
 from martflow.plans import dims, facts
 from martflow.schemas import DIMENSIONS, FACTS, MART_TABLES, SOURCE_TABLES, VISITS, conform
 from martflow.sources.cache import read_or_build
+from martflow.sources.csv import bulk_load
 from martflow.sources.model import RetailSource
 
+MANIFEST = "manifest.json"
+SIDE_BY_SIDE = 4
+
 
 @dataclass
 class RunReport:
     """Rows written per staged table; change counts per loaded dimension."""
 
+    run: str = ""
     rows: dict[str, int] = field(default_factory=dict)
     changes: dict[str, dict[str, int]] = field(default_factory=dict)
+    orders_outside_calendar: int = 0
+
+
+def _together(*steps: Callable[[], Any]) -> list:
+    """Results of steps submitted side by side. A failure is raised after all have ended."""
+    with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
+        running = [pool.submit(step) for step in steps]
+    return [step.result() for step in running]
 
 
 def _stage(df: DataFrame, path: str, schema: StructType) -> tuple[DataFrame, int]:
     """Write, count on the way, read back."""
     rows = Observation()
-    conform(df, schema).observe(rows, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    conform(df, schema).observe(rows, F.count(F.lit(1)).alias("rows")).write.parquet(path)
     return df.sparkSession.read.schema(schema).parquet(path), rows.get["rows"]
 
 
@@ -52,76 +72,172 @@ def build_mart(
     since: date | None = None,
     as_of: date | None = None,
     visits_as_of: date | None = None,
-    calendar_days: int = dims.CALENDAR_DAYS,
+    calendar_days: int | None = dims.CALENDAR_DAYS,
+    registered_after: date | None = None,
+    to_replace: bool = False,
+    visits_store: str | None = None,
 ) -> RunReport:
-    """Extract and shape all tables into ``staging``.
-
-    Dimensions are extracted in full; ``since`` and ``as_of`` limit the orders
-    behind both facts. Orders are staged once and feed both. Visits are stored
-    by the first run and reused by later ones, as a read-through cache.
+    """Extract and shape all tables into a new run in ``staging``.
+
+    ``since`` and ``as_of`` limit the orders behind both facts;
+    ``registered_after`` limits the customer and product dimensions, not the
+    customers of the facts. Without ``calendar_days`` the calendar reaches the
+    last order; else the report counts the orders outside it. Orders are staged
+    once and feed both facts.
+
+    ``to_replace`` stages a window for ``load_mart(replace_since=...)``: who has
+    no orders is then decided by all orders up to ``as_of``. Visits are counted
+    anew in each run, unless ``visits_store`` names a folder to keep and reuse
+    them in; a count for another ``visits_as_of`` is kept apart.
     """
-    report = RunReport()
+    spark = source.sales.sparkSession
+    report = RunReport(run=f"run-{uuid4().hex}")
+    root = f"{staging}/{report.run}"
 
     def stage(name: str, df: DataFrame, schema: StructType) -> DataFrame:
-        staged, report.rows[name] = _stage(df, f"{staging}/{name}", schema)
+        staged, report.rows[name] = _stage(df, f"{root}/{name}", schema)
         return staged
 
-    spark = source.sales.sparkSession
-    dim_time = stage("dim_time", dims.dim_time(source.sales, calendar_days), MART_TABLES["dim_time"])
-    dim_customer = stage("dim_customer", dims.dim_customer(source.customer), MART_TABLES["dim_customer"])
-    stage("dim_product", dims.dim_product(source.product, source.sale_product), MART_TABLES["dim_product"])
-    stage("dim_location", dims.dim_location(source.locations), MART_TABLES["dim_location"])
-
-    sales = stage("sales_data", facts.sales_window(source.sales, since, as_of), SOURCE_TABLES["sales"])
-    stage("fct_sales", facts.fct_sales(sales, source.sale_product, dim_time), MART_TABLES["fct_sales"])
-    customer_visits = read_or_build(
-        spark, f"{staging}/customer_visit", lambda: facts.visits(source.web_visit, as_of=visits_as_of), VISITS
+    def dimension(name: str, df: DataFrame) -> Callable[[], DataFrame]:
+        return lambda: stage(name, df, MART_TABLES[name])
+
+    def counted_visits() -> DataFrame:
+        count = lambda: facts.visits(source.web_visit, as_of=visits_as_of)
+        if visits_store is None:
+            return stage("customer_visit", count(), VISITS)
+        return read_or_build(spark, f"{visits_store}/as_of={visits_as_of}", count, VISITS)
+
+    dim_time, sales, visits, *_ = _together(
+        lambda: stage("dim_time", dims.dim_time(source.sales, calendar_days), MART_TABLES["dim_time"]),
+        lambda: stage("sales_data", facts.sales_window(source.sales, since, as_of), SOURCE_TABLES["sales"]),
+        counted_visits,
+        dimension("dim_customer", dims.dim_customer(source.customer, registered_after)),
+        dimension("dim_product", dims.dim_product(source.product, source.sale_product, registered_after)),
+        dimension("dim_location", dims.dim_location(source.locations)),
     )
-    stage(
-        "fct_marketing",
-        facts.fct_marketing(dim_customer, sales, customer_visits, dim_time),
-        MART_TABLES["fct_marketing"],
+
+    def outside_calendar() -> None:
+        ends = dim_time.agg(F.min("date").alias("first"), F.max("date").alias("last"))
+        outside = sales.join(ends, F.col("order_date").between(F.col("first"), F.col("last")), "left_anti")
+        report.orders_outside_calendar = outside.filter("order_date is not null").count()
+
+    customers = dims.dim_customer(source.customer)
+    ever = facts.sales_window(source.sales, as_of=as_of) if to_replace else None
+    marketing = facts.fct_marketing(customers, sales, visits, dim_time, all_sales=ever)
+    _together(
+        lambda: stage("fct_sales", facts.fct_sales(sales, source.sale_product, dim_time), MART_TABLES["fct_sales"]),
+        lambda: stage("fct_marketing", marketing, MART_TABLES["fct_marketing"]),
+        outside_calendar,
     )
+    _write_manifest(spark, staging, report, since=since, to_replace=to_replace)
     return report
 
 
-def staged_table(spark: SparkSession, staging: str, name: str) -> DataFrame:
-    return spark.read.schema(MART_TABLES[name]).parquet(f"{staging}/{name}")
+def _write_manifest(spark: SparkSession, staging: str, report: RunReport, since: date | None, to_replace: bool) -> None:
+    manifest = {
+        "run": report.run,
+        "number": len(_runs(spark, staging)) + 1,
+        "rows": report.rows,
+        "since": since.isoformat() if since else None,
+        "to_replace": to_replace,
+        "orders_outside_calendar": report.orders_outside_calendar,
+    }
+    files.write_text(spark, f"{staging}/{report.run}/{MANIFEST}", json.dumps(manifest))
+
+
+def _runs(spark: SparkSession, staging: str) -> list[dict]:
+    """Manifests of the complete runs, oldest first."""
+    complete = [
+        json.loads(files.read_text(spark, f"{staging}/{folder}/{MANIFEST}"))
+        for folder in files.folders(spark, staging)
+        if folder.startswith("run-") and files.exists(spark, f"{staging}/{folder}/{MANIFEST}")
+    ]
+    return sorted(complete, key=lambda m: (m["number"], m["run"]))
+
+
+def manifest(spark: SparkSession, staging: str, run: str | None = None) -> dict:
+    """The manifest of a complete run, by default the last one."""
+    found = [m for m in _runs(spark, staging) if run in (None, m["run"])]
+    if not found:
+        raise FileNotFoundError(f"no complete run {run or ''} in {staging}")
+    return found[-1]
+
+
+def staged_table(spark: SparkSession, staging: str, name: str, run: str | None = None) -> DataFrame:
+    run = run or manifest(spark, staging)["run"]
+    return spark.read.schema(MART_TABLES[name]).parquet(f"{staging}/{run}/{name}")
 
 
-def staged_tables(spark: SparkSession, staging: str) -> dict[str, DataFrame]:
-    return {name: staged_table(spark, staging, name) for name in MART_TABLES}
+def staged_tables(spark: SparkSession, staging: str, run: str | None = None) -> dict[str, DataFrame]:
+    run = run or manifest(spark, staging)["run"]
+    return {name: staged_table(spark, staging, name, run) for name in MART_TABLES}
+
+
+def stage_handoffs(
+    spark: SparkSession, folder: str, staging: str, renames: dict[str, dict[str, str]] | None = None
+) -> RunReport:
+    """Stage CSV files ``{folder}/{table}`` of all mart tables as a run, as ``build_mart`` would.
+
+    ``renames`` maps a table's file columns to the table's, for example
+    ``{"fct_sales": {"subtotal": "sales"}}``.
+    """
+    report = RunReport(run=f"run-{uuid4().hex}")
+
+    def stage(name: str) -> None:
+        loaded = bulk_load(spark, f"{folder}/{name}", MART_TABLES[name], rename=(renames or {}).get(name))
+        _, report.rows[name] = _stage(loaded, f"{staging}/{report.run}/{name}", MART_TABLES[name])
+
+    _together(*[lambda n=name: stage(n) for name in MART_TABLES])
+    _write_manifest(spark, staging, report, since=None, to_replace=False)
+    return report
 
 
 def load_mart(
-    spark: SparkSession, staging: str, mart: str, replace_since: date | None = None, keep_versions: int = 5
+    spark: SparkSession,
+    staging: str,
+    mart: str,
+    replace_since: date | None = None,
+    keep_versions: int = 5,
+    run: str | None = None,
 ) -> RunReport:
-    """Upsert the staged dimensions, then append the staged facts.
+    """Upsert a run's dimensions, then append its facts.
 
-    Every input must be present and complete before anything is written. With
-    ``replace_since`` the facts are replaced from the start of that month
-    instead of appended; stage them with ``since=month_start(replace_since)``.
-    Rows without a time key, such as customers without orders in the window,
-    are then those of the last window.
+    Takes the given run or the last complete one. A run's facts are appended
+    once: the mart keeps a mark for each run, and a second append is refused,
+    also after one that broke off. With ``replace_since`` the facts are replaced
+    from the start of that month instead, which may be repeated; such a run is
+    staged with ``since=month_start(replace_since)`` and ``to_replace``.
     """
-    absent = [n for n in (*DIMENSIONS, *FACTS) if not files.is_complete(spark, f"{staging}/{n}")]
-    if absent:
-        raise FileNotFoundError(f"not staged in {staging}: {', '.join(absent)}")
+    found = manifest(spark, staging, run)
+    run = found["run"]
     if replace_since is not None:
-        last_day = staged_table(spark, staging, "dim_time").agg(F.max("date")).first()[0]
-        if last_day is None or last_day < month_start(replace_since):
+        first = month_start(replace_since)
+        if found["since"] not in (None, first.isoformat()) or found["since"] and not found["to_replace"]:
+            raise ValueError(f"{run} was not staged to replace the facts from {first}")
+        last_day = staged_table(spark, staging, "dim_time", run).agg(F.max("date")).first()[0]
+        if last_day is None or last_day < first:
             raise ValueError(f"the calendar ends on {last_day}, before the window; stage a longer one")
     create_mart(spark, mart)
-    report = RunReport()
-    for name in DIMENSIONS:
-        report.changes[name] = upsert_dimension(spark, mart, name, staged_table(spark, staging, name))
+    if replace_since is None and not files.claim(spark, f"{mart}/_appended/{run}", "begun"):
+        state = "was appended already" if files.exists(spark, f"{mart}/_appended/{run}/done") else "broke off"
+        raise ValueError(f"{run} {state}; replace its window instead")
+    report = RunReport(run=run, rows=found["rows"])
+
+    def upsert(name: str) -> None:
+        report.changes[name] = upsert_dimension(spark, mart, name, staged_table(spark, staging, name, run))
         expire_versions(spark, f"{mart}/{name}", keep_versions)
-    for name in FACTS:
-        staged = staged_table(spark, staging, name)
+
+    def load(name: str) -> None:
+        staged = staged_table(spark, staging, name, run)
         if replace_since is None:
             append_fact(staged, f"{mart}/{name}", name)
         else:
             replace_window(staged, f"{mart}/{name}", name, month_start(replace_since))
+
+    _together(*[lambda n=name: upsert(n) for name in DIMENSIONS])
+    _together(*[lambda n=name: load(n) for name in FACTS])
+    if replace_since is None:
+        files.write_text(spark, f"{mart}/_appended/{run}/done", "")
     return report
 
 

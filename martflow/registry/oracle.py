@@ -304,6 +304,17 @@ def _suite() -> str:
         )
         for f, c, d in FOREIGN_KEYS
     ]
+    rows += [
+        _suite_row(
+            "fct_sales",
+            "reconciled",
+            mart,
+            f"""(SELECT CAST(coalesce(sum(CAST({line} AS DECIMAL(18,2))), 0)
+       <> (SELECT coalesce(sum(CAST({mart} AS DECIMAL(18,2))), 0) FROM fct_sales) AS INTEGER) FROM sale_product)""",
+            "sale_product",
+        )
+        for line, mart in (("quantity", "quantity"), ("subtotal", "sales"))
+    ]
     return " UNION ALL ".join(rows)
 
 
@@ -311,11 +322,19 @@ def oracle_sql() -> dict[str, str]:
     whole_sales = with_tables(*SALES_BASE, fct_sales(), select="SELECT * FROM fct_sales")
     whole_visits = with_tables(WEB_VISIT, visits(), select="SELECT * FROM visits")
     whole_marketing = with_tables(*WHOLE_MARKETING, select="SELECT * FROM fct_marketing")
-    customer_products = """
-SELECT s.customer_id AS customer_key, s.ship_to AS location_key, sp.product_id AS product_key, {key}
-       CAST(sum(sp.quantity) AS BIGINT) AS quantity, CAST(sum(sp.subtotal) AS DOUBLE) AS sales
-FROM sale_product sp LEFT JOIN sales s ON sp.sales_id = s.sales_id {join}
-GROUP BY ALL"""
+    # Lines summed per order and product first, orders described by their day's key.
+    order_totals = """order_totals AS (
+  SELECT sales_id, product_id, sum(quantity) AS quantity, sum(subtotal) AS subtotal
+  FROM sale_product GROUP BY sales_id, product_id
+)"""
+    described_orders = """described_orders AS (
+  SELECT sales_id, customer_id, ship_to, (SELECT time_key FROM dim_time WHERE date = order_date) AS time_key FROM sales
+)"""
+    product_totals = """
+SELECT customer_id AS customer_key, ship_to AS location_key, product_id AS product_key, {keys}
+       CAST(sum(quantity) AS BIGINT) AS quantity, CAST(sum(subtotal) AS DOUBLE) AS sales
+FROM order_totals LEFT JOIN {orders} USING (sales_id)
+GROUP BY customer_id, ship_to, product_id {more}"""
     by_place = """
 SELECT {columns}, CAST(sum(quantity) AS BIGINT) AS quantity, CAST(sum(subtotal) AS DOUBLE) AS sales
 FROM sale_product JOIN sales USING (sales_id) LEFT JOIN dim_location ON ship_to = location_key
@@ -354,13 +373,13 @@ FROM sale_product WHERE sales_id IN (SELECT sales_id FROM sales WHERE order_date
         "fct_sales_as_of": with_tables(*SALES_BASE, fct_sales(AS_OF), select="SELECT * FROM fct_sales"),
         "fct_sales_sql": with_tables(
             *SALES_BASE,
-            select=customer_products.format(
-                key="t.time_key,",
-                join="""LEFT JOIN dim_time t
-  ON month(s.order_date) = t.month AND s.order_date = t.date AND year(s.order_date) = t.year""",
-            ),
+            order_totals,
+            described_orders,
+            select=product_totals.format(keys="time_key,", orders="described_orders", more=", time_key"),
+        ),
+        "sales_with_product": with_tables(
+            SALES, LINES, order_totals, select=product_totals.format(keys="", orders="sales", more="")
         ),
-        "sales_with_product": with_tables(SALES, LINES, select=customer_products.format(key="", join="")),
         "visits": whole_visits,
         "visits_since": with_tables(
             WEB_VISIT, visits(f"time_visit >= TIMESTAMP '{VISIT_DAY}'"), select="SELECT * FROM visits"
@@ -400,6 +419,18 @@ FROM sale_product WHERE sales_id IN (SELECT sales_id FROM sales WHERE order_date
             select="SELECT * FROM early UNION ALL SELECT * FROM late",
         ),
         "fact_replace_window": whole_sales,
+        "fact_replace_marketing": whole_marketing,
+        "upsert_customer": upserted(CUSTOMER_CHANGE, "customer_key"),
+        "load_mart": with_tables(
+            *ALL_TABLES,
+            select="""SELECT 'dim_time' AS "table", count(*) AS rows, CAST(sum(time_key) AS DOUBLE) AS total FROM dim_time
+UNION ALL SELECT 'dim_customer', count(*), CAST(sum(points) AS DOUBLE) FROM dim_customer
+UNION ALL SELECT 'dim_product', count(*), CAST(sum(product_key) AS DOUBLE) FROM dim_product
+UNION ALL SELECT 'dim_location', count(*), CAST(sum(location_key) AS DOUBLE) FROM dim_location
+UNION ALL SELECT 'fct_sales', count(*), CAST(sum(CAST(sales AS DECIMAL(18,2))) AS DOUBLE) FROM fct_sales
+UNION ALL SELECT 'fct_marketing', count(*), CAST(count(conversion_rate) AS DOUBLE) FROM fct_marketing""",
+        ),
+        "handoff_sales": whole_sales,
         "csv_round_trip": whole_sales,
         "bulk_load": whole_marketing,
         "indexed_csv_visits": whole_visits,
@@ -446,6 +477,8 @@ WHERE NOT EXISTS (SELECT 1 FROM events WHERE user_id = c_custkey)""",
   UNION ALL
   SELECT 'sales', (SELECT CAST(sum(subtotal) AS DOUBLE) FROM sale_product),
          (SELECT CAST(sum(CAST(sales AS DECIMAL(18,2))) AS DOUBLE) FROM fct_sales)
+  UNION ALL
+  SELECT 'rows', (SELECT CAST(count(*) AS DOUBLE) FROM fct_sales), (SELECT CAST(count(*) AS DOUBLE) FROM fct_sales)
 )""",
             select="SELECT *, mart_value - source_value AS difference FROM totals",
         ),
@@ -470,6 +503,9 @@ GROUP BY customer_key""",
         "report_sales_by_country": with_tables(
             SALES, LINES, DIM_LOCATION, select=by_place.format(columns="region, country")
         ),
+        "report_customers_by_sex": with_tables(
+            DIM_CUSTOMER, select="SELECT sex, count(*) AS customers FROM dim_customer GROUP BY sex"
+        ),
         "report_sales_by_segment": with_tables(
             SALES,
             LINES,

@@ -16,12 +16,21 @@ from pyspark.sql import functions as F
 
 from martflow.functions.dates import iso_week
 from martflow.operators import checks
-from martflow.operators.tables import append_fact, month_start, read_fact, replace_window
+from martflow.operators.tables import (
+    append_fact,
+    month_start,
+    publish,
+    read_current,
+    read_dimension,
+    read_fact,
+    replace_window,
+    upsert_dimension,
+)
 from martflow.operators.upsert import scd1_changes, scd1_counts
 from martflow.operators.windows import in_window
 from martflow.plans import dims, facts, reports
-from martflow.plans.mart import build_mart, staged_tables
-from martflow.schemas import MART_TABLES, VISITS
+from martflow.plans.mart import build_mart, load_mart, mart_tables, staged_tables
+from martflow.schemas import MART_TABLES, VISITS, conform
 from martflow.session import scratch_dir
 from martflow.sources.cache import read_or_build
 from martflow.sources.csv import bulk_load, read_csv, read_indexed_csv, write_csv
@@ -124,13 +133,14 @@ def _fct_sales(spark, sf_dir, **window) -> DataFrame:
     return facts.fct_sales(source.sales, source.sale_product, dims.dim_time(source.sales), **window)
 
 
-def _fct_marketing(spark, sf_dir, **window) -> DataFrame:
+def _fct_marketing(spark, sf_dir, all_sales: bool = False, **window) -> DataFrame:
     source = retail_source(spark, sf_dir)
     return facts.fct_marketing(
         dims.dim_customer(source.customer),
         facts.sales_window(source.sales, **window),
         facts.visits(source.web_visit),
         dims.dim_time(source.sales),
+        all_sales=source.sales if all_sales else None,
     )
 
 
@@ -198,17 +208,23 @@ def fct_marketing_since(spark, sf_dir):
 # incremental extract with changed and blanked values. The two overlap.
 
 
-def _customer_change(spark, sf_dir) -> DataFrame:
-    customer = retail_source(spark, sf_dir).customer
-    target = in_window(dims.dim_customer(customer), "registered", as_of=SNAPSHOT_DAY)
-    source = dims.dim_customer(customer, REGISTERED_AFTER).withColumns(
+def _customer_snapshot(customer: DataFrame) -> DataFrame:
+    return in_window(dims.dim_customer(customer), "registered", as_of=SNAPSHOT_DAY)
+
+
+def _customer_extract(customer: DataFrame) -> DataFrame:
+    return dims.dim_customer(customer, REGISTERED_AFTER).withColumns(
         {
             "name": F.upper("name"),
             "segment": F.nullif("segment", F.lit("BUILDING")),
             "points": F.col("points") + 100,
         }
     )
-    return scd1_changes(target, source, "customer_key")
+
+
+def _customer_change(spark, sf_dir) -> DataFrame:
+    customer = retail_source(spark, sf_dir).customer
+    return scd1_changes(_customer_snapshot(customer), _customer_extract(customer), "customer_key")
 
 
 def _product_change(spark, sf_dir) -> DataFrame:
@@ -314,6 +330,66 @@ def fact_replace_window(spark, sf_dir):
     return _shown(read_fact(spark, path, "fct_sales"), "sales")
 
 
+@query
+def fact_replace_marketing(spark, sf_dir):
+    """The whole fact after its last months were loaded again, twice."""
+    path = _scratch(spark, "fct_marketing")
+    append_fact(_fct_marketing(spark, sf_dir), path, "fct_marketing")
+    since = month_start(REPLACED_FROM)
+    for _ in range(2):
+        replace_window(_fct_marketing(spark, sf_dir, all_sales=True, since=since), path, "fct_marketing", since)
+    return read_fact(spark, path, "fct_marketing")
+
+
+@query
+def upsert_customer(spark, sf_dir):
+    """A later extract with changed values, stored and merged into a published dimension."""
+    mart, extract = _scratch(spark, "mart"), _scratch(spark, "extract")
+    customer = retail_source(spark, sf_dir).customer
+    publish(conform(_customer_snapshot(customer), MART_TABLES["dim_customer"]), f"{mart}/dim_customer")
+    publish(_customer_extract(customer), extract)
+    upsert_dimension(spark, mart, "dim_customer", read_current(spark, extract, MART_TABLES["dim_customer"]))
+    return read_dimension(spark, mart, "dim_customer")
+
+
+@query
+def load_mart_(spark, sf_dir):
+    """Rows and totals of all six tables after a full run, its load, and a weekly window."""
+    source, staging, mart = retail_source(spark, sf_dir), _scratch(spark, "staging"), _scratch(spark, "mart")
+    build_mart(source, staging)
+    load_mart(spark, staging, mart)
+    build_mart(source, staging, since=month_start(REPLACED_FROM), to_replace=True)
+    load_mart(spark, staging, mart, replace_since=REPLACED_FROM)
+    tables = mart_tables(spark, mart)
+    totals = {
+        "dim_time": F.sum("time_key"),
+        "dim_customer": F.sum("points"),
+        "dim_product": F.sum("product_key"),
+        "dim_location": F.sum("location_key"),
+        "fct_sales": F.sum("sales"),
+        "fct_marketing": F.count("conversion_rate"),
+    }
+    return checks.union_all(
+        [
+            tables[name].agg(
+                F.lit(name).alias("table"), F.count(F.lit(1)).alias("rows"), total.cast("double").alias("total")
+            )
+            for name, total in totals.items()
+        ]
+    )
+
+
+@query
+def handoff_sales(spark, sf_dir):
+    """The sales fact from files that call the sales ``subtotal`` and write keys with a fraction."""
+    path = _scratch(spark, "fct_sales_handoff")
+    written = _fct_sales(spark, sf_dir).withColumnRenamed("sales", "subtotal")
+    keys = {c: F.col(c).cast("decimal(20,1)") for c in ("location_key", "time_key")}
+    write_csv(written.withColumns(keys), path, key="product_key")
+    loaded = bulk_load(spark, path, MART_TABLES["fct_sales"], rename={"subtotal": "sales"})
+    return _shown(loaded, "sales")
+
+
 @query
 def csv_round_trip(spark, sf_dir):
     path = _scratch(spark, "fct_sales_csv")
@@ -397,8 +473,14 @@ def check_completeness(spark, sf_dir):
 
 @query
 def check_reconciliation(spark, sf_dir):
+    """Totals of the fact against the lines, and the rows each day had against those the fact has."""
     lines = retail_source(spark, sf_dir).sale_product
-    return checks.reconciliation(lines, _fct_sales(spark, sf_dir), {"quantity": "quantity", "subtotal": "sales"})
+    totals = checks.reconciliation(lines, _fct_sales(spark, sf_dir), {"quantity": "quantity", "subtotal": "sales"})
+    path = _scratch(spark, "fct_sales")
+    append_fact(_fct_sales(spark, sf_dir), path, "fct_sales")
+    built = _fct_sales(spark, sf_dir).withColumn("one", F.lit(1))
+    stored = read_fact(spark, path, "fct_sales").withColumn("rows", F.lit(1))
+    return totals.unionByName(checks.reconciliation(built, stored, {"one": "rows"}))
 
 
 @query
@@ -429,7 +511,8 @@ def check_fk_orphans(spark, sf_dir):
 
 @query
 def check_suite(spark, sf_dir):
-    return checks.check_suite(_staged_mart(spark, sf_dir))
+    lines = retail_source(spark, sf_dir).sale_product
+    return checks.check_suite(_staged_mart(spark, sf_dir), lines=lines)
 
 
 # --- reports ------------------------------------------------------------------------
@@ -454,6 +537,12 @@ def report_sales_by_segment(spark, sf_dir):
     return _shown(reports.sales_by_segment(_fct_sales(spark, sf_dir), dim_customer(spark, sf_dir)), "sales")
 
 
+@query
+def report_customers_by_sex(spark, sf_dir):
+    """The test tables tell nobody's sex: one unknown group."""
+    return reports.customers_by_sex(dim_customer(spark, sf_dir))
+
+
 @query
 def report_retention(spark, sf_dir):
     return reports.visit_retention(retail_source(spark, sf_dir).web_visit)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -22,39 +21,42 @@ ADAPTIVE = {
 }
 SETTINGS = {**ADAPTIVE, "spark.sql.session.timeZone": "UTC"}
 
-# Shuffle partitions: one per this many stored input bytes. Adaptive execution
-# merges those that turn out small, but it cannot make more of them. The driver
-# tracks scan tasks times shuffle partitions, so both are bounded; scan tasks by
-# reading more bytes in each.
 MIB = 1024 * 1024
-BYTES_PER_PARTITION = 128 * MIB
-MOST_PARTITIONS = 20_000
-MOST_SCAN_TASKS = 200_000
-LARGEST_SCAN = 1024 * MIB
 
 
-def shuffle_partitions(input_bytes: int, at_least: int) -> int:
-    return max(at_least, min(math.ceil(input_bytes / BYTES_PER_PARTITION), MOST_PARTITIONS))
+def shuffle_partitions(shuffled_bytes: int, at_least: int, partition_bytes: int, most: int | None) -> int:
+    wanted = max(at_least, math.ceil(shuffled_bytes / partition_bytes))
+    return wanted if most is None else min(wanted, max(most, at_least))
 
 
-def scan_bytes(input_bytes: int, at_least: int) -> int:
-    return max(at_least, min(math.ceil(input_bytes / MOST_SCAN_TASKS), LARGEST_SCAN))
+def prepare(
+    spark: SparkSession,
+    *inputs: str,
+    shuffled_bytes: int | None = None,
+    partition_bytes: int = 128 * MIB,
+    most_partitions: int | None = None,
+) -> SparkSession:
+    """Fit a running session to what its next plans shuffle; returns it.
 
+    Sets one shuffle partition per ``partition_bytes``; adaptive execution merges
+    those that turn out small, but it cannot make more of them. What is shuffled
+    is the stored size of ``inputs``, or ``shuffled_bytes`` where there are no
+    files to measure, as for a catalogue or a database. The setting is only
+    raised.
 
-def prepare(spark: SparkSession, *inputs: str) -> SparkSession:
-    """Fit a running session to the size of the stored inputs; returns it."""
+    There is no bound unless ``most_partitions`` gives one. Without it 100 TiB
+    make 819,200 partitions; the driver holds about a byte per scan task and
+    partition in the tracker of map outputs, so for such inputs read more bytes
+    in a scan task (``spark.sql.files.maxPartitionBytes``) or give a bound and
+    larger executors. A bound of 20,000 costs 5 GiB a partition at 100 TiB.
+    """
     for name, value in ADAPTIVE.items():
         spark.conf.set(name, value)
-    stored = sum(files.size(spark, path) for path in inputs)
-    as_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
-    for name, fit, parse in (
-        ("spark.sql.shuffle.partitions", shuffle_partitions, int),
-        ("spark.sql.files.maxPartitionBytes", scan_bytes, as_bytes),
-    ):
-        present = parse(spark.conf.get(name))
-        wanted = fit(stored, present)
-        if wanted != present:
-            spark.conf.set(name, str(wanted))
+    size = sum(files.size(spark, path) for path in inputs) if shuffled_bytes is None else shuffled_bytes
+    present = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = shuffle_partitions(size, present, partition_bytes, most_partitions)
+    if wanted != present:
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
     return spark
 
 
@@ -80,15 +82,16 @@ def local_session(cpus: int = 8, app_name: str = "martflow", **extra: str) -> Sp
     return spark
 
 
-def scratch_dir(spark: SparkSession) -> str:
+def scratch_dir(spark: SparkSession, folder: str | None = None) -> str:
     """The shared folder for intermediate tables.
 
-    Clusters name it in ``spark.checkpoint.dir``. Only a local session may fall
-    back to a folder of this machine; on a cluster executors could not see it.
+    The given one, else that of ``spark.checkpoint.dir`` or
+    ``SparkContext.setCheckpointDir``, else one below the session's warehouse.
+    On a cluster a folder of one machine is refused: executors could not see it.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    return tempfile.mkdtemp(prefix="martflow-")
+    found = folder or spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    found = (found or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch").rstrip("/")
+    local = found.startswith(("file:", "/")) and spark._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///").startswith("file:")
+    if local and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"{found} is a folder of one machine; set spark.checkpoint.dir to one every executor can reach")
+    return found

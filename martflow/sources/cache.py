@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from martflow.operators.files import is_complete
+from martflow.operators.tables import current_version, publish, read_current
 from martflow.schemas import conform
 
 
@@ -16,10 +16,10 @@ def read_or_build(
 ) -> DataFrame:
     """Read the parquet table at ``path``; build and write it first if absent.
 
-    A table counts as present once its write has committed, so one that died
-    half-way is built again. The store is never refreshed: use another path,
-    or delete it, to get newer data.
+    A table counts as present once it is published, so one that died half-way is
+    built again. The store is never refreshed: use another path to get newer
+    data.
     """
-    if not is_complete(spark, path):
-        conform(build(), schema).write.mode("overwrite").parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    if current_version(spark, path) is None:
+        publish(conform(build(), schema), path)
+    return read_current(spark, path, schema)

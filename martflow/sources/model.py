@@ -7,7 +7,7 @@ from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martflow.schemas import SOURCE_TABLES
+from martflow.schemas import SOURCE_TABLES, conform
 from martflow.sources.jdbc import key_range, read_table
 
 
@@ -34,16 +34,19 @@ class StoredSource:
     web_visit: DataFrame
 
 
+def _conformed(**frames: DataFrame) -> RetailSource:
+    """Frames with the library's columns and types, whatever types they are stored with."""
+    return StoredSource(**{name: conform(frames[name], schema) for name, schema in SOURCE_TABLES.items()})
+
+
 def parquet_source(spark: SparkSession, root: str) -> RetailSource:
-    """The source tables as parquet folders ``{root}/{table}``."""
-    return StoredSource(
-        **{name: spark.read.schema(schema).parquet(f"{root}/{name}") for name, schema in SOURCE_TABLES.items()}
-    )
+    """The source tables as parquet folders ``{root}/{table}``, read with their own types."""
+    return _conformed(**{name: spark.read.parquet(f"{root}/{name}") for name in SOURCE_TABLES})
 
 
 def catalog_source(spark: SparkSession, database: str) -> RetailSource:
     """The source tables from the session catalogue."""
-    return StoredSource(**{name: spark.table(f"{database}.{name}") for name in SOURCE_TABLES})
+    return _conformed(**{name: spark.table(f"{database}.{name}") for name in SOURCE_TABLES})
 
 
 # What splits each table evenly for parallel reads from a database. Visits go by
@@ -77,4 +80,4 @@ def database_source(
         span = (bounds or {}).get(name) or key_range(spark, url, name, column, **options)
         split = {"split_column": column, "bounds": span, "partitions": partitions} if span else {}
         frames[name] = read_table(spark, url, name, **split, **options)
-    return StoredSource(**frames)
+    return _conformed(**frames)

@@ -1,6 +1,7 @@
 import pytest
 
 from frames import day, mart, money, rows
+from martflow.functions.text import POSTAL_CODE
 from martflow.operators import checks
 from martflow.schemas import FOREIGN_KEYS
 
@@ -114,3 +115,15 @@ def test_orphan_keys(spark):
     fact = spark.createDataFrame([(1,), (2,), (2,), (None,)], "c int")
     dim = spark.createDataFrame([(1,)], "k int")
     assert rows(checks.orphan_keys(fact, "c", dim, "k")) == [(2, 2)]
+
+
+def test_reconciliation_is_exact_for_large_totals(spark):
+    lines = spark.sql("select cast(9.1e15 as decimal(18,2)) subtotal union all select cast(0.01 as decimal(18,2))")
+    sales = spark.sql("select cast(9.1e15 as decimal(18,2)) sales")
+    (row,) = checks.reconciliation(lines, sales, {"subtotal": "sales"}).collect()
+    assert row["difference"] == -0.01
+
+
+def test_postal_codes_end_with_their_digits(spark):
+    codes = spark.createDataFrame([("12345",), ("12345\n",), ("1234",)], "code string")
+    assert checks.misformatted_rows(codes, "code", POSTAL_CODE).count() == 2

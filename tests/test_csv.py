@@ -83,6 +83,25 @@ def test_unnamed_index_column_is_dropped(spark, tmp_path):
         read_indexed_csv(spark, str(path), LOCATION)
 
 
+def test_a_second_file_with_other_columns_fails(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text(",customer_key,visits\n0,184,112\n")
+    (tmp_path / "in" / "b.csv").write_text(",visits,customer_key\n0,100,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_indexed_csv(spark, str(tmp_path / "in"), VISITS).collect()
+
+
+def test_bulk_load_renames_and_reads_whole_numbers_with_a_fraction(spark, tmp_path):
+    path = tmp_path / "in.csv"
+    path.write_text("time_key,customer_key,location_key,product_key,quantity,subtotal\n20240101.0,5.0,,7,2.00,9.50\n")
+    loaded = bulk_load(spark, str(path), MART_TABLES["fct_sales"], rename={"subtotal": "sales"})
+    assert loaded.schema.simpleString() == MART_TABLES["fct_sales"].simpleString()
+    assert [tuple(map(str, r)) for r in loaded.collect()] == [("5", "None", "7", "20240101", "2", "9.50")]
+    path.write_text("time_key,customer_key,location_key,product_key,quantity,subtotal\n20240101,5.5,1,7,2,9.50\n")
+    with pytest.raises(Exception, match="whole number"):
+        bulk_load(spark, str(path), MART_TABLES["fct_sales"], rename={"subtotal": "sales"}).collect()
+
+
 def test_read_or_build_builds_once(spark, tmp_path):
     path = str(tmp_path / "store")
     calls = []
@@ -94,5 +113,5 @@ def test_read_or_build_builds_once(spark, tmp_path):
     assert rows(read_or_build(spark, path, build, VISITS)) == [(1, 10)]
     assert rows(read_or_build(spark, path, build, VISITS)) == [(1, 10)]
     assert len(calls) == 1
-    (tmp_path / "store" / "_SUCCESS").unlink()  # as if the write had died
-    assert rows(read_or_build(spark, path, build, VISITS)) == [(1, 20)]
+    spark.createDataFrame([(1, 5)], VISITS).write.parquet(f"{tmp_path}/dead/data-1")  # a write that died
+    assert rows(read_or_build(spark, f"{tmp_path}/dead", build, VISITS)) == [(1, 20)]

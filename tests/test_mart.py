@@ -10,6 +10,7 @@ from martflow.operators import checks
 from martflow.operators.tables import read_dimension, read_fact
 from martflow.plans import dims, facts, mart
 from martflow.schemas import SOURCE_TABLES
+from martflow.sources.csv import write_csv
 from martflow.sources.model import StoredSource, parquet_source
 from martflow.sources.testtables import retail_source
 
@@ -41,7 +42,7 @@ def test_staging_counts_what_it_wrote(spark, staged):
 
 
 def test_loading_is_refused_while_an_input_is_absent(spark, tmp_path):
-    with pytest.raises(FileNotFoundError, match="dim_time, .*fct_marketing"):
+    with pytest.raises(FileNotFoundError, match="no complete run"):
         mart.load_mart(spark, str(tmp_path), str(tmp_path / "mart"))
     assert not (tmp_path / "mart").exists()
 
@@ -61,11 +62,24 @@ def test_load_then_check(spark, source, staged, tmp_path):
     totals = checks.reconciliation(source.sale_product, tables["fct_sales"], {"quantity": "quantity", "subtotal": "sales"})
     assert {r["difference"] for r in totals.collect()} == {0.0}
 
-    # The same week again: dimensions do not grow, appended facts double.
-    again = mart.load_mart(spark, staging, root)
-    assert again.changes["dim_customer"] == {"updated_count": 150, "inserted_count": 0, "kept_count": 0}
+    # The same run again is refused and changes nothing; a run for the same week is another run.
+    with pytest.raises(ValueError, match="appended already"):
+        mart.load_mart(spark, staging, root)
     assert read_dimension(spark, root, "dim_customer").count() == 150
-    assert read_fact(spark, f"{root}/fct_sales", "fct_sales").count() == 2 * report.rows["fct_sales"]
+    assert read_fact(spark, f"{root}/fct_sales", "fct_sales").count() == report.rows["fct_sales"]
+
+
+def test_a_build_that_dies_leaves_no_run(spark, source, tmp_path, monkeypatch):
+    staging, root = str(tmp_path / "staging"), str(tmp_path / "mart")
+    mart.build_mart(source, staging)
+    rows_before = mart.load_mart(spark, staging, root).rows["fct_sales"]
+    monkeypatch.setattr(mart.facts, "fct_marketing", lambda *a, **k: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        mart.build_mart(source, staging)
+    # The last complete run is the one that is loaded already.
+    with pytest.raises(ValueError, match="appended already"):
+        mart.load_mart(spark, staging, root)
+    assert read_fact(spark, f"{root}/fct_sales", "fct_sales").count() == rows_before
 
 
 def test_weekly_replacement_equals_one_full_run(spark, source, staged, tmp_path):
@@ -73,12 +87,16 @@ def test_weekly_replacement_equals_one_full_run(spark, source, staged, tmp_path)
     root, weekly = str(tmp_path / "mart"), str(tmp_path / "weekly")
     mart.load_mart(spark, staging, root)
     since = mart.month_start(date(2000, 6, 15))
-    part = mart.build_mart(source, weekly, since=since)
+    mart.build_mart(source, weekly, since=since)
+    with pytest.raises(ValueError, match="not staged to replace"):
+        mart.load_mart(spark, weekly, root, replace_since=date(2000, 6, 15))
+    part = mart.build_mart(source, weekly, since=since, to_replace=True)
     assert part.rows["sales_data"] == source.sales.filter(F.col("order_date") >= since).count()
     for _ in range(2):
         mart.load_mart(spark, weekly, root, replace_since=date(2000, 6, 15))
-    stored = read_fact(spark, f"{root}/fct_sales", "fct_sales")
-    assert rows(stored) == rows(mart.staged_table(spark, staging, "fct_sales"))
+    for name in ("fct_sales", "fct_marketing"):
+        stored = read_fact(spark, f"{root}/{name}", name)
+        assert rows(stored) == rows(mart.staged_table(spark, staging, name))
 
 
 def test_a_window_past_the_calendar_is_refused(spark, source, tmp_path):
@@ -89,10 +107,38 @@ def test_a_window_past_the_calendar_is_refused(spark, source, tmp_path):
     assert not (tmp_path / "mart").exists()
 
 
-def test_visits_are_stored_once_and_reused(spark, source, tmp_path):
-    staging = str(tmp_path)
-    mart.build_mart(source, staging)
-    first = rows(spark.read.parquet(f"{staging}/customer_visit"))
+def test_visits_are_counted_anew_unless_reuse_is_asked_for(spark, source, tmp_path):
+    staging, store = str(tmp_path / "staging"), str(tmp_path / "store")
     without = StoredSource(**{**source.__dict__, "web_visit": source.web_visit.limit(0)})
-    mart.build_mart(without, staging)
-    assert rows(spark.read.parquet(f"{staging}/customer_visit")) == first
+    rates = lambda run: rows(mart.staged_table(spark, staging, "fct_marketing", run))
+    first = rates(mart.build_mart(source, staging, visits_store=store).run)
+    assert rates(mart.build_mart(without, staging, visits_store=store).run) == first
+    assert rates(mart.build_mart(without, staging).run) != first
+    # Another window is not served from the store.
+    early = rates(mart.build_mart(source, staging, visits_store=store, visits_as_of=date(2000, 1, 1)).run)
+    assert early == rates(mart.build_mart(without, staging).run)
+
+
+def test_a_calendar_to_the_last_order(spark, source, tmp_path):
+    short = mart.build_mart(source, str(tmp_path / "short"), calendar_days=30)
+    assert short.orders_outside_calendar > 0
+    full = mart.build_mart(source, str(tmp_path / "full"), calendar_days=None, registered_after=date(1995, 6, 30))
+    assert full.orders_outside_calendar == 0
+    first, last = source.sales.agg(F.min("order_date"), F.max("order_date")).first()
+    assert full.rows["dim_time"] == (last - first).days + 1
+    # Dimensions are the new ones only, facts have all customers.
+    assert full.rows["dim_customer"] < short.rows["dim_customer"]
+    assert full.rows["fct_marketing"] == short.rows["fct_marketing"]
+
+
+def test_handoffs_load_like_a_run(spark, staged, tmp_path):
+    staging, report = staged
+    for name, df in mart.staged_tables(spark, staging).items():
+        write_csv(df.withColumnRenamed("sales", "subtotal"), f"{tmp_path}/csv/{name}")
+    loaded = mart.stage_handoffs(
+        spark, f"{tmp_path}/csv", f"{tmp_path}/staging", renames={"fct_sales": {"subtotal": "sales"}}
+    )
+    assert loaded.rows == {n: report.rows[n] for n in loaded.rows}
+    mart.load_mart(spark, f"{tmp_path}/staging", f"{tmp_path}/mart")
+    for name, df in mart.mart_tables(spark, f"{tmp_path}/mart").items():
+        assert rows(df) == rows(mart.staged_table(spark, staging, name))

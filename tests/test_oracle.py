@@ -9,7 +9,8 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
-from martflow.operators import skew
+from martflow.registry import oracle
+from martflow.registry.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events".split()
@@ -42,21 +43,22 @@ def sorted_rows(rows):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(oracle.oracle_sql())
+    assert set(QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())
 
 
 def test_entry_is_a_lazy_frame(spark):
     assert entry(spark).columns[0] == "customer_key"
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, duck, name):
     compare(spark, duck, name)
 
 
 @pytest.fixture
-def large_plans(spark, monkeypatch):
-    """Plans as for large data: no broadcast by size, skewed partitions split, frequent keys spread."""
+def large_plans(spark):
+    """Plans as for large data: no broadcast by size, skewed partitions split."""
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -67,7 +69,6 @@ def large_plans(spark, monkeypatch):
     before = {k: spark.conf.get(k, None) for k in settings}
     for k, v in settings.items():
         spark.conf.set(k, v)
-    monkeypatch.setattr(skew, "HOT_ROWS", 1)
     yield
     for k, v in before.items():
         spark.conf.set(k, v) if v is not None else spark.conf.unset(k)

@@ -2,7 +2,7 @@ import pytest
 
 from martflow.operators import files
 from martflow.schemas import SOURCE_TABLES
-from martflow.session import prepare, scan_bytes, scratch_dir, shuffle_partitions
+from martflow.session import prepare, scratch_dir
 from martflow.sources import jdbc, model
 
 
@@ -27,6 +27,9 @@ class Reader:
         assert name == "jdbc"
         return self
 
+    def select(self, *columns):
+        return self
+
     def options(self, **options):
         self.seen.append(options)
         return self
@@ -44,7 +47,7 @@ def test_query_becomes_a_derived_table():
     assert reader.seen[0]["dbtable"] == "(select 1) AS q"
 
 
-def test_every_database_table_is_split():
+def test_every_database_table_is_split(spark):
     reader = Reader()
     model.database_source(reader, "jdbc:x", partitions=4, bounds={"sales": (5, 6)}, password="p")
     tables = {o["dbtable"]: o for o in reader.seen if not o["dbtable"].startswith("(")}
@@ -58,7 +61,7 @@ def test_every_database_table_is_split():
     assert all(o["password"] == "p" for o in reader.seen)
 
 
-def test_an_empty_database_table_needs_no_split():
+def test_an_empty_database_table_needs_no_split(spark):
     reader = Reader(answer=(None, None))
     model.database_source(reader, "jdbc:x")
     assert all("partitionColumn" not in o for o in reader.seen)
@@ -68,32 +71,45 @@ def test_scratch_folder_comes_from_the_session(spark):
     assert scratch_dir(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
-def test_shuffle_partitions_grow_with_the_input():
-    gib = 1024**3
-    assert shuffle_partitions(0, at_least=8) == 8
-    assert shuffle_partitions(10 * gib, at_least=8) == 80
-    assert shuffle_partitions(10 * gib, at_least=200) == 200
-    assert shuffle_partitions(100 * 1024 * gib, at_least=200) == 20_000
-
-
-def test_scan_tasks_stay_countable():
-    mib = 1024**2
-    assert scan_bytes(1024 * mib, at_least=128 * mib) == 128 * mib
-    assert 500 * mib < scan_bytes(100 * 1024**4, at_least=128 * mib) < 550 * mib
-    assert scan_bytes(10**18, at_least=128 * mib) == 1024 * mib
+def test_scratch_folder_may_be_given_and_is_shared(spark, monkeypatch):
+    assert scratch_dir(spark, "hdfs://x/y/") == "hdfs://x/y"
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    with pytest.raises(ValueError, match="one machine"):
+        scratch_dir(spark, "file:///tmp/x")
+    assert scratch_dir(spark, "s3a://bucket/x") == "s3a://bucket/x"
 
 
 def test_prepare_fits_a_session_to_large_inputs(spark, monkeypatch):
-    names = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")
-    before = {n: spark.conf.get(n) for n in names}
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
     monkeypatch.setattr(files, "size", lambda spark, path: 50 * 1024**4)
     try:
+        prepare(spark, "lines", "orders", most_partitions=20_000)
+        assert spark.conf.get(name) == "20000"
         prepare(spark, "lines", "orders")
-        assert spark.conf.get(names[0]) == "20000"
-        assert spark.conf.get(names[1]) == str(scan_bytes(100 * 1024**4, 0))
+        assert spark.conf.get(name) == str(100 * 8192)
+        spark.conf.set(name, before)
+        # Without files the caller says what is shuffled.
+        prepare(spark, shuffled_bytes=10 * 1024**3)
+        assert spark.conf.get(name) == "80"
     finally:
-        for n, v in before.items():
-            spark.conf.set(n, v)
+        spark.conf.set(name, before)
+
+
+def test_sources_with_other_types(spark, tmp_path):
+    """Timestamps for days and floats for money and ratings, as some databases have them."""
+    spark.sql(
+        "select 1 sales_id, 2 customer_id, 3 ship_to, timestamp'2024-01-02 03:04:05' order_date, 9.99D total, 'x' more"
+    ).write.parquet(f"{tmp_path}/sales")
+    spark.sql("select 1 sales_id, 5 product_id, 2L quantity, 19.98D subtotal, 4.5D ratings").write.parquet(
+        f"{tmp_path}/sale_product"
+    )
+    for name in set(SOURCE_TABLES) - {"sales", "sale_product"}:
+        spark.createDataFrame([], SOURCE_TABLES[name]).write.parquet(f"{tmp_path}/{name}")
+    source = model.parquet_source(spark, str(tmp_path))
+    assert source.sales.schema.simpleString() == SOURCE_TABLES["sales"].simpleString()
+    assert [tuple(map(str, r)) for r in source.sales.collect()] == [("1", "2", "3", "2024-01-02", "9.99")]
+    assert str(source.sale_product.first()["ratings"]) == "4.5"
 
 
 def test_prepare_keeps_a_session_that_is_large_enough(spark):
