@@ -1,0 +1,87 @@
+"""Sharding against the public hash function and its laws."""
+
+from __future__ import annotations
+
+import math
+import struct
+import zlib
+from collections import Counter, defaultdict
+
+import xxhash
+from pyspark.sql import functions as F
+from samples import awkward_texts, documents, rows_of
+
+from martflow.llm.queries import SHARD_TREE, op1_hash_tree
+from martflow.llm.sharding import descend, shard_documents, shard_weight, uniform_tree, with_shard
+
+
+def spark_hash(key: int | None, text: str) -> int:
+    seed = 42
+    if key is not None:
+        seed = xxhash.xxh64(struct.pack("<q", key), seed=seed).intdigest()
+    return xxhash.xxh64(text.encode(), seed=seed).intdigest()
+
+
+def plain_shard(key, tree, path=""):
+    draws = []
+    for name, child in tree.items():
+        u = ((spark_hash(key, f"{path}/{name}") >> 11) + 0.5) / 2**53
+        draws.append((-math.log(u) / shard_weight(child), name))
+    name = min(draws)[1]
+    return plain_shard(key, tree[name], f"{path}/{name}") if isinstance(tree[name], dict) else name
+
+
+def check(rows, docs):
+    grown = with_shard(SHARD_TREE)
+    wanted = Counter(
+        (
+            d.doc_id,
+            len((d.text or "").encode()) + 8,
+            zlib.crc32((d.text or "").encode()),
+            plain_shard(d.doc_id, SHARD_TREE),
+            plain_shard(d.doc_id, grown),
+        )
+        for d in docs
+    )
+    assert Counter((r.doc_id, r.size, r.text_crc32, r.shard, r.grown_shard) for r in rows) == wanted
+    slots = defaultdict(list)
+    for r in rows:
+        slots[r.shard].append(r.slot)
+        assert r.grown_shard in (r.shard, 24) and r.law == "key"
+    for own in slots.values():
+        assert sorted(own) == list(range(len(own)))
+
+
+def test_table(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    check(op1_hash_tree(spark, sf_dir).collect(), docs)
+
+
+def test_awkward_rows(spark):
+    docs = documents(spark, awkward_texts() + ["same"] * 40)
+    check(shard_documents(docs, SHARD_TREE, with_shard(SHARD_TREE)).collect(), docs.collect())
+    assert rows_of(shard_documents(docs, SHARD_TREE), "grown_shard") == [(None,)] * docs.count()
+    assert shard_documents(documents(spark, []), SHARD_TREE).count() == 0
+
+
+def test_shares_follow_weights_and_moves_stay_in_changed_subtrees(spark):
+    tree = uniform_tree(2, 2, 2)
+    tree["region0"]["rack1"][3] = 4.0  # weights: 1 1 1 4 | 1 1 1 1
+    heavier = {**tree, "region1": {**tree["region1"], "rack0": {4: 3.0, 5: 1.0}}}
+    ids = spark.range(20_000).withColumnRenamed("id", "doc_id")
+    moved = descend(descend(ids, tree), heavier, prefix="new_").cache()
+    share = {r.shard: r["count"] / 20_000 for r in moved.groupBy("shard").count().collect()}
+    for shard, weight in enumerate([1, 1, 1, 4, 1, 1, 1, 1]):
+        assert abs(share[shard] - weight / 11) < 0.01
+    changed = moved.filter("shard != new_shard")
+    assert 0.05 < changed.count() / 20_000 < 0.25
+    # Only region 1, only its first rack within it, only shard 4 within that became heavier.
+    assert changed.filter("region != new_region and new_region != 'region1'").count() == 0
+    assert changed.filter("region = 'region1' and rack != new_rack and new_rack != 'rack0'").count() == 0
+    assert changed.filter("region = 'region1' and rack = 'rack0' and new_shard != 4").count() == 0
+    # A shard without weight gets nothing; nobody else moves.
+    drained = {**tree, "region0": {**tree["region0"], "rack0": {0: 1.0, 1: 0.0}}}
+    after = descend(descend(ids, tree), drained, prefix="new_")
+    assert after.filter("new_shard = 1").count() == 0
+    left = after.filter("shard != new_shard").select(F.countDistinct("region")).first()[0]
+    assert left == 1
