@@ -420,7 +420,7 @@ FROM sale_product WHERE sales_id IN (SELECT sales_id FROM sales WHERE order_date
         ),
         "fact_replace_window": whole_sales,
         "fact_replace_marketing": whole_marketing,
-        "upsert_customer": upserted(CUSTOMER_CHANGE, "customer_key"),
+        "upsert_customer": f"""SELECT * EXCLUDE (change) FROM ({upserted(CUSTOMER_CHANGE, "customer_key")})""",
         "load_mart": with_tables(
             *ALL_TABLES,
             select="""SELECT 'dim_time' AS "table", count(*) AS rows, CAST(sum(time_key) AS DOUBLE) AS total FROM dim_time
