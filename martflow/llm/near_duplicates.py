@@ -202,8 +202,13 @@ def near_duplicates(
         ),
         "signatures",
     )
-    first = signed.filter("class is not null").groupBy("class").agg(
-        F.min("row").alias("rep"), F.min("doc_id").alias("text_class")
+    # Groupings are stored before they are joined on their key: a join of two plain tables is one whose
+    # partitions adaptive execution can split, whatever a class of copies weighs.
+    first = stored(
+        signed.filter("class is not null").groupBy("class").agg(
+            F.min("row").alias("rep"), F.min("doc_id").alias("text_class")
+        ),
+        "first",
     )
     members = stored(
         signed.select("row", "doc_id", "bytes", "class")
@@ -213,13 +218,18 @@ def near_duplicates(
     )
     reps = first.select("rep")
     entries = signed.join(reps, F.col("row") == F.col("rep")).select("row", F.explode("prefixes").alias("prefix"))
-    heads = entries.groupBy("prefix").agg(F.min("row").alias("head"), F.max("row").alias("last")).filter("head < last")
+    heads = stored(
+        entries.groupBy("prefix").agg(F.min("row").alias("head"), F.max("row").alias("last")).filter("head < last"), "heads"
+    )
     edges = entries.join(heads, "prefix").filter("row != head").select(F.col("row").alias("a"), F.col("head").alias("b"))
     parts = components(edges)
 
     sized = parts.join(members.select("row", "bytes"), F.col("node") == F.col("row")).select("node", "component", "bytes")
-    blocks = sized.groupBy("component").agg(
-        F.ceil(F.sum("bytes") / F.lit(block_bytes)).cast("int").alias("blocks"), F.sum("bytes").alias("part_bytes")
+    blocks = stored(
+        sized.groupBy("component").agg(
+            F.ceil(F.sum("bytes") / F.lit(block_bytes)).cast("int").alias("blocks"), F.sum("bytes").alias("part_bytes")
+        ),
+        "blocks",
     )
     packs = max(1, (blocks.filter("blocks = 1").agg(F.sum("part_bytes")).first()[0] or 0) // block_bytes)
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
@@ -251,13 +261,16 @@ def near_duplicates(
     )
     links = verified.groupBy("node").agg(F.sum("links").alias("links"))
     classes = components(verified.filter("node != root").select(F.col("node").alias("a"), F.col("root").alias("b")))
-    of_text = links.join(classes, "node", "left").select(
-        F.col("node").alias("rep"), "links", F.coalesce("component", "node").alias("class_row")
+    of_text = stored(
+        links.join(classes, "node", "left").select(
+            F.col("node").alias("rep"), "links", F.coalesce("component", "node").alias("class_row")
+        ),
+        "of-text",
     )
     found = members.join(of_text, "rep", "left").select(
         "row", "doc_id", "text_class", F.coalesce("class_row", "rep").alias("class_row"), F.coalesce("links", F.lit(0)).alias("n_links")
     )
-    named = found.groupBy("class_row").agg(F.min("doc_id").alias("class_id"))
+    named = stored(found.groupBy("class_row").agg(F.min("doc_id").alias("class_id")), "named")
     return found.join(named, "class_row").select("doc_id", "class_id", "n_links", "text_class", "row", "class_row")
 
 

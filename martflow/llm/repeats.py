@@ -302,7 +302,9 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD
     each = signed.join(copies.select("rep"), F.col("row") == F.col("rep")).select(
         "row", F.inline(F.arrays_zip(F.col("anchors").alias("anchor"), "first", "last"))
     )
-    common = each.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
+    # Groupings are stored before they are joined on their key: a join of two plain tables is one whose
+    # partitions adaptive execution can split, whatever a frequent anchor weighs.
+    common = stored(each.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor"), "common")
     held = stored(each.join(common, "anchor"), "repeated-anchors")
     own = held.groupBy("row").agg(
         F.min("anchor").alias("mark"), F.sum(F.col("last") - F.col("first") + 1).alias("weight"), F.count(F.lit(1)).alias("n")
@@ -323,11 +325,12 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD
         "shards",
     )
     placed = held.join(dealt, "row")
-    abroad = (
+    abroad = stored(
         placed.groupBy("anchor")
         .agg((F.min("shard") != F.max("shard")).alias("cross"))
         .filter("cross")
-        .select(F.col("anchor").alias("met"))
+        .select(F.col("anchor").alias("met")),
+        "met-anchors",
     )
     windows = (
         placed.join(abroad, F.col("anchor") == F.col("met"), "left")

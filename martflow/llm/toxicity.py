@@ -205,16 +205,14 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, mo
                 [batch.column("toxic"), ragged(places.astype(np.int32), bounds, pa.int32())], names=["toxic", "places"]
             )
 
-    # At most sample_rows rows of places among most_terms terms, in an order that does not depend on tasks.
-    found = texts.mapInArrow(rows_of, "toxic int, places array<int>").orderBy("places", "toxic").toArrow()
-    places = found.column("places").combine_chunks()
-    sizes = places.value_lengths().to_numpy(zero_copy_only=False)
-    own = np.repeat(np.arange(len(sizes)), sizes)
+    # At most sample_rows rows of places among most_terms terms; sorted, so that tasks' order doesn't matter.
+    found = texts.mapInArrow(rows_of, "toxic int, places array<int>").toArrow().to_pydict()
+    rows = sorted(zip(found["places"], found["toxic"], strict=True))
     return fit(
         terms,
-        own,
-        places.flatten().to_numpy().astype(np.int64),
-        found.column("toxic").to_numpy().astype(float),
+        np.repeat(np.arange(len(rows)), [len(places) for places, _ in rows]).astype(np.int64),
+        np.array([p for places, _ in rows for p in places], dtype=np.int64),
+        np.array([toxic for _, toxic in rows], dtype=float),
         np.clip(odds, -LARGEST_ODDS, LARGEST_ODDS),
     )
 
