@@ -8,7 +8,7 @@ model parts exchange packed arrays, never a row for each token:
 2. pairs: each block sends its distinct pairs (word before, word) to the shard of
    the word before. A shard adds up the training counts, builds the trie of its
    pairs (Elias-Fano levels with quantised values, mapped from a file) and
-   answers each block's pairs with their values;
+   answers each block's pairs with their values; what is sent is compressed;
 3. scores: each block adds up its texts' logarithms.
 
 The model is a bigram with Dirichlet smoothing over the smoothed unigram ``p1``:
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,10 +39,28 @@ STEPS = 254
 END_HASH = np.uint64(0x656E64)  # of no word: words are hashed, and this is far from random
 
 BLOCK = (
-    "block long, doc_ids array<long>, held array<boolean>, sizes array<int>, tokens binary, hashes binary, n_words long"
+    "block long, doc_ids array<long>, held array<boolean>, sizes array<int>, tokens binary, hashes binary, "
+    "n_words long, n_tokens long"
 )
 
 
+def squeezed(values: np.ndarray) -> bytes:
+    """An array's bytes, those of equal weight together, compressed."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def restored_array(data: bytes, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8).reshape(size, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def steps(increasing: np.ndarray) -> np.ndarray:
+    """Differences of an increasing sequence, which are small; ``np.cumsum`` restores it."""
+    return np.diff(increasing, prepend=0).astype("<u4")
+
+
 def _tokenise(batches):
     """Blocks of texts: each token's number in the block, texts ending with an end, and the words' hashes."""
     place = 0
@@ -62,9 +81,10 @@ def _tokenise(batches):
                 pa.array([batch.column("doc_id").to_pylist()], pa.list_(pa.int64())),
                 pa.array([batch.column("held_out").to_pylist()], pa.list_(pa.bool_())),
                 pa.array([(words.counts + 1).tolist()], pa.list_(pa.int32())),
-                pa.array([tokens.astype("<u4").tobytes()], pa.binary()),
+                pa.array([squeezed(tokens.astype("<u4"))], pa.binary()),
                 pa.array([hashes[order].tobytes()], pa.binary()),
                 pa.array([len(hashes)], pa.int64()),
+                pa.array([len(tokens)], pa.int64()),
             ],
             names=[f.split()[0] for f in BLOCK.split(", ")],
         )
@@ -77,24 +97,24 @@ class Block:
     def __init__(self, row: dict):
         self.doc_ids, self.held = row["doc_ids"], np.array(row["held"], dtype=bool)
         self.sizes = np.array(row["sizes"], dtype=np.int64)
-        self.tokens = np.frombuffer(row["tokens"], dtype="<u4").astype(np.int64)
-        self.hashes = np.frombuffer(row["hashes"], dtype="<u8")
-        self.end = int(np.searchsorted(self.hashes, END_HASH))
+        self.tokens = restored_array(row["tokens"], "<u4").astype(np.int64)
+        self.n_words = row["n_words"]
+        self.end = int(self.tokens[-1])
         self.training = np.repeat(~self.held, self.sizes)
 
     def word_counts(self) -> np.ndarray:
-        return np.bincount(self.tokens[self.training], minlength=len(self.hashes))
+        return np.bincount(self.tokens[self.training], minlength=self.n_words)
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct (word before, word) as one number, each token's pair, and the pairs' training counts."""
         before = np.concatenate([[self.end], self.tokens[:-1]])
-        size = len(self.hashes)
-        keys, at = np.unique(before * size + self.tokens, return_inverse=True)
+        keys, at = np.unique(before * self.n_words + self.tokens, return_inverse=True)
         return keys, at, np.bincount(at[self.training], minlength=len(keys))
 
 
 def part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
-    return (((mixed(hashes) >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
+    """Parts are ranges of hashes, so a block's words, sorted by hash, are sorted by part."""
+    return (((hashes >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
 
 
 WORD_ROWS = "part int, block long, hashes binary, counts binary"
@@ -104,21 +124,27 @@ def _send_words(parts: int):
     def send(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                block = Block(row)
-                part, counts = part_of(block.hashes, parts), block.word_counts()
-                out = []
-                for p in np.unique(part):
-                    own = part == p
-                    out.append((int(p), row["block"], block.hashes[own].tobytes(), counts[own].astype("<u4").tobytes()))
+                hashes, counts = np.frombuffer(row["hashes"], "<u8"), Block(row).word_counts().astype("<u4")
+                part = part_of(hashes, parts)
+                first = np.flatnonzero(np.diff(part, prepend=-1))
+                last = np.append(first, len(part))[1:]
+                out = [
+                    (int(part[a]), row["block"], hashes[a:b].tobytes(), squeezed(counts[a:b]))
+                    for a, b in zip(first, last, strict=True)
+                ]
+                kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.int64(), pa.binary(), pa.binary()), strict=True)],
+                    [pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)],
                     names=["part", "block", "hashes", "counts"],
                 )
 
     return send
 
 
-ANSWERS = "block long, part int, totals binary, numbers binary, known long, tokens long, hot binary, hot_totals binary"
+ANSWERS = (
+    "block long, part int, totals binary, numbers binary, words long, known long, tokens long, hot binary, "
+    "hot_totals binary"
+)
 
 
 def _count_words(hot_share: float):
@@ -127,20 +153,19 @@ def _count_words(hot_share: float):
     def count(table: pa.Table) -> pa.Table:
         part = table.column("part")[0].as_py()
         sent = [np.frombuffer(b, "<u8") for b in table.column("hashes").to_pylist()]
-        counts = np.concatenate([np.frombuffer(b, "<u4") for b in table.column("counts").to_pylist()]).astype(np.int64)
+        counts = np.concatenate([restored_array(b, "<u4") for b in table.column("counts").to_pylist()])
         words, at = np.unique(np.concatenate(sent), return_inverse=True)
         totals = np.bincount(at, weights=counts, minlength=len(words)).astype(np.int64)
-        known = totals > 0
-        numbers = np.where(known, np.cumsum(known) - 1, -1)
         # At most 1 / hot_share of the part's words hold more than that share of its tokens.
         hot = np.flatnonzero(totals > max(hot_share * totals.sum(), 1))
-        rows = [(None, part, None, None, int(known.sum()), int(totals.sum()), words[hot].tobytes(), totals[hot].astype("<i8").tobytes())]
+        sums = (len(words), int((totals > 0).sum()), int(totals.sum()))
+        rows = [(None, part, None, None, *sums, hot.astype("<i8").tobytes(), totals[hot].astype("<i8").tobytes())]
         start = 0
         for block, own in zip(table.column("block").to_pylist(), sent, strict=True):
             mine = at[start : start + len(own)]
             start += len(own)
-            rows.append((block, part, totals[mine].astype("<i8").tobytes(), numbers[mine].astype("<i4").tobytes(), None, None, None, None))
-        kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+            rows.append((block, part, squeezed(totals[mine].astype("<i8")), squeezed(steps(mine)), *[None] * 5))
+        kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), *[pa.int64()] * 3, pa.binary(), pa.binary())
         names = [f.split()[0] for f in ANSWERS.split(", ")]
         return pa.table([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
@@ -148,63 +173,73 @@ def _count_words(hot_share: float):
 
 
 class Vocabulary:
-    """The parts' sums, and the words that have several shards: bounded by the number of parts."""
+    """The parts' sums, and the words that have several shards: bounded by the number of parts and shards.
+
+    A word's number is its place among all words that were sent, part after part.
+    """
 
     def __init__(self, rows: list, parts: int, shards: int):
-        self.parts, self.shards = parts, shards
-        known = np.zeros(parts + 1, dtype=np.int64)
+        self.shards = shards
+        words = np.zeros(parts + 1, dtype=np.int64)
         for r in rows:
-            known[r.part + 1] = r.known
-        self.first_numbers = np.cumsum(known)
-        self.distinct = int(known.sum())
+            words[r.part + 1] = r.words
+        self.first_numbers = np.cumsum(words)
+        self.distinct = sum(r.known for r in rows)
         self.tokens = sum(r.tokens for r in rows)
-        words = np.concatenate([np.frombuffer(r.hot, "<u8") for r in rows] or [np.zeros(0, "<u8")])
-        totals = np.concatenate([np.frombuffer(r.hot_totals, "<i8") for r in rows] or [np.zeros(0, "<i8")])
+        none = np.zeros(0, dtype="<i8")
+        numbers = np.concatenate([np.frombuffer(r.hot, "<i8") + self.first_numbers[r.part] for r in rows] or [none])
+        totals = np.concatenate([np.frombuffer(r.hot_totals, "<i8") for r in rows] or [none])
         hot = totals * shards > self.tokens
-        order = np.argsort(words[hot])
-        self.hot, self.ways = words[hot][order], -(-totals[hot][order] * shards // max(self.tokens, 1))
+        order = np.argsort(numbers[hot])
+        self.hot, self.hot_totals = numbers[hot][order], totals[hot][order]
+        self.ways = -(-self.hot_totals * shards // max(self.tokens, 1))
 
     def p1(self, counts: np.ndarray) -> np.ndarray:
         return (counts + 0.5) / (self.tokens + 0.5 * (self.distinct + 1))
 
-    def resolve(self, block: Block, answers: list[dict]) -> tuple[np.ndarray, np.ndarray]:
-        """Total counts and numbers, -1 for unknown words, of a block's words."""
-        part = part_of(block.hashes, self.parts)
-        totals, numbers = np.zeros(len(part), dtype=np.int64), np.full(len(part), -1, dtype=np.int64)
-        for answer in answers:
-            own = np.flatnonzero(part == answer["part"])
-            totals[own] = np.frombuffer(answer["totals"], "<i8")
-            local = np.frombuffer(answer["numbers"], "<i4").astype(np.int64)
-            numbers[own] = np.where(local >= 0, local + self.first_numbers[answer["part"]], -1)
-        return totals, numbers
+    def resolve(self, answers: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+        """Total counts and numbers of a block's words."""
+        answers = sorted(answers, key=lambda r: r["part"])
+        totals = [restored_array(r["totals"], "<i8") for r in answers]
+        numbers = [
+            np.cumsum(restored_array(r["numbers"], "<u4").astype(np.int64)) + self.first_numbers[r["part"]] for r in answers
+        ]
+        return np.concatenate(totals), np.concatenate(numbers)
+
+    def hot_place(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the numbers are those of words with several shards, and the places of all in their list."""
+        if not len(self.hot):
+            return np.zeros(len(numbers), dtype=bool), np.zeros(len(numbers), dtype=np.int64)
+        at = np.minimum(np.searchsorted(self.hot, numbers), len(self.hot) - 1)
+        return self.hot[at] == numbers, at
 
     def shards_of(self, before: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """The shard of each pair, from the words' hashes."""
-        at = np.searchsorted(self.hot, before)
-        hot = (at < len(self.hot)) & (self.hot[np.minimum(at, len(self.hot) - 1)] == before) if len(self.hot) else np.zeros(len(before), bool)
+        """The shard of each pair of numbers."""
+        hot, at = self.hot_place(before)
         way = np.zeros(len(before), dtype=np.uint64)
         way[hot] = mixed(word[hot]) % self.ways[at[hot]].astype(np.uint64)
-        return part_of(before + way * np.uint64(0x9E3779B97F4A7C15), self.shards)
+        return part_of(mixed(before.astype(np.uint64) + way * np.uint64(0x9E3779B97F4A7C15)), self.shards)
 
 
 class Exchange:
     """A block's pairs of known words, by shard and in number order, the same whenever it is made."""
 
     def __init__(self, block: Block, answers: list[dict], vocabulary: Vocabulary):
-        self.totals, self.numbers = vocabulary.resolve(block, answers)
+        self.totals, self.numbers = vocabulary.resolve(answers)
         keys, self.pair_of_token, counts = block.pairs()
-        before, word = keys // len(block.hashes), keys % len(block.hashes)
-        self.before, self.word = before, word
-        known = np.flatnonzero((self.numbers[before] >= 0) & (self.numbers[word] >= 0))
-        shard = vocabulary.shards_of(block.hashes[before[known]], block.hashes[word[known]])
-        order = np.lexsort((self.numbers[word[known]], self.numbers[before[known]], shard))
-        self.pairs, self.shard = known[order], shard[order]
+        self.before, self.word = keys // block.n_words, keys % block.n_words
+        known = np.flatnonzero((self.totals[self.before] > 0) & (self.totals[self.word] > 0))
+        shard = vocabulary.shards_of(self.numbers[self.before[known]], self.numbers[self.word[known]])
+        # Numbers grow with the words' places in the block, so pairs are sorted within a shard.
+        order = np.argsort(shard, kind="stable")
+        self.pairs, shard = known[order], shard[order]
         self.counts = counts[self.pairs]
-        self.shards, self.first = np.unique(self.shard, return_index=True)
+        self.shards, self.first = np.unique(shard, return_index=True)
         self.last = np.append(self.first, len(self.pairs))[1:]
 
 
-PAIR_ROWS = "shard int, block long, before binary, sizes binary, totals binary, words binary, counts binary"
+PACKED = ("before", "sizes", "words", "counts")
+PAIR_ROWS = "shard int, block long, before binary, sizes binary, words binary, counts binary"
 
 
 def _grouped(table: pa.Table) -> tuple[Block | None, int, list[dict], list[dict]]:
@@ -231,14 +266,13 @@ def _send_pairs(vocabulary):
                 (
                     int(shard),
                     name,
-                    x.numbers[before[first]].astype("<u4").tobytes(),
-                    np.diff(first, append=b - a).astype("<u4").tobytes(),
-                    x.totals[before[first]].astype("<i8").tobytes(),
-                    x.numbers[x.word[x.pairs[a:b]]].astype("<u4").tobytes(),
-                    x.counts[a:b].astype("<u4").tobytes(),
+                    squeezed(steps(x.numbers[before[first]])),
+                    squeezed(np.diff(first, append=b - a).astype("<u4")),
+                    squeezed(x.numbers[x.word[x.pairs[a:b]]].astype("<u4")),
+                    squeezed(x.counts[a:b].astype("<u4")),
                 )
             )
-        kinds = (pa.int32(), pa.int64(), *[pa.binary()] * 5)
+        kinds = (pa.int32(), pa.int64(), *[pa.binary()] * 4)
         columns = list(zip(*out, strict=True)) or [()] * len(kinds)
         return pa.table(
             [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=[f.split()[0] for f in PAIR_ROWS.split(", ")]
@@ -256,31 +290,36 @@ def restored(codes: np.ndarray) -> np.ndarray:
     return np.where(codes > 0, 10.0 ** (((codes.astype(np.float64) - 1) / STEPS - 1) * -LOWEST), 0.0)
 
 
-def _answer_pairs(table: pa.Table) -> pa.Table:
+def _answer_pairs(vocabulary):
     """Builds one shard's trie from all blocks' pairs and looks all of them up in it."""
-    columns = {
-        name: [np.frombuffer(b, kind).astype(np.int64) for b in table.column(name).to_pylist()]
-        for name, kind in (("before", "<u4"), ("sizes", "<u4"), ("totals", "<i8"), ("words", "<u4"), ("counts", "<u4"))
-    }
-    asked = [
-        (np.repeat(before, sizes), words)
-        for before, sizes, words in zip(columns["before"], columns["sizes"], columns["words"], strict=True)
-    ]
-    keys = np.concatenate([(b << 32) | w for b, w in asked])
-    found, at = np.unique(keys, return_inverse=True)
-    counts = np.bincount(at, weights=np.concatenate(columns["counts"]), minlength=len(found))
-    totals = np.zeros(len(found), dtype=np.int64)
-    totals[at] = np.concatenate([np.repeat(t, s) for t, s in zip(columns["totals"], columns["sizes"], strict=True)])
-    held = counts > 0
-    values = counts[held] / (totals[held] + STRENGTH)
-    trie = Trie(found[held] >> 32, found[held] & 0xFFFFFFFF, quantised(values))
-    return pa.table(
-        {
-            "block": table.column("block").cast(pa.int64()),
-            "shard": table.column("shard").cast(pa.int32()),
-            "codes": pa.array([trie.lookup(b, w).tobytes() for b, w in asked], pa.binary()),
-        }
-    )
+
+    def answer(table: pa.Table) -> pa.Table:
+        columns = {n: [restored_array(b, "<u4").astype(np.int64) for b in table.column(n).to_pylist()] for n in PACKED}
+        asked = [
+            (np.repeat(np.cumsum(before), sizes), words)
+            for before, sizes, words in zip(columns["before"], columns["sizes"], columns["words"], strict=True)
+        ]
+        keys = np.concatenate([(b << 32) | w for b, w in asked])
+        found, at = np.unique(keys, return_inverse=True)
+        counts = np.bincount(at, weights=np.concatenate(columns["counts"]), minlength=len(found))
+        held = counts > 0
+        before, counts = found[held] >> 32, counts[held]
+        # A word comes before another as often as it occurs, so its pairs add up to its count; of a word
+        # with several shards the count is known to all.
+        contexts, of = np.unique(before, return_inverse=True)
+        totals = np.bincount(of, weights=counts, minlength=len(contexts))
+        hot, place = vocabulary.value.hot_place(contexts)
+        totals[hot] = vocabulary.value.hot_totals[place[hot]]
+        trie = Trie(before, found[held] & 0xFFFFFFFF, quantised(counts / (totals[of] + STRENGTH)))
+        return pa.table(
+            {
+                "block": table.column("block").cast(pa.int64()),
+                "shard": table.column("shard").cast(pa.int32()),
+                "codes": pa.array([squeezed(trie.lookup(b, w)) for b, w in asked], pa.binary()),
+            }
+        )
+
+    return answer
 
 
 SCORES = (
@@ -296,7 +335,7 @@ def _score(vocabulary):
         codes = np.zeros(len(x.before), dtype=np.uint8)
         by_shard = {r["shard"]: r["codes"] for r in coded}
         for shard, a, b in zip(x.shards, x.first, x.last, strict=True):
-            codes[x.pairs[a:b]] = np.frombuffer(by_shard[int(shard)], np.uint8)
+            codes[x.pairs[a:b]] = restored_array(by_shard[int(shard)], "u1")
         p1 = v.p1(x.totals)
         context = x.totals[x.before]
         p2 = restored(codes) + STRENGTH * p1[x.word] / (context + STRENGTH)
@@ -341,22 +380,25 @@ def score_texts(docs: DataFrame, held_bucket: int = 1, buckets: int = 5, part_by
     )
     blocks = stored(texts.mapInArrow(_tokenise, BLOCK), "token-blocks")
     n_words, n_tokens = blocks.agg(
-        F.coalesce(F.sum("n_words"), F.lit(0)), F.coalesce(F.sum(F.octet_length("tokens")), F.lit(0))
+        F.coalesce(F.sum("n_words"), F.lit(0)), F.coalesce(F.sum("n_tokens"), F.lit(0))
     ).first()
     parts = max(1, -(-12 * n_words // part_bytes))
-    shards = max(1, -(-2 * n_tokens // part_bytes))
+    shards = max(1, -(-8 * n_tokens // part_bytes))
     answers = stored(
         blocks.mapInArrow(_send_words(parts), WORD_ROWS).groupBy("part").applyInArrow(_count_words(1 / shards), ANSWERS),
         "word-counts",
     )
     # A row for each part, with at most as many words in all as there are parts and shards.
-    sums = answers.filter("block is null").select("part", "known", "tokens", "hot", "hot_totals").collect()
+    sums = answers.filter("block is null").select("part", "words", "known", "tokens", "hot", "hot_totals").collect()
     vocabulary = spark.sparkContext.broadcast(Vocabulary(sums, parts, shards))
     replies = answers.filter("block is not null").select("block", "part", "totals", "numbers")
-    together = blocks.drop("n_words").unionByName(replies, allowMissingColumns=True)
+    # Hashes are not read again: answers come in the order of the words.
+    together = blocks.drop("hashes").unionByName(replies, allowMissingColumns=True)
     no_codes = together.withColumns({"shard": F.lit(None).cast("int"), "codes": F.lit(None).cast("binary")})
     pairs = no_codes.groupBy("block").applyInArrow(_send_pairs(vocabulary), PAIR_ROWS)
-    codes = pairs.groupBy("shard").applyInArrow(_answer_pairs, "block long, shard int, codes binary")
+    codes = pairs.groupBy("shard").applyInArrow(
+        _answer_pairs(vocabulary), "block long, shard int, codes binary"
+    )
     return (
         together.unionByName(codes, allowMissingColumns=True).groupBy("block").applyInArrow(_score(vocabulary), SCORES)
     )
