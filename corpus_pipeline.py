@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martflow.llm.common import stored, table
+from martflow.llm.common import stored, table, with_package
 from martflow.llm.decontaminate import decontaminate
 from martflow.llm.near_duplicates import one_of_each
 from martflow.llm.packing import pack_documents
@@ -44,11 +44,11 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
-    ("quality rules", quality),
-    ("n-gram Jaccard join", near_duplicates),
-    ("suffix-array dedup", repeats),
-    ("benchmark decontamination", decontamination),
-    ("best-fit packing", packing),
+    ("quality rules", with_package(quality)),
+    ("n-gram Jaccard join", with_package(near_duplicates)),
+    ("suffix-array dedup", with_package(repeats)),
+    ("benchmark decontamination", with_package(decontamination)),
+    ("best-fit packing", with_package(packing)),
 ]
 #: Tokens, suffixes and similarities are beyond SQL; tests/llm/test_pipeline.py has a plain version.
 ORACLE_SQL = None

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import functools
+import os
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -13,6 +16,21 @@ from pyspark.sql import functions as F
 LOWER_A_Z = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
+def with_package(query: Callable) -> Callable:
+    """``query`` with this package's folder on the path of Python workers, which need not be installed with it."""
+    root = str(Path(__file__).resolve().parents[2])
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, *args):
+        environment = spark.sparkContext.environment
+        known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+        if root not in known:
+            environment["PYTHONPATH"] = os.pathsep.join([root, *known])
+        return query(spark, *args)
+
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -8,7 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martflow.llm.common import shared_folder, table
+from martflow.llm.common import shared_folder, table, with_package
 from martflow.llm.decontaminate import find_leaks
 from martflow.llm.language_model import score_texts
 from martflow.llm.near_duplicates import near_duplicates
@@ -125,16 +125,19 @@ FROM urls u LEFT JOIN best b ON u.row = b.row
 """
 
 QUERIES: dict[str, Query] = {
-    "op1_hash_tree": op1_hash_tree,
-    "op2_near_duplicates": op2_near_duplicates,
-    "op3_decontaminate": op3_decontaminate,
-    "op4_best_fit": op4_best_fit,
-    "op5_url_rules": op5_url_rules,
-    "op6_token_counts": op6_token_counts,
-    "op7_repeats": op7_repeats,
-    "op8_language_model": op8_language_model,
-    "op9_toxicity": op9_toxicity,
-    "op10_quality_rules": op10_quality_rules,
+    query.__name__: with_package(query)
+    for query in (
+        op1_hash_tree,
+        op2_near_duplicates,
+        op3_decontaminate,
+        op4_best_fit,
+        op5_url_rules,
+        op6_token_counts,
+        op7_repeats,
+        op8_language_model,
+        op9_toxicity,
+        op10_quality_rules,
+    )
 }
 
 ORACLE: dict[str, str] = {
