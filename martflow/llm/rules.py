@@ -199,7 +199,11 @@ def quality_rules(
     left = F.col("n_words") - F.coalesce("removed_words", F.lit(0))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     depleted = (left < MIN_WORDS) | (left < F.lit(least_left) * F.col("n_words"))
-    gone = gone.select(F.col("host").alias("_host"), F.col("text_hash").alias("_hash"), "removed", "removed_words")
+    # Stored, so that the join is one of plain tables and a text with very many copies can be split.
+    gone = stored(
+        gone.select(F.col("host").alias("_host"), F.col("text_hash").alias("_hash"), "removed", "removed_words"),
+        "frequent-lines",
+    )
     return (
         base.drop("lines", "line_words")
         .join(gone, (F.col("text_hash") == F.col("_hash")) & F.col("host").eqNullSafe(F.col("_host")), "left")
@@ -244,11 +248,12 @@ def _without_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def apply_rules(docs: DataFrame, **settings) -> DataFrame:
     """The kept rows of ``docs`` with frequent lines taken out of their texts; columns as they were."""
     host = settings.get("host", "source")
-    verdicts = (
+    verdicts = stored(
         quality_rules(docs, **settings)
         .filter("kept")
         .groupBy(F.col("text_hash").alias("_hash"), F.col("host").alias("_host"))
-        .agg(F.first("removed").alias("removed"))
+        .agg(F.first("removed").alias("removed")),
+        "verdicts",
     )
     rows = packed(docs, "text").select(
         "*",
