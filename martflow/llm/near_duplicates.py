@@ -221,8 +221,17 @@ def near_duplicates(
     heads = stored(
         entries.groupBy("prefix").agg(F.min("row").alias("head"), F.max("row").alias("last")).filter("head < last"), "heads"
     )
-    edges = entries.join(heads, "prefix").filter("row != head").select(F.col("row").alias("a"), F.col("head").alias("b"))
-    parts = components(edges)
+    # A text meets at most one head in each tree. It is linked to the smallest of them, and so are the others,
+    # which leaves about one edge a text.
+    met = (
+        entries.join(heads, "prefix")
+        .filter("row != head")
+        .groupBy("row")
+        .agg(F.collect_set("head").alias("heads"))
+        .select("row", F.array_min("heads").alias("least"), "heads")
+    )
+    between = met.select(F.explode("heads").alias("a"), F.col("least").alias("b")).filter("a != b").distinct()
+    parts = components(met.select(F.col("row").alias("a"), F.col("least").alias("b")).unionByName(between))
 
     sized = parts.join(members.select("row", "bytes"), F.col("node") == F.col("row")).select("node", "component", "bytes")
     blocks = stored(
