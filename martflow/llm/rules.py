@@ -2,10 +2,11 @@
 
 One pass over the texts yields each document's rule figures and the hashes of
 its normalised lines (words lower-cased, white space squeezed). From then on
-only hashes move: lines are counted by the distinct texts of a host that hold
-them, so exact copies count once. A line above its host's limit goes from all
-of them but one, the text with the smallest hash, so that nothing that is
-repeated is lost entirely. A document with too few words left is rejected.
+only hashes move: lines are counted by the distinct documents of a host that
+hold them, folded to a row per text and then to one per line before anything is
+compared. A line in more documents than the limit goes from all texts but one,
+the text with the smallest hash, so that nothing that is repeated is lost
+entirely. A document with too few words left is rejected.
 """
 
 from __future__ import annotations
@@ -23,9 +24,10 @@ from martflow.llm.words import VISIBLE, Words, byte_class, mixed, per_text, powe
 
 MIN_WORDS = 50
 MOST_REPEATED = 50  # percent of the words
-#: A line is frequent in a host above this many texts and this share of them.
-LINE_TEXTS = 100
-LINE_SHARE = 0.01
+#: A line is frequent above this many documents of a host, whatever the host's size.
+LINE_TEXTS = 6
+#: A share of the host's documents that a line has to pass too; none in production.
+LINE_SHARE = 0.0
 #: A document is depleted below MIN_WORDS or this share of its words.
 LEAST_LEFT = 0.3
 SYMBOLS = byte_class(*[(ord(c), ord(c)) for c in "#*$%&|<>"])
@@ -142,27 +144,38 @@ def figures(docs: DataFrame, host: str = "source") -> DataFrame:
 def lines_to_remove(
     figures: DataFrame, line_texts: int = LINE_TEXTS, line_share: float = LINE_SHARE
 ) -> DataFrame:
-    """(host, text_hash, removed, removed_words): what goes from each text with frequent lines."""
-    texts = figures.dropDuplicates(["host", "text_hash"])
+    """(host, text_hash, removed, removed_words): what goes from each text with frequent lines.
+
+    A line is frequent in more than ``line_texts`` documents of its host and,
+    if a share is given, more than ``line_share`` of them.
+    """
+    # A document is an id with a text; rows without an id are documents each.
+    documents = (
+        figures.groupBy("host", "text_hash", "doc_id")
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .groupBy(F.col("host").alias("d_host"), F.col("text_hash").alias("d_hash"))
+        .agg(F.sum(F.when(F.col("doc_id").isNull(), F.col("rows")).otherwise(F.lit(1))).alias("documents"))
+    )
+    texts = figures.dropDuplicates(["host", "text_hash"]).join(
+        documents, F.col("host").eqNullSafe(F.col("d_host")) & (F.col("text_hash") == F.col("d_hash"))
+    )
     once = (
-        texts.select("host", "text_hash", F.inline(F.arrays_zip("lines", "line_words")))
+        texts.select("host", "text_hash", "documents", F.inline(F.arrays_zip("lines", "line_words")))
         .groupBy("host", F.col("lines").alias("line"), "text_hash")
-        .agg(F.sum("line_words").alias("words"))
-    )
-    counted = once.groupBy("host", "line").agg(F.count(F.lit(1)).alias("texts"), F.min("text_hash").alias("keeper"))
-    limits = (
-        figures.select("host", "text_hash")
-        .distinct()
-        .groupBy("host")
-        .agg(F.greatest(F.lit(float(line_texts)), F.count(F.lit(1)) * F.lit(line_share)).alias("limit"))
-        .withColumnRenamed("host", "limit_host")
+        .agg(F.sum("line_words").alias("words"), F.first("documents").alias("documents"))
     )
-    frequent = (
-        counted.filter(F.col("texts") > line_texts)
-        .join(limits, F.col("host").eqNullSafe(F.col("limit_host")))
-        .filter(F.col("texts") > F.col("limit"))
-        .select(F.col("host").alias("f_host"), F.col("line").alias("f_line"), "keeper")
+    # A line of a single text has its keeper only.
+    counted = (
+        once.groupBy("host", "line")
+        .agg(F.sum("documents").alias("documents"), F.min("text_hash").alias("keeper"), F.max("text_hash").alias("last"))
+        .filter((F.col("documents") > line_texts) & (F.col("keeper") != F.col("last")))
     )
+    if line_share:
+        limits = documents.groupBy("d_host").agg((F.sum("documents") * F.lit(line_share)).alias("limit"))
+        counted = counted.join(limits, F.col("host").eqNullSafe(F.col("d_host"))).filter(
+            F.col("documents") > F.col("limit")
+        )
+    frequent = counted.select(F.col("host").alias("f_host"), F.col("line").alias("f_line"), "keeper")
     return (
         once.join(
             frequent,

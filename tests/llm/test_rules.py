@@ -77,6 +77,37 @@ def test_frequent_lines(spark):
     assert apply_rules(docs, **settings).columns == docs.columns
 
 
+def test_production_limit_is_one_for_hosts_of_all_sizes(spark):
+    from samples import DOCS
+
+    menu = " ".join(f"menu{i}" for i in range(100))
+    rows, ids = [], iter(range(10_000))
+
+    def add(host, text, times=1):
+        rows.extend((next(ids), text, None, host, None, "", 0, 0, 0.0) for _ in range(times))
+
+    for k in range(8):  # every page of a small host
+        add("small", f"{body(k)}\n{menu}")
+    for k in range(1200):  # under 1 % of a larger one
+        add("large", f"{body(k)}\n{menu}" if k < 8 else body(k))
+    for k in range(6):
+        add("rare", f"{body(k)}\n{menu}")
+    add("copies", f"{body(0)}\n{menu}", 6)  # copies are documents
+    add("copies", f"{body(1)}\n{menu}")
+    rows += [(9_999, f"{body(k // 6)}\n{menu}", None, "again", None, "", 0, 0, 0.0) for k in range(12)]
+    for host in ("small", "large"):
+        for k in (100, 101):  # little else: rejected, but for the one that keeps the line
+            add(host, f"a few words {k}\n{menu}")
+    docs = spark.createDataFrame(rows, DOCS)
+    got = quality_rules(docs).collect()
+    left = {h: Counter(r.n_words_left for r in got if r.host == h and r.n_words > 60) for h in ("small", "large", "rare", "copies", "again")}
+    for host in ("small", "large"):
+        assert sum(n for words, n in left[host].items() if words > 100) == 1
+        assert sum(not r.kept for r in got if r.host == host) >= 1
+    assert left["rare"] == {160: 6} and left["again"] == {160: 12}
+    assert left["copies"] in ({60: 1, 160: 6}, {60: 6, 160: 1})
+
+
 def test_empty_table(spark):
     docs = documents(spark, [])
     assert quality_rules(docs).count() == 0 and apply_rules(docs).count() == 0
