@@ -59,12 +59,32 @@ def _window_minima(keys: np.ndarray, width: int) -> np.ndarray:
 
 def anchors(data: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(text, hash, first window, last window) of each anchor of texts that lie one after another."""
+    if len(data) <= 1 << ORDER_BITS:
+        owner, _, *found = _anchors(data, bounds, length)
+        return owner, *found
+    # Positions have to fit the order's bits: text by text, and long ones in stretches that overlap by a window less a byte.
+    step = (1 << ORDER_BITS) - length + 1
+    parts = [_anchors(data[:0], np.zeros(2, dtype=np.int64), length)]
+    for k, (begin, end) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
+        for start in range(begin, end - length + 1, step):
+            piece = data[start : min(end, start + step + length - 1)]
+            owner, at, hashes, first, last = _anchors(piece, np.array([0, len(piece)]), length)
+            shift = start - begin
+            parts.append((owner + k, at + start, hashes, first + shift, last + shift))
+    owner, at, hashes, first, last = (np.concatenate(p) for p in zip(*parts, strict=True))
+    # An anchor whose windows begin in two stretches is one.
+    new = np.concatenate([[True], (at[1:] != at[:-1]) | (owner[1:] != owner[:-1])])[: len(at)]
+    return owner[new], hashes[new], first[new], last[np.append(new[1:], True)[: len(at)]]
+
+
+def _anchors(data: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """(text, place, hash, first window, last window) for at most 2^ORDER_BITS bytes."""
     gram = length // 2
     n = len(data)
     texts = np.flatnonzero(np.diff(bounds) >= length)
     none = np.zeros(0, dtype=np.int64)
     if not len(texts):
-        return none, none, none, none
+        return none, none, none, none, none
     grams = string_hashes(data, np.arange(n - gram + 1), gram, GRAM_BASES[0])
     low = np.uint64((1 << ORDER_BITS) - 1)
     # The leftmost of equal minima: which of them depends on the window alone.
@@ -75,38 +95,30 @@ def anchors(data: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndarr
     at = chosen[windows].astype(np.int64)
     first = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (owner[1:] != owner[:-1])]))
     last = np.append(first[1:], len(windows)) - 1
-    owner = owner[first]
-    return owner, grams[at[first]].view(np.int64), windows[first] - bounds[owner], windows[last] - bounds[owner]
+    owner, at = owner[first], at[first]
+    return owner, at, grams[at].view(np.int64), windows[first] - bounds[owner], windows[last] - bounds[owner]
 
 
 def _find_anchors(length: int):
     def find(batches):
         for batch in batches_of_bytes(batches, "text", BATCH_BYTES):
-            # Positions within a piece of a batch fit the order's bits, however long a single text.
-            for piece in _short_enough(batch):
-                data, bounds = text_buffers(piece.column("text"))
-                owner, hashes, first, last = anchors(data, bounds, length)
-                cuts = np.searchsorted(owner, np.arange(piece.num_rows + 1))
-                names = [n for n in piece.schema.names if n != "text"]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *[piece.column(n) for n in names],
-                        ragged(hashes, cuts, pa.int64()),
-                        ragged(first.astype(np.int32), cuts, pa.int32()),
-                        ragged(last.astype(np.int32), cuts, pa.int32()),
-                    ],
-                    names=[*names, "anchors", "first", "last"],
-                )
+            data, bounds = text_buffers(batch.column("text"))
+            owner, hashes, first, last = anchors(data, bounds, length)
+            cuts = np.searchsorted(owner, np.arange(batch.num_rows + 1))
+            names = [n for n in batch.schema.names if n != "text"]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *[batch.column(n) for n in names],
+                    ragged(hashes, cuts, pa.int64()),
+                    ragged(first.astype(np.int32), cuts, pa.int32()),
+                    ragged(last.astype(np.int32), cuts, pa.int32()),
+                ],
+                names=[*names, "anchors", "first", "last"],
+            )
 
     return find
 
 
-def _short_enough(batch: pa.RecordBatch):
-    if batch.get_total_buffer_size() < 1 << ORDER_BITS:
-        return [batch]
-    return [batch.slice(k, 1) for k in range(batch.num_rows)]
-
-
 def runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First places of runs of set flags, and the places after them."""
     edges = np.diff(flags.astype(np.int8), prepend=0, append=0)

@@ -6,11 +6,12 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 from samples import awkward_texts, documents, rows_of
 from test_near_duplicates import saved
 
 from martflow.llm.queries import op7_repeats
-from martflow.llm.repeats import find_repeats, remove_repeats
+from martflow.llm.repeats import anchors, find_repeats, remove_repeats
 
 COLUMNS = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
 
@@ -69,6 +70,34 @@ def test_removal(spark, tmp_path):
     assert kept.count() == sum(not (r.n_removed and not r.kept_text.strip(" ")) for r in find_repeats(docs, length=40).collect())
 
 
+def long_text(n: int) -> tuple[str, str]:
+    """A text of ``n`` bytes that repeats nothing, and a passage of 400 bytes at its end."""
+    pick = np.random.default_rng(8)
+    whole = pick.integers(97, 123, n, dtype=np.uint8).tobytes().decode()
+    return whole, whole[-500:-100]
+
+
+def test_anchors_behind_16_mib():
+    whole, passage = long_text((1 << 24) + 5000)
+    data, alone = (np.frombuffer(t.encode(), dtype=np.uint8) for t in (whole, passage))
+    (wanted,) = anchors(alone, np.array([0, 400]), 400)[1]
+    owner, hashes, first, last = anchors(data, np.array([0, len(data)]), 400)
+    assert hashes[(first <= len(data) - 500) & (last >= len(data) - 500)].tolist() == [wanted]
+    # Every window has one anchor, and no anchor is counted twice.
+    assert first[0] == 0 and last[-1] == len(data) - 400 and (first[1:] == last[:-1] + 1).all()
+    assert not owner.any() and len(np.unique(hashes)) == len(hashes)
+    # Short texts beside a long one.
+    both = anchors(np.concatenate([alone, data]), np.array([0, 400, 400, 400 + len(data)]), 400)
+    assert both[1].tolist() == [wanted, *hashes.tolist()] and both[2].tolist() == [0, *first.tolist()]
+
+
+def test_repeat_behind_16_mib(spark, tmp_path):
+    whole, passage = long_text((1 << 24) + 5000)
+    docs = saved(spark, documents(spark, [whole, "before " + passage + " behind"]), tmp_path)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans) for r in find_repeats(docs).drop("kept_text").collect()}
+    assert got == {0: (len(whole), 400, 1), 1: (414, 400, 1)}
+
+
 def test_empty_table(spark, tmp_path):
     docs = saved(spark, documents(spark, []), tmp_path)
     assert find_repeats(docs).count() == 0 and remove_repeats(docs).count() == 0
