@@ -1,16 +1,16 @@
 """Best-fit packing of tokenised documents into sequences of a fixed length.
 
-Rounds of bulk-synchronous best-fit. Pieces of one length are interchangeable,
-and so are sequences with one gap, so both are range-sorted into at most as many
-classes as a sequence has tokens. A round takes the longest class that is left;
-a sweep over the gaps finds the successor of its length, the smallest gap that
-is large enough, and fills it; of the pieces that want one gap the lower ranks
-within their length get it, the others go on to the next gap or open sequences;
-the gaps are updated and the next round begins. What a round decides are ranges
-of ranks, and the table of all ranges is as small as there are classes, whatever
-the number of documents. Every piece then reads its place off that table by its
-rank among the pieces of its length, which is counted in blocks, so that no
-length meets in one task.
+Pieces of one length are interchangeable, and so are sequences with one gap, so
+best-fit needs no more than the number of pieces of each length. The rounds run
+on the driver, over that histogram, which has at most as many lengths as a
+sequence has tokens; no sweep is distributed, and as one round follows another
+no two pieces compete for a gap. A round takes the longest length that is left
+and the smallest gap that is large enough, fills it with the lower ranks of the
+length, and lets the others go on to the next gap or open sequences. What a
+round decides are ranges of ranks, and the table of all ranges is as small as
+there are classes, whatever the number of documents. Tasks then look up every
+piece's place in that table by its rank among the pieces of its length, which is
+counted in blocks, so that no length meets in one task.
 """
 
 from __future__ import annotations
