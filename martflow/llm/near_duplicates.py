@@ -1,12 +1,13 @@
-"""N-gram Jaccard join by a MinHash LSH forest with exact verification.
+"""N-gram Jaccard join by MinHash banding with exact verification.
 
 A text's signature is a number of trees' worth of minimum hashes of its word
-shingles. In each tree the signatures form a trie, and texts that share a prefix
-are candidates. The prefix is shortened from the full depth until a pair at the
-threshold shares one in some tree with the target recall; that is the depth at
-which the tries are cut and sorted. Texts below one such prefix are linked to
-the smallest of them, never pair by pair; the connected parts are small sets of
-texts in which every similar pair lies.
+shingles. This is an LSH forest cut at one depth, which is plain banding: the
+longest prefix at which a pair at the threshold shares one in some tree with the
+target recall is worked out from the settings before a text is read, only that
+many hashes a tree are computed, and texts with equal prefixes are candidates.
+No trie is built and no prefix is shortened text by text. Texts of one prefix
+are linked to the smallest of them, never pair by pair; in the connected parts
+lies every similar pair that shares a prefix.
 
 Each part is verified exactly: its texts meet in a task, small parts many to a
 task, large parts cut into blocks of bounded size of which every two meet. Pairs
