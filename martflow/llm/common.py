@@ -57,6 +57,16 @@ def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def with_rows(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` stored with a number for each row, ``row``.
+
+    The number depends on how Spark packs files into the partitions of a scan,
+    which changes with the cores of the moment. So it is made once, and later
+    jobs read it.
+    """
+    return stored(docs.withColumn("row", F.monotonically_increasing_id()), name)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martflow.llm.common import batches_of_bytes, packed, stored, text_bytes, unpacked
+from martflow.llm.common import batches_of_bytes, packed, stored, text_bytes, unpacked, with_rows
 from martflow.llm.graph import components
 from martflow.llm.words import VISIBLE, Words, mixed, powers, ragged
 
@@ -178,8 +178,7 @@ def near_duplicates(
 ) -> DataFrame:
     """Every row of ``docs`` (doc_id, text) with its class of near duplicates.
 
-    ``docs`` is a stored table, so that its rows keep their order. Words are
-    runs of anything but ASCII white space, A-Z lower-cased. Two texts are
+    Rows are numbered once and stored with their numbers. Words are runs of anything but ASCII white space, A-Z lower-cased. Two texts are
     linked if the Jaccard similarity of their sets of ``size``-word shingles
     (all words, if they are fewer) is ``threshold`` or more; a class is a
     connected component of links. Returns doc_id, class_id (the smallest doc_id
@@ -190,13 +189,22 @@ def near_duplicates(
     of its own. Repeated rows are copies. An empty table gives an empty result;
     further columns are ignored.
     """
+    texts = with_rows(docs.select(F.col("doc_id").cast("long"), "text"), "texts")
+    return _classes(texts, size, threshold, trees, depth, recall, block_bytes)
+
+
+def _classes(
+    rows: DataFrame,
+    size: int = SHINGLE,
+    threshold: float = THRESHOLD,
+    trees: int = TREES,
+    depth: int = DEPTH,
+    recall: float = RECALL,
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """``near_duplicates`` of a stored table (row, doc_id, text)."""
     depth = matched_depth(threshold, trees, depth, recall)
-    texts = docs.select(
-        F.monotonically_increasing_id().alias("row"),
-        F.col("doc_id").cast("long"),
-        text_bytes(F.col("text")).alias("bytes"),
-        "text",
-    )
+    texts = rows.select("row", "doc_id", text_bytes(F.col("text")).alias("bytes"), "text")
     signed = stored(
         texts.mapInArrow(
             _signatures(size, trees, depth), "row long, doc_id long, bytes long, class binary, prefixes array<long>"
@@ -285,10 +293,10 @@ def near_duplicates(
 
 
 def one_of_each(docs: DataFrame, **settings) -> DataFrame:
-    """``docs``, a stored table, with one row of each class of near duplicates: the smallest doc_id's."""
-    found = near_duplicates(docs, **settings)
+    """``docs`` with one row of each class of near duplicates: the smallest doc_id's."""
+    rows = with_rows(packed(docs, "text"), "texts")
+    found = _classes(rows.select("row", F.col("_kept.doc_id").cast("long").alias("doc_id"), "text"), **settings)
     kept = found.groupBy("class_row").agg(
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first")
     ).select(F.col("first.row").alias("_row"))
-    rows = packed(docs, "text").withColumn("row", F.monotonically_increasing_id())
     return unpacked(rows.join(kept.hint("shuffle_hash"), F.col("row") == F.col("_row")), docs.columns, "text")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martflow.llm.common import batches_of_bytes, packed, shuffle_partitions, stored, text_bytes, unpacked
+from martflow.llm.common import batches_of_bytes, packed, shuffle_partitions, stored, text_bytes, unpacked, with_rows
 from martflow.llm.suffix_arrays import common_prefixes, suffix_array
 from martflow.llm.words import mixed, powers, ragged, text_buffers
 
@@ -277,12 +277,8 @@ def _cut(length: int):
     return cut
 
 
-def _with_rows(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("row", F.monotonically_increasing_id())
-
-
 def find_repeats(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """Every row of ``docs`` (doc_id, text), a stored table, with what its repeated strings leave.
+    """Every row of ``docs`` (doc_id, text) with what its repeated strings leave.
 
     A byte goes if it lies in a string of ``length`` bytes that also starts
     anywhere else in the texts, in this text or another; strings do not cross
@@ -291,10 +287,14 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD
     is cut through nothing is kept in it. Null is an empty text. Copies of a
     text of ``length`` bytes or more go entirely, and repeated rows are copies.
     Null ids stay; an empty table gives an empty result; further columns are
-    ignored.
+    ignored. Rows are numbered once and stored with their numbers.
     """
-    spark = docs.sparkSession
-    texts = _with_rows(docs.select(F.col("doc_id").cast("long"), "text"))
+    return _repeats(with_rows(docs.select(F.col("doc_id").cast("long"), "text"), "texts"), length, shard_bytes)
+
+
+def _repeats(texts: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """``find_repeats`` of a stored table (row, doc_id, text)."""
+    spark = texts.sparkSession
     whole = F.coalesce(F.col("text"), F.lit(""))
     marked = texts.select(
         "row",
@@ -391,8 +391,10 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD
 
 
 def remove_repeats(docs: DataFrame, **settings) -> DataFrame:
-    """``docs``, a stored table, with repeated strings cut out of the texts; rows of which nothing is left go."""
-    changed = find_repeats(docs, **settings).filter("n_removed > 0").select(F.col("row").alias("_row"), "kept_text")
-    rows = _with_rows(packed(docs, "text")).join(stored(changed, "kept-texts").hint("shuffle_hash"), F.col("row") == F.col("_row"), "left")
-    left = rows.select(F.coalesce("kept_text", "text").alias("text"), "_kept", F.col("_row").isNotNull().alias("cut"))
+    """``docs`` with repeated strings cut out of the texts; rows of which nothing is left go."""
+    rows = with_rows(packed(docs, "text"), "texts")
+    found = _repeats(rows.select("row", F.col("_kept.doc_id").cast("long").alias("doc_id"), "text"), **settings)
+    changed = found.filter("n_removed > 0").select(F.col("row").alias("_row"), "kept_text")
+    joined = rows.join(stored(changed, "kept-texts").hint("shuffle_hash"), F.col("row") == F.col("_row"), "left")
+    left = joined.select(F.coalesce("kept_text", "text").alias("text"), "_kept", F.col("_row").isNotNull().alias("cut"))
     return unpacked(left.filter("not cut or trim(text) != ''"), docs.columns, "text")

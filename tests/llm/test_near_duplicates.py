@@ -8,6 +8,7 @@ from collections import Counter
 
 from samples import awkward_texts, documents, rows_of
 
+import martflow.llm.near_duplicates as near_duplicates_module
 from martflow.llm.near_duplicates import matched_depth, near_duplicates, one_of_each
 from martflow.llm.queries import op2_near_duplicates
 
@@ -95,6 +96,41 @@ def test_awkward_texts_and_large_groups(spark, tmp_path):
     assert {r.doc_id for r in kept.collect()} <= {c for _, c, _ in wanted}
 
 
+def scans_change_after(spark, monkeypatch, module, name):
+    """From the table ``name`` on, scans are packed into other partitions, as when executors are lost."""
+    store = module.stored
+
+    def changing(df, own, *args):
+        out = store(df, own, *args)
+        if own == name:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+        return out
+
+    monkeypatch.setattr(module, "stored", changing)
+
+
+def in_files(spark, texts, tmp_path):
+    """A table of many files of different sizes; packed together they are read in another order than alone."""
+    docs = documents(spark, texts).repartition(7, "doc_id")
+    docs.write.parquet(f"{tmp_path}/files")
+    return spark.read.parquet(f"{tmp_path}/files")
+
+
+def test_scans_that_are_packed_anew(spark, tmp_path, monkeypatch):
+    docs = in_files(spark, awkward_texts() + near_copies(1, 40) + near_copies(2, 3), tmp_path)
+    wanted = expected(docs.collect())
+    once = sorted(r.text or "" for r in one_of_each(docs).collect())
+    scans_change_after(spark, monkeypatch, near_duplicates_module, "signatures")
+    try:
+        assert rows_of(near_duplicates(docs), *COLUMNS) == wanted
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        kept = one_of_each(docs)
+        assert kept.count() == len(once)
+        assert sorted(r.text or "" for r in kept.collect()) == once
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_depth():
     assert matched_depth(0.8, 32, 8, 0.9999) == 6
     assert matched_depth(0.8, 1, 8, 0.9999) == 1

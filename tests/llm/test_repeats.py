@@ -8,8 +8,9 @@ from collections import Counter
 
 import numpy as np
 from samples import awkward_texts, documents, rows_of
-from test_near_duplicates import saved
+from test_near_duplicates import in_files, saved, scans_change_after
 
+import martflow.llm.repeats as repeats_module
 from martflow.llm.queries import op7_repeats
 from martflow.llm.repeats import anchors, find_repeats, remove_repeats
 
@@ -70,6 +71,16 @@ def test_removal(spark, tmp_path):
     assert kept.count() == sum(not (r.n_removed and not r.kept_text.strip(" ")) for r in find_repeats(docs, length=40).collect())
 
 
+def test_scans_that_are_packed_anew(spark, tmp_path, monkeypatch):
+    docs = in_files(spark, awkward_texts() + mixtures(1), tmp_path)
+    wanted = expected(docs.collect(), 40)
+    scans_change_after(spark, monkeypatch, repeats_module, "anchors")
+    try:
+        assert rows_of(find_repeats(docs, length=40), *COLUMNS) == wanted
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def long_text(n: int) -> tuple[str, str]:
     """A text of ``n`` bytes that repeats nothing, and a passage of 400 bytes at its end."""
     pick = np.random.default_rng(8)
