@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from martflow.llm.common import shared_folder, table, with_package
 from martflow.llm.decontaminate import find_leaks
+from martflow.llm.fill_in_middle import fill_in_middle, with_digests
+from martflow.llm.hard_negatives import mine_hard_negatives
 from martflow.llm.language_model import score_texts
 from martflow.llm.near_duplicates import near_duplicates
 from martflow.llm.packing import pack_documents
@@ -101,6 +104,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).drop("text_hash", "host", "removed")
 
 
+def op12_skip_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in fill-in-the-middle form, as digests."""
+    return with_digests(fill_in_middle(table(spark, sf_dir, "documents")))
+
+
+def op13_four_russians(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector; the labels of every seventh are moved on by one first."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return mine_hard_negatives(vectors, F.col("vec_id") % 50 == 0)
+
+
 OP5_SQL = r"""
 WITH parts AS (
   SELECT page_id, row_number() OVER () AS row,
@@ -124,6 +139,59 @@ SELECT u.page_id, u.host, u.path, b.rule, coalesce(b.verdict, 'allow') AS verdic
 FROM urls u LEFT JOIN best b ON u.row = b.row
 """
 
+OP12_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || doc_id) AS digest,
+         regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS lines
+  FROM documents
+), drawn AS (
+  SELECT *, len(lines) AS n, ('0x' || substr(digest, 1, 8))::BIGINT AS h1, ('0x' || substr(digest, 9, 8))::BIGINT AS h2,
+         ('0x' || substr(digest, 25, 8))::BIGINT AS h4
+  FROM texts
+), cut AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN text = '' OR regexp_matches(text, '<[PSM]>') THEN 'plain'
+              WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn
+), parts AS (
+  SELECT *, array_to_string(lines[1:a], '') AS prefix, array_to_string(lines[a + 1:b], '') AS middle,
+         array_to_string(lines[b + 1:], '') AS suffix
+  FROM cut
+)
+SELECT doc_id, n::BIGINT AS n, form,
+       CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text
+                        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
+OP13_SQL = r"""
+WITH vectors AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS c
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, v.vec_id AS vec_id, a.label = v.label AS same,
+         list_sum(list_transform(list_zip(a.c, v.c), lambda x: x[1] * x[2]))::BIGINT AS score
+  FROM vectors a JOIN vectors v ON a.vec_id <> v.vec_id
+  WHERE a.vec_id % 50 = 0
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id,
+       (row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id))::INTEGER AS rank,
+       s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scored s USING (anchor_id)
+WHERE NOT s.same AND 100 * s.score BETWEEN 50 * p.positive_score AND 95 * p.positive_score
+QUALIFY rank <= 3
+"""
+
 QUERIES: dict[str, Query] = {
     query.__name__: with_package(query)
     for query in (
@@ -137,9 +205,13 @@ QUERIES: dict[str, Query] = {
         op8_language_model,
         op9_toxicity,
         op10_quality_rules,
+        op12_skip_list,
+        op13_four_russians,
     )
 }
 
 ORACLE: dict[str, str] = {
     "op5_url_rules": OP5_SQL,
+    "op12_skip_list": OP12_SQL,
+    "op13_four_russians": OP13_SQL,
 }
