@@ -14,6 +14,7 @@ from martflow.llm.decontaminate import find_leaks
 from martflow.llm.fill_in_middle import fill_in_middle, with_digests
 from martflow.llm.hard_negatives import mine_hard_negatives
 from martflow.llm.language_model import score_texts
+from martflow.llm.lsh_forest import near_dedup
 from martflow.llm.near_duplicates import near_duplicates
 from martflow.llm.packing import pack_documents
 from martflow.llm.repeats import find_repeats
@@ -104,6 +105,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).drop("text_hash", "host", "removed")
 
 
+def op11_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents at a similarity of 0.85 of three-word shingles."""
+    return near_dedup(table(spark, sf_dir, "documents")).drop("row", "component_row")
+
+
 def op12_skip_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in fill-in-the-middle form, as digests."""
     return with_digests(fill_in_middle(table(spark, sf_dir, "documents")))
@@ -139,6 +145,35 @@ SELECT u.page_id, u.host, u.path, b.rule, coalesce(b.verdict, 'allow') AS verdic
 FROM urls u LEFT JOIN best b ON u.row = b.row
 """
 
+OP11_SQL = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(words) - 1), lambda i: array_to_string(words[i:i + 2], ' '))) END AS own
+  FROM texts
+), shingles AS (
+  SELECT doc_id, unnest(own) AS shingle FROM sets
+), links AS (
+  SELECT p.a, p.b
+  FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+        FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY 1, 2) p
+  JOIN sets s ON s.doc_id = p.a JOIN sets t ON t.doc_id = p.b
+  WHERE 100 * shared >= 85 * (len(s.own) + len(t.own) - shared)
+), reach(a, b) AS (
+  SELECT doc_id, doc_id FROM sets
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), found AS (
+  SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT s.doc_id, len(s.own)::BIGINT AS n_shingles, f.component_id, s.doc_id = f.component_id AS kept
+FROM sets s JOIN found f ON s.doc_id = f.doc_id
+"""
+
 OP12_SQL = r"""
 WITH texts AS (
   SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || doc_id) AS digest,
@@ -205,6 +240,7 @@ QUERIES: dict[str, Query] = {
         op8_language_model,
         op9_toxicity,
         op10_quality_rules,
+        op11_lsh_forest,
         op12_skip_list,
         op13_four_russians,
     )
@@ -212,6 +248,7 @@ QUERIES: dict[str, Query] = {
 
 ORACLE: dict[str, str] = {
     "op5_url_rules": OP5_SQL,
+    "op11_lsh_forest": OP11_SQL,
     "op12_skip_list": OP12_SQL,
     "op13_four_russians": OP13_SQL,
 }
