@@ -233,7 +233,7 @@ def _duplicate_findings(df: DataFrame, table: str) -> DataFrame:
     return _finding(total, F.lit(table), F.lit("duplicates"), F.lit("*"))
 
 
-def _key_findings(tables: Mapping[str, DataFrame]) -> DataFrame:
+def key_findings(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Uniqueness of every primary key, from one grouping of all of them."""
     keys = _dimension_keys(tables, PRIMARY_KEYS)
     surplus = F.when(F.col("dimension_key").isNull(), F.col("copies")).otherwise(F.col("copies") - 1)
@@ -256,6 +256,12 @@ def _key_findings(tables: Mapping[str, DataFrame]) -> DataFrame:
     return _finding(counted, F.col("table"), F.lit("unique"), F.col("column"))
 
 
+def foreign_key_findings(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Known fact keys without a parent, over all foreign keys."""
+    found = foreign_keys(tables)
+    return _finding(found, F.col("fact"), F.lit("foreign_key"), F.col("column"), failed="orphan_rows")
+
+
 def _calendar_findings(dim_time: DataFrame) -> DataFrame:
     span = F.datediff(F.max("date"), F.min("date")) + 1
     counted = dim_time.agg(
@@ -292,16 +298,14 @@ def check_suite(
     by 1 for a total that differs. Pass stored tables: each is scanned a few times.
     """
     findings = [_duplicate_findings(tables[t], t) for t in unique_rows]
-    findings.append(_key_findings(tables))
+    findings.append(key_findings(tables))
     findings += [
         _column_findings(tables[t], t, required.get(t, ()), formats.get(t, {}))
         for t in tables
         if required.get(t) or formats.get(t)
     ]
     findings.append(_calendar_findings(tables["dim_time"]))
-    findings.append(
-        _finding(foreign_keys(tables), F.col("fact"), F.lit("foreign_key"), F.col("column"), failed="orphan_rows")
-    )
+    findings.append(foreign_key_findings(tables))
     if lines is not None:
         findings.append(_reconciled_findings(tables, lines))
     return union_all(findings)

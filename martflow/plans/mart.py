@@ -5,6 +5,10 @@ back where a later step needs it. Written tables cut the lineage: losing an
 executor repeats at most the step that is running. The run's manifest is written
 last, so a run that died half-way is no run, and ``load_mart`` takes the tables
 of one run only. Steps that need nothing of each other are submitted together.
+
+``load_mart`` writes all tables first, audits the mart as it would be, and then
+publishes all of them as one version: readers see a load whole or not at all,
+and a load that fails the audit leaves nothing but unnamed folders.
 """
 
 from __future__ import annotations
@@ -17,28 +21,29 @@ from datetime import date
 from typing import Any
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from martflow.operators import files
+from martflow.operators import checks, files, versions
 from martflow.operators.tables import (
-    append_fact,
     create_mart,
-    expire_versions,
+    merged_dimension,
     month_start,
+    outside_window,
     read_dimension,
     read_fact,
-    replace_window,
-    upsert_dimension,
+    write_months,
 )
+from martflow.operators.versions import Table, Version
 from martflow.plans import dims, facts
 from martflow.schemas import DIMENSIONS, FACTS, MART_TABLES, SOURCE_TABLES, VISITS, conform
 from martflow.sources.cache import read_or_build
 from martflow.sources.csv import bulk_load
 from martflow.sources.model import RetailSource
 
-MANIFEST = "manifest.json"
+#: Manifests of complete runs, ``<number>.json``, below the staging folder.
+RUNS = "_runs"
 SIDE_BY_SIDE = 4
 
 
@@ -52,6 +57,15 @@ class RunReport:
     orders_outside_calendar: int = 0
 
 
+class AuditFailed(ValueError):
+    """A load was not published; ``findings`` are the rows of the audit that did not pass."""
+
+    def __init__(self, run: str, findings: list[Row]):
+        self.run, self.findings = run, findings
+        named = "; ".join(f"{r.table}.{r.column} {r.check}: {r.failed_rows} of {r.checked_rows} rows" for r in findings)
+        super().__init__(f"{run} was not published: {named}")
+
+
 def _together(*steps: Callable[[], Any]) -> list:
     """Results of steps submitted side by side. A failure is raised after all have ended."""
     with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
@@ -134,25 +148,31 @@ def build_mart(
 
 
 def _write_manifest(spark: SparkSession, staging: str, report: RunReport, since: date | None, to_replace: bool) -> None:
-    manifest = {
+    """Claim the next run number by creating its manifest, whole, as a file only one run can create."""
+    content = {
         "run": report.run,
-        "number": len(_runs(spark, staging)) + 1,
         "rows": report.rows,
         "since": since.isoformat() if since else None,
         "to_replace": to_replace,
         "orders_outside_calendar": report.orders_outside_calendar,
     }
-    files.write_text(spark, f"{staging}/{report.run}/{MANIFEST}", json.dumps(manifest))
+    number = max(_run_numbers(spark, staging), default=0) + 1
+    while not files.create(spark, _manifest_file(staging, number), json.dumps({**content, "number": number}) + "\n"):
+        number += 1
+
+
+def _manifest_file(staging: str, number: int) -> str:
+    return f"{staging}/{RUNS}/{number:012d}.json"
+
+
+def _run_numbers(spark: SparkSession, staging: str) -> list[int]:
+    return [int(n.removesuffix(".json")) for n in files.names(spark, f"{staging}/{RUNS}") if n[0] != "."]
 
 
 def _runs(spark: SparkSession, staging: str) -> list[dict]:
-    """Manifests of the complete runs, oldest first."""
-    complete = [
-        json.loads(files.read_text(spark, f"{staging}/{folder}/{MANIFEST}"))
-        for folder in files.folders(spark, staging)
-        if folder.startswith("run-") and files.exists(spark, f"{staging}/{folder}/{MANIFEST}")
-    ]
-    return sorted(complete, key=lambda m: (m["number"], m["run"]))
+    """Manifests of the complete runs, oldest first; one that is just being written does not count yet."""
+    texts = [files.read_text(spark, _manifest_file(staging, n)) for n in sorted(_run_numbers(spark, staging))]
+    return [json.loads(text) for text in texts if text.endswith("\n")]
 
 
 def manifest(spark: SparkSession, staging: str, run: str | None = None) -> dict:
@@ -192,6 +212,11 @@ def stage_handoffs(
     return report
 
 
+def audit_keys(tables: dict[str, DataFrame]) -> DataFrame:
+    """The rules a mart's tables are declared with: primary keys are known and unique, foreign keys have parents."""
+    return checks.union_all([checks.key_findings(tables), checks.foreign_key_findings(tables)])
+
+
 def load_mart(
     spark: SparkSession,
     staging: str,
@@ -199,49 +224,75 @@ def load_mart(
     replace_since: date | None = None,
     keep_versions: int = 5,
     run: str | None = None,
+    audit: Callable[[dict[str, DataFrame]], DataFrame] | None = audit_keys,
 ) -> RunReport:
-    """Upsert a run's dimensions, then append its facts.
+    """Upsert a run's dimensions and append its facts, as one version of the mart.
 
     Takes the given run or the last complete one. A run's facts are appended
-    once: the mart keeps a mark for each run, and a second append is refused,
-    also after one that broke off. With ``replace_since`` the facts are replaced
-    from the start of that month instead, which may be repeated; such a run is
-    staged with ``since=month_start(replace_since)`` and ``to_replace``.
+    once: the version names the runs it holds, and a second append is refused.
+    With ``replace_since`` the facts are replaced from the start of that month
+    instead, which may be repeated; such a run is staged with
+    ``since=month_start(replace_since)`` and ``to_replace``.
+
+    Before the version is published, ``audit`` is given the dimensions as they
+    would be and the facts' rows that the run brings (earlier ones passed when
+    they came, and an upsert takes no key away). It returns findings like those
+    of ``check_suite``; if one has not passed, nothing changes and
+    ``AuditFailed`` is raised with them. If another writer changes one of the
+    tables meanwhile, nothing changes either. A load that broke off has left
+    nothing that counts and can be run again.
     """
     found = manifest(spark, staging, run)
     run = found["run"]
+    first = None
     if replace_since is not None:
-        first = month_start(replace_since)
-        if found["since"] not in (None, first.isoformat()) or found["since"] and not found["to_replace"]:
-            raise ValueError(f"{run} was not staged to replace the facts from {first}")
+        start = month_start(replace_since)
+        if found["since"] not in (None, start.isoformat()) or found["since"] and not found["to_replace"]:
+            raise ValueError(f"{run} was not staged to replace the facts from {start}")
         last_day = staged_table(spark, staging, "dim_time", run).agg(F.max("date")).first()[0]
-        if last_day is None or last_day < first:
+        if last_day is None or last_day < start:
             raise ValueError(f"the calendar ends on {last_day}, before the window; stage a longer one")
+        first = start.year * 100 + start.month
     create_mart(spark, mart)
-    if replace_since is None and not files.claim(spark, f"{mart}/_appended/{run}", "begun"):
-        state = "was appended already" if files.exists(spark, f"{mart}/_appended/{run}/done") else "broke off"
-        raise ValueError(f"{run} {state}; replace its window instead")
+    present = versions.last(spark, mart)
+    _refuse_repeat(present, run, first)
     report = RunReport(run=run, rows=found["rows"])
+    tables: dict[str, Table] = {}
 
     def upsert(name: str) -> None:
-        report.changes[name] = upsert_dimension(spark, mart, name, staged_table(spark, staging, name, run))
-        expire_versions(spark, f"{mart}/{name}", keep_versions)
+        staged = staged_table(spark, staging, name, run)
+        tables[name], report.changes[name] = merged_dimension(spark, f"{mart}/{name}", name, present.tables[name], staged)
 
-    def load(name: str) -> None:
+    def write(name: str) -> None:
         staged = staged_table(spark, staging, name, run)
-        if replace_since is None:
-            append_fact(staged, f"{mart}/{name}", name)
-        else:
-            replace_window(staged, f"{mart}/{name}", name, month_start(replace_since))
-
-    _together(*[lambda n=name: upsert(n) for name in DIMENSIONS])
-    _together(*[lambda n=name: load(n) for name in FACTS])
-    if replace_since is None:
-        files.write_text(spark, f"{mart}/_appended/{run}/done", "")
+        tables[name] = Table(write_months(staged, f"{mart}/{name}", name, first))
+
+    _together(*[lambda n=name: upsert(n) for name in DIMENSIONS], *[lambda n=name: write(n) for name in FACTS])
+    if audit is not None:
+        candidate = mart_tables(spark, mart, Version(tables=tables))
+        failed = audit(candidate).filter("not passed").collect()
+        if failed:
+            raise AuditFailed(run, failed)
+
+    def change(latest: Version) -> dict[str, Table]:
+        _refuse_repeat(latest, run, first)
+        versions.unchanged(present, *DIMENSIONS, *(FACTS if first else ()))(latest)
+        held = {n: latest.tables[n] for n in FACTS}
+        stays = {n: outside_window(t, first) if first else t.folders for n, t in held.items()}
+        return {**tables, **{n: Table({**stays[n], **tables[n].folders}) for n in FACTS}}
+
+    versions.publish(spark, mart, change, mark=None if first else run)
+    versions.expire(spark, mart, keep_versions)
     return report
 
 
-def mart_tables(spark: SparkSession, mart: str) -> dict[str, DataFrame]:
-    """All tables of a loaded mart, ready for checks and reports."""
-    tables = {name: read_dimension(spark, mart, name) for name in DIMENSIONS}
-    return tables | {name: read_fact(spark, f"{mart}/{name}", name) for name in FACTS}
+def _refuse_repeat(version: Version, run: str, first: int | None) -> None:
+    if first is None and run in version.marks:
+        raise ValueError(f"{run} was appended already; replace its window instead")
+
+
+def mart_tables(spark: SparkSession, mart: str, version: Version | None = None) -> dict[str, DataFrame]:
+    """All tables of a loaded mart, of one version, ready for checks and reports."""
+    version = version or versions.last(spark, mart)
+    tables = {name: read_dimension(spark, mart, name, version) for name in DIMENSIONS}
+    return tables | {name: read_fact(spark, f"{mart}/{name}", name, version=version) for name in FACTS}

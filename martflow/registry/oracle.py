@@ -6,10 +6,12 @@ aggregates, counts are distinct counts, and windows are plain comparisons.
 
 from __future__ import annotations
 
+from martflow.operators.tables import month_start
 from martflow.registry.queries import (
     PRODUCT_AFTER,
     PRODUCT_SNAPSHOT,
     REGISTERED_AFTER,
+    REPLACED_FROM,
     SALES_DAY,
     SALES_DAY_BEFORE,
     SNAPSHOT_DAY,
@@ -429,6 +431,22 @@ UNION ALL SELECT 'dim_product', count(*), CAST(sum(product_key) AS DOUBLE) FROM
 UNION ALL SELECT 'dim_location', count(*), CAST(sum(location_key) AS DOUBLE) FROM dim_location
 UNION ALL SELECT 'fct_sales', count(*), CAST(sum(CAST(sales AS DECIMAL(18,2))) AS DOUBLE) FROM fct_sales
 UNION ALL SELECT 'fct_marketing', count(*), CAST(count(conversion_rate) AS DOUBLE) FROM fct_marketing""",
+        ),
+        "load_mart_audited": with_tables(
+            *SALES_BASE,
+            fct_sales(),
+            f"""planted AS (
+  SELECT DISTINCT CASE WHEN sales_id % 100 = 0 THEN -customer_id - 1 ELSE customer_id END AS customer_key,
+         ship_to, product_id, order_date
+  FROM sale_product JOIN sales USING (sales_id)
+  WHERE order_date >= DATE '{month_start(REPLACED_FROM)}' AND customer_id IS NOT NULL AND ship_to IS NOT NULL
+    AND product_id IS NOT NULL
+)""",
+            select="""SELECT 'fct_sales' AS "table", 'rows' AS "check", 'sales' AS "column", count(*) AS checked_rows,
+       count(*) FILTER (customer_key < 0) AS failed_rows, CAST(sum(CAST(sales AS DECIMAL(18,2))) AS DOUBLE) AS total
+FROM fct_sales
+UNION ALL
+SELECT 'fct_sales', 'foreign_key', 'customer_key', count(*), count(*) FILTER (customer_key < 0), NULL FROM planted""",
         ),
         "handoff_sales": whole_sales,
         "csv_round_trip": whole_sales,

@@ -29,11 +29,12 @@ from martflow.operators.tables import (
 from martflow.operators.upsert import scd1_changes, scd1_counts
 from martflow.operators.windows import in_window
 from martflow.plans import dims, facts, reports
-from martflow.plans.mart import build_mart, load_mart, mart_tables, staged_tables
-from martflow.schemas import MART_TABLES, VISITS, conform
+from martflow.plans.mart import AuditFailed, build_mart, load_mart, mart_tables, staged_tables
+from martflow.schemas import MART_TABLES, SOURCE_TABLES, VISITS, conform
 from martflow.session import scratch_dir
 from martflow.sources.cache import read_or_build
 from martflow.sources.csv import bulk_load, read_csv, read_indexed_csv, write_csv
+from martflow.sources.model import StoredSource
 from martflow.sources.testtables import open_table, retail_source
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -379,6 +380,33 @@ def load_mart_(spark, sf_dir):
     )
 
 
+@query
+def load_mart_audited(spark, sf_dir):
+    """What the audit of a window with unknown customers finds, and the facts that it leaves as they were."""
+    source, staging, mart = retail_source(spark, sf_dir), _scratch(spark, "staging"), _scratch(spark, "mart")
+    build_mart(source, staging)
+    load_mart(spark, staging, mart)
+    unknown = F.when(F.col("sales_id") % 100 == 0, -F.col("customer_id") - 1).otherwise(F.col("customer_id"))
+    tables = {name: getattr(source, name) for name in SOURCE_TABLES}
+    planted = StoredSource(**{**tables, "sales": source.sales.withColumn("customer_id", unknown)})
+    build_mart(planted, staging, since=month_start(REPLACED_FROM), to_replace=True)
+    try:
+        load_mart(spark, staging, mart, replace_since=REPLACED_FROM)
+    except AuditFailed as refused:
+        found = spark.createDataFrame(refused.findings)
+    else:
+        raise AssertionError("unknown customers were published")
+    kept = read_fact(spark, f"{mart}/fct_sales", "fct_sales").agg(
+        F.lit("fct_sales").alias("table"),
+        F.lit("rows").alias("check"),
+        F.lit("sales").alias("column"),
+        F.count(F.lit(1)).alias("checked_rows"),
+        F.count_if(F.col("customer_key") < 0).alias("failed_rows"),
+        F.sum("sales").cast("double").alias("total"),
+    )
+    return kept.unionByName(found.drop("passed").withColumn("total", F.lit(None).cast("double")))
+
+
 @query
 def handoff_sales(spark, sf_dir):
     """The sales fact from files that call the sales ``subtotal`` and write keys with a fraction."""

@@ -1,12 +1,13 @@
 """Both runs end to end on the small test tables."""
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
 from frames import rows
-from martflow.operators import checks
+from martflow.operators import checks, versions
 from martflow.operators.tables import read_dimension, read_fact
 from martflow.plans import dims, facts, mart
 from martflow.schemas import SOURCE_TABLES
@@ -142,3 +143,85 @@ def test_handoffs_load_like_a_run(spark, staged, tmp_path):
     mart.load_mart(spark, f"{tmp_path}/staging", f"{tmp_path}/mart")
     for name, df in mart.mart_tables(spark, f"{tmp_path}/mart").items():
         assert rows(df) == rows(mart.staged_table(spark, staging, name))
+
+
+# --- audit before publish -----------------------------------------------------
+
+
+def unknown_customers(source):
+    odd = F.when(F.col("sales_id") % 7 == 0, -F.col("customer_id")).otherwise(F.col("customer_id"))
+    return StoredSource(**{**source.__dict__, "sales": source.sales.withColumn("customer_id", odd)})
+
+
+def state(spark, root):
+    return {name: rows(df) for name, df in mart.mart_tables(spark, root).items()}
+
+
+def test_a_load_that_fails_its_audit_changes_nothing(spark, source, staged, tmp_path):
+    staging, _ = staged
+    root, weekly = str(tmp_path / "mart"), str(tmp_path / "weekly")
+    mart.load_mart(spark, staging, root)
+    before, number = state(spark, root), versions.last(spark, root).number
+    since = mart.month_start(date(2000, 6, 15))
+    part = mart.build_mart(unknown_customers(source), weekly, since=since, to_replace=True)
+    with pytest.raises(mart.AuditFailed, match="fct_sales.customer_key foreign_key") as refused:
+        mart.load_mart(spark, weekly, root, replace_since=since)
+    assert refused.value.run == part.run
+    (finding,) = refused.value.findings
+    wrong = mart.staged_table(spark, weekly, "fct_sales").filter("customer_key < 0").count()
+    assert (finding.failed_rows, finding.checked_rows) == (wrong, part.rows["fct_sales"])
+    assert versions.last(spark, root).number == number and state(spark, root) == before
+    # Without the audit it would have come in; a sound run replaces it.
+    mart.load_mart(spark, weekly, root, replace_since=since, audit=None)
+    assert state(spark, root) != before
+    mart.build_mart(source, weekly, since=since, to_replace=True)
+    mart.load_mart(spark, weekly, root, replace_since=since)
+    assert state(spark, root) == before
+
+
+def test_a_load_that_dies_is_not_seen_and_can_be_run_again(spark, staged, tmp_path, monkeypatch):
+    staging, report = staged
+    root = str(tmp_path / "mart")
+    write = mart.write_months
+
+    def dies(df, path, name, first=None):
+        written = write(df, path, name, first)
+        if name == "fct_marketing":
+            raise OSError("lost")
+        return written
+
+    monkeypatch.setattr(mart, "write_months", dies)
+    with pytest.raises(OSError, match="lost"):
+        mart.load_mart(spark, staging, root)
+    assert all(not found for found in state(spark, root).values())
+    monkeypatch.undo()
+    mart.load_mart(spark, staging, root)
+    for name, df in mart.mart_tables(spark, root).items():
+        assert df.count() == report.rows[name]
+
+
+def test_racing_loads_of_one_run_append_it_once(spark, staged, tmp_path):
+    staging, report = staged
+    root = str(tmp_path / "mart")
+
+    def load(_):
+        try:
+            return mart.load_mart(spark, staging, root)
+        except (ValueError, versions.Conflict) as lost:
+            return lost
+
+    with ThreadPoolExecutor(2) as pool:
+        ends = list(pool.map(load, range(2)))
+    assert sum(isinstance(e, mart.RunReport) for e in ends) == 1
+    assert read_fact(spark, f"{root}/fct_sales", "fct_sales").count() == report.rows["fct_sales"]
+
+
+def test_racing_runs_get_numbers_of_their_own(spark, tmp_path):
+    staging = str(tmp_path)
+    reports = [mart.RunReport(run=f"run-{k}") for k in range(6)]
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(lambda r: mart._write_manifest(spark, staging, r, None, False), reports))
+    found = mart._runs(spark, staging)
+    assert [m["number"] for m in found] == [1, 2, 3, 4, 5, 6]
+    assert {m["run"] for m in found} == {r.run for r in reports}
+    assert mart.manifest(spark, staging) == found[-1]

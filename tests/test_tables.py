@@ -3,7 +3,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from frames import day, mart, money, rows
-from martflow.operators import files, tables
+from martflow.operators import files, tables, versions
 from martflow.schemas import MART_TABLES, PRIMARY_KEYS
 
 
@@ -24,7 +24,8 @@ def content(spark, path, **options):
 
 
 def month_folders(spark, path):
-    return [f for f in files.folders(spark, path) if f.startswith("month_key=")]
+    store, name = versions.home(spark, path)
+    return sorted({f.rpartition("/")[2] for f in versions.last(spark, store).tables[name].folders})
 
 
 # --- versions ---------------------------------------------------------------
@@ -91,8 +92,8 @@ def test_expired_versions_are_removed_except_the_last(spark, tmp_path):
     for _ in range(4):
         tables.publish(spark.range(1), path)
     assert tables.expire_versions(spark, path, keep=2) == [1, 2]
-    assert [f for f in files.folders(spark, path) if f.startswith("v=")] == ["v=3", "v=4"]
-    assert len(files.folders(spark, path)) == 4
+    assert versions.numbers(spark, path) == [3, 4]
+    assert len([f for f in files.folders(spark, path) if f.startswith("data_part=")]) == 2
     assert tables.expire_versions(spark, path, keep=0) == [3]
     assert tables.expire_versions(spark, str(tmp_path / "none")) == []
 
@@ -225,7 +226,7 @@ def test_a_month_becomes_few_files_whatever_the_task_count(spark, tmp_path):
     tables.append_fact(df, str(tmp_path / "a"), "fct_sales")
     tables.replace_window(df, str(tmp_path / "r"), "fct_sales", day("2024-01-01"))
     for folder in "ar":
-        assert len(list((tmp_path / folder).glob("month_key=*/*.parquet"))) == 2
+        assert len(list((tmp_path / folder).glob("data_part=*/month_key=*/*.parquet"))) == 2
 
 
 def test_a_month_too_large_for_one_task_is_split(spark, tmp_path):
@@ -239,5 +240,5 @@ def test_a_month_too_large_for_one_task_is_split(spark, tmp_path):
     finally:
         spark.conf.set(size, before)
     for folder in "ar":
-        assert len(list((tmp_path / folder / "month_key=202402").glob("*.parquet"))) > 3
+        assert len(list((tmp_path / folder).glob("data_part=*/month_key=202402/*.parquet"))) > 3
         assert tables.read_fact(spark, str(tmp_path / folder), "fct_sales").count() == 40000
