@@ -184,23 +184,34 @@ def upsert_dimension(
 # --- facts ------------------------------------------------------------------
 
 
-def write_months(df: DataFrame, path: str, name: str, first: int | None = None) -> dict[str, None]:
-    """Write a fact's rows by month into a new part; returns its folders.
+def write_by_month(df: DataFrame, path: str, month: Column, first: int | None = None) -> dict[str, None]:
+    """Write rows by month into a new part; returns its folders.
 
     Rebalancing puts a month in as few files as its size needs and splits a
     month that is too large for one task. A row of a month before ``first``
     fails the write.
     """
     spark, part = df.sparkSession, versions.new_part()
-    by_month = conform(df, MART_TABLES[name]).withColumn(MONTH, month_key(F.col("time_key"))).hint("rebalance", MONTH)
+    by_month = df.withColumn(MONTH, month).hint("rebalance", MONTH)
     if first is not None:
-        message = F.concat(F.lit(f"row before the window from {first}01: time_key "), F.col("time_key").cast("string"))
+        shown = F.col("time_key" if "time_key" in df.columns else MONTH).cast("string")
+        message = F.concat(F.lit(f"row before the window from {first}01: time_key "), shown)
         early = F.when(F.col(MONTH) < first, F.raise_error(message).cast("boolean"))
         by_month = by_month.filter(early.otherwise(F.lit(True)))
     by_month.write.partitionBy(MONTH).parquet(f"{path}/{part}")
     return {f"{part}/{f}": None for f in files.folders(spark, f"{path}/{part}") if f.startswith(f"{MONTH}=")}
 
 
+def write_months(df: DataFrame, path: str, name: str, first: int | None = None) -> dict[str, None]:
+    """``write_by_month`` of a fact's rows."""
+    return write_by_month(conform(df, MART_TABLES[name]), path, month_key(F.col("time_key")), first)
+
+
+def read_months(spark: SparkSession, path: str, table: Table, schema: StructType) -> DataFrame:
+    """The rows of a table by month, with their month."""
+    return _read(spark, path, list(table.folders), schema, MONTH)
+
+
 def _month(folder: str) -> int | None:
     month = folder.rpartition("=")[2]
     return None if month == NO_MONTH else int(month)
@@ -208,14 +219,14 @@ def _month(folder: str) -> int | None:
 
 def outside_window(table: Table, first: int) -> dict[str, None]:
     """The folders of a fact that a replacement from the month ``first`` on leaves."""
-    return {f: n for f, n in table.folders.items() if (_month(f) or first) < first}
+    return {f: n for f, n in table.folders.items() if (month := _month(f)) is not None and month < first}
 
 
 def read_fact(
     spark: SparkSession, path: str, name: str, since: date | None = None, version: Version | None = None
 ) -> DataFrame:
     """A fact table; ``since`` also skips the folders of earlier months."""
-    df = _read(spark, path, list(_present(spark, path, version).folders), MART_TABLES[name], MONTH)
+    df = read_months(spark, path, _present(spark, path, version), MART_TABLES[name])
     if since is not None:
         first = since.year * 100 + since.month
         df = df.filter((F.col(MONTH) >= first) & (F.col("time_key") >= first * 100 + since.day))

@@ -14,7 +14,7 @@ and a load that fails the audit leaves nothing but unnamed folders.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date
@@ -25,7 +25,9 @@ from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from martflow.operators import checks, files, versions
+from martflow.operators import checks, files, repairs, versions
+from martflow.operators.daily import visits_from_days
+from martflow.operators.repairs import Rule
 from martflow.operators.tables import (
     create_mart,
     merged_dimension,
@@ -38,7 +40,6 @@ from martflow.operators.tables import (
 from martflow.operators.versions import Table, Version
 from martflow.plans import dims, facts
 from martflow.schemas import DIMENSIONS, FACTS, MART_TABLES, SOURCE_TABLES, VISITS, conform
-from martflow.sources.cache import read_or_build
 from martflow.sources.csv import bulk_load
 from martflow.sources.model import RetailSource
 
@@ -55,6 +56,8 @@ class RunReport:
     rows: dict[str, int] = field(default_factory=dict)
     changes: dict[str, dict[str, int]] = field(default_factory=dict)
     orders_outside_calendar: int = 0
+    failed_rules: dict[str, dict[str, int]] = field(default_factory=dict)
+    repaired_rules: dict[str, dict[str, int]] = field(default_factory=dict)
 
 
 class AuditFailed(ValueError):
@@ -90,6 +93,8 @@ def build_mart(
     registered_after: date | None = None,
     to_replace: bool = False,
     visits_store: str | None = None,
+    ratings_store: str | None = None,
+    rules: Mapping[str, Sequence[Rule]] | None = None,
 ) -> RunReport:
     """Extract and shape all tables into a new run in ``staging``.
 
@@ -100,9 +105,14 @@ def build_mart(
     once and feed both facts.
 
     ``to_replace`` stages a window for ``load_mart(replace_since=...)``: who has
-    no orders is then decided by all orders up to ``as_of``. Visits are counted
-    anew in each run, unless ``visits_store`` names a folder to keep and reuse
-    them in; a count for another ``visits_as_of`` is kept apart.
+    no orders is then decided by all orders up to ``as_of``.
+
+    Visits and ratings are computed anew from all their rows in each run, unless
+    a folder is named to keep them in: ``visits_store`` keeps counts by day, and
+    a run counts the days that are missing; ``ratings_store`` keeps rating totals
+    by month, and a run adds its window, or replaces from its start on if it is
+    staged ``to_replace``. ``rules`` of a dimension repair its rows or set them
+    aside, in the run's folder ``rejected/<dimension>``; the report counts both.
     """
     spark = source.sales.sparkSession
     report = RunReport(run=f"run-{uuid4().hex}")
@@ -112,22 +122,35 @@ def build_mart(
         staged, report.rows[name] = _stage(df, f"{root}/{name}", schema)
         return staged
 
-    def dimension(name: str, df: DataFrame) -> Callable[[], DataFrame]:
-        return lambda: stage(name, df, MART_TABLES[name])
+    def dimension(name: str, df: Callable[[], DataFrame]) -> Callable[[], DataFrame]:
+        def build() -> DataFrame:
+            if not (rules or {}).get(name):
+                return stage(name, df(), MART_TABLES[name])
+            judged = repairs.split(conform(df(), MART_TABLES[name]), rules[name], f"{root}/judged/{name}")
+            report.failed_rules[name], report.repaired_rules[name] = judged.failed, judged.repaired
+            _stage(judged.rejected, f"{root}/rejected/{name}", judged.rejected.schema)
+            return stage(name, judged.accepted, MART_TABLES[name])
+
+        return build
+
+    def products() -> DataFrame:
+        if ratings_store is None:
+            return dims.dim_product(source.product, source.sale_product, registered_after)
+        totals = dims.load_ratings(ratings_store, source.sale_product, source.sales, since, as_of, replace=to_replace)
+        return dims.dim_product(source.product, None, registered_after, totals=totals)
 
     def counted_visits() -> DataFrame:
-        count = lambda: facts.visits(source.web_visit, as_of=visits_as_of)
         if visits_store is None:
-            return stage("customer_visit", count(), VISITS)
-        return read_or_build(spark, f"{visits_store}/as_of={visits_as_of}", count, VISITS)
+            return stage("customer_visit", facts.visits(source.web_visit, as_of=visits_as_of), VISITS)
+        return stage("customer_visit", visits_from_days(source.web_visit, visits_store, as_of=visits_as_of), VISITS)
 
     dim_time, sales, visits, *_ = _together(
         lambda: stage("dim_time", dims.dim_time(source.sales, calendar_days), MART_TABLES["dim_time"]),
         lambda: stage("sales_data", facts.sales_window(source.sales, since, as_of), SOURCE_TABLES["sales"]),
         counted_visits,
-        dimension("dim_customer", dims.dim_customer(source.customer, registered_after)),
-        dimension("dim_product", dims.dim_product(source.product, source.sale_product, registered_after)),
-        dimension("dim_location", dims.dim_location(source.locations)),
+        dimension("dim_customer", lambda: dims.dim_customer(source.customer, registered_after)),
+        dimension("dim_product", products),
+        dimension("dim_location", lambda: dims.dim_location(source.locations)),
     )
 
     def outside_calendar() -> None:

@@ -16,6 +16,7 @@ from martflow.registry.queries import (
     SALES_DAY_BEFORE,
     SNAPSHOT_DAY,
     VISIT_DAY,
+    VISIT_NOON,
 )
 
 SALES = """
@@ -82,6 +83,13 @@ dim_location AS (
 )"""
 
 
+PLACES = """
+places AS (
+  SELECT c_custkey AS location_key, n_name AS country, r_name AS region, CAST(c_custkey * 7919 % 100000 AS VARCHAR) AS digits
+  FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey
+)"""
+
+
 def fct_sales(window: str = "TRUE", name: str = "fct_sales") -> str:
     return f"""
 {name} AS (
@@ -431,6 +439,35 @@ UNION ALL SELECT 'dim_product', count(*), CAST(sum(product_key) AS DOUBLE) FROM
 UNION ALL SELECT 'dim_location', count(*), CAST(sum(location_key) AS DOUBLE) FROM dim_location
 UNION ALL SELECT 'fct_sales', count(*), CAST(sum(CAST(sales AS DECIMAL(18,2))) AS DOUBLE) FROM fct_sales
 UNION ALL SELECT 'fct_marketing', count(*), CAST(count(conversion_rate) AS DOUBLE) FROM fct_marketing""",
+        ),
+        "dim_product_incremental": with_tables(LINES, DIM_PRODUCT, select="SELECT * FROM dim_product"),
+        "visits_from_days": with_tables(
+            WEB_VISIT, visits(f"time_visit >= TIMESTAMP '{VISIT_DAY}'"), select="SELECT * FROM visits"
+        ),
+        "visits_from_days_as_of": with_tables(
+            WEB_VISIT, visits(f"time_visit <= TIMESTAMP '{VISIT_NOON}'"), select="SELECT * FROM visits"
+        ),
+        "check_difference": with_tables(
+            *SALES_BASE,
+            fct_sales(),
+            select="""SELECT customer_key, location_key, product_key, time_key,
+       CASE customer_key % 97 WHEN 0 THEN 'lost' WHEN 1 THEN 'doubled' ELSE 'changed' END AS difference,
+       count(*) AS expected_rows, count(*) * (CASE customer_key % 97 WHEN 0 THEN 0 WHEN 1 THEN 2 ELSE 1 END) AS found_rows,
+       CASE WHEN customer_key % 97 = 2 THEN 'quantity' END AS columns
+FROM fct_sales WHERE customer_key % 97 IN (0, 1, 2)
+GROUP BY customer_key, location_key, product_key, time_key""",
+        ),
+        "dim_location_repaired": with_tables(
+            PLACES,
+            select="""SELECT location_key, country, CAST(NULL AS VARCHAR) AS city, CAST(NULL AS VARCHAR) AS state,
+       CASE WHEN location_key % 50 <> 10 THEN lpad(digits, 5, '0') END AS postal_code, region
+FROM places WHERE location_key % 50 NOT IN (7, 8, 9)""",
+        ),
+        "dim_location_rejected": with_tables(
+            PLACES,
+            select="""SELECT 'failed' AS outcome, 'country known' AS rule, count(*) AS rows FROM places WHERE location_key % 50 = 9
+UNION ALL SELECT 'failed', 'postal_code format', count(*) FROM places WHERE location_key % 50 IN (7, 8)
+UNION ALL SELECT 'repaired', 'postal_code format', count(*) FROM places WHERE location_key % 50 NOT IN (7, 8, 10)""",
         ),
         "load_mart_audited": with_tables(
             *SALES_BASE,

@@ -8,14 +8,14 @@ leave their tables in the scratch folder, because their result reads from it.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime, timedelta
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martflow.functions.dates import iso_week
-from martflow.operators import checks
+from martflow.operators import checks, daily, differences, repairs
 from martflow.operators.tables import (
     append_fact,
     month_start,
@@ -43,6 +43,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 SALES_DAY = date(1998, 1, 1)
 SALES_DAY_BEFORE = date(1997, 12, 31)
 VISIT_DAY = date(2024, 1, 15)
+VISIT_NOON = datetime(2024, 1, 20, 12)
 REGISTERED_AFTER = date(1995, 6, 30)
 SNAPSHOT_DAY = date(1995, 12, 31)
 PRODUCT_AFTER = date(1995, 2, 15)
@@ -95,6 +96,22 @@ def dim_product(spark, sf_dir):
     return dims.dim_product(source.product, source.sale_product)
 
 
+@query
+def dim_product_incremental(spark, sf_dir):
+    """Ratings from totals kept by month: two windows, one of them loaded twice, and the last months corrected twice."""
+    source, store = retail_source(spark, sf_dir), _scratch(spark, "ratings")
+    since = month_start(REPLACED_FROM)
+    days = source.sales.select("sales_id", "order_date")
+    wrong = F.when(F.col("order_date") >= F.lit(since), F.lit(1)).otherwise(F.col("ratings"))
+    early = source.sale_product.join(days, "sales_id", "left").withColumn("ratings", wrong).drop("order_date")
+    dims.load_ratings(store, early, source.sales, as_of=SALES_DAY_BEFORE)
+    for _ in range(2):
+        dims.load_ratings(store, early, source.sales, since=SALES_DAY)
+    for _ in range(2):
+        totals = dims.load_ratings(store, source.sale_product, source.sales, since=since, replace=True)
+    return dims.dim_product(source.product, None, totals=totals)
+
+
 @query
 def dim_product_since(spark, sf_dir):
     source = retail_source(spark, sf_dir)
@@ -189,6 +206,23 @@ def visits_as_of(spark, sf_dir):
     return facts.visits(retail_source(spark, sf_dir).web_visit, as_of=VISIT_DAY)
 
 
+@query
+def visits_from_days(spark, sf_dir):
+    """Visits of a window from counts kept by day, of which two earlier windows had counted some."""
+    web_visit, store = retail_source(spark, sf_dir).web_visit, _scratch(spark, "visits")
+    daily.visits_from_days(web_visit, store, since=VISIT_DAY, as_of=VISIT_DAY + timedelta(days=3))
+    daily.visits_from_days(web_visit, store, since=VISIT_DAY + timedelta(days=7), as_of=VISIT_DAY + timedelta(days=9))
+    return daily.visits_from_days(web_visit, store, since=VISIT_DAY)
+
+
+@query
+def visits_from_days_as_of(spark, sf_dir):
+    """A window that ends inside a day, after one that had counted all days before."""
+    web_visit, store = retail_source(spark, sf_dir).web_visit, _scratch(spark, "visits")
+    daily.visits_from_days(web_visit, store, as_of=VISIT_DAY)
+    return daily.visits_from_days(web_visit, store, as_of=VISIT_NOON)
+
+
 @query
 def orders_by_customer_day(spark, sf_dir):
     return _shown(facts.orders_by_customer_day(retail_source(spark, sf_dir).sales), "total")
@@ -543,6 +577,60 @@ def check_suite(spark, sf_dir):
     return checks.check_suite(_staged_mart(spark, sf_dir), lines=lines)
 
 
+@query
+def check_difference(spark, sf_dir):
+    """What a copy of the sales fact has lost, doubled and changed, found by comparing checksums."""
+    path, copy = _scratch(spark, "fct_sales"), _scratch(spark, "fct_sales")
+    append_fact(_fct_sales(spark, sf_dir), path, "fct_sales")
+    expected = read_fact(spark, path, "fct_sales")
+    kind = F.col("customer_key") % 97
+    changed = F.when(kind == 2, F.col("quantity") + 1).otherwise(F.col("quantity"))
+    copies = F.explode(F.when(kind == 1, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    planted = expected.filter(kind != 0).select("*", copies.alias("n")).drop("n").withColumn("quantity", changed)
+    append_fact(planted, copy, "fct_sales")
+    return differences.table_differences(
+        expected,
+        read_fact(spark, copy, "fct_sales"),
+        ["customer_key", "location_key", "product_key", "time_key"],
+        F.floor(F.col("time_key") / 100),
+        _scratch(spark, "checksums"),
+    )
+
+
+def _judged_places(spark, sf_dir) -> repairs.Repaired:
+    """A place for each customer: postal codes from keys, some without leading zeros, some no codes at all."""
+    people, nations = open_table(spark, sf_dir, "customer"), dim_location(spark, sf_dir)
+    key = F.col("c_custkey")
+    digits = (key * 7919 % 100000).cast("string")
+    places = people.join(nations, F.col("c_nationkey") == F.col("location_key"), "left").select(
+        key.alias("location_key"),
+        F.when(key % 50 != 9, F.col("country")).alias("country"),
+        "city",
+        "state",
+        F.when(key % 50 == 7, F.concat(digits, F.lit("x")))
+        .when(key % 50 == 8, F.lit(""))
+        .when(key % 50 != 10, F.concat(F.lit(" "), digits))
+        .alias("postal_code"),
+        "region",
+    )
+    return repairs.split(conform(places, MART_TABLES["dim_location"]), repairs.LOCATION_RULES, _scratch(spark, "places"))
+
+
+@query
+def dim_location_repaired(spark, sf_dir):
+    return _judged_places(spark, sf_dir).accepted
+
+
+@query
+def dim_location_rejected(spark, sf_dir):
+    """Rejected rows by the rules they fail, and the rows that each rule repaired."""
+    judged = _judged_places(spark, sf_dir)
+    rejected = judged.rejected.select(F.lit("failed").alias("outcome"), F.explode("failed_rules").alias("rule"))
+    counted = rejected.groupBy("outcome", "rule").agg(F.count(F.lit(1)).alias("rows"))
+    repaired = [("repaired", rule, rows) for rule, rows in judged.repaired.items()]
+    return counted.unionByName(spark.createDataFrame(repaired, "outcome string, rule string, rows long"))
+
+
 # --- reports ------------------------------------------------------------------------
 
 

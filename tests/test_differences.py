@@ -1,0 +1,122 @@
+"""Comparison by checksums against a plain comparison, and rules with repairs."""
+
+from __future__ import annotations
+
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from frames import mart, rows
+from martflow.operators import differences, repairs
+from martflow.operators.repairs import LOCATION_RULES, Rule, formatted, known
+
+TABLE = "k long, m int, v int, w string"
+KEY = ["k", "m"]
+
+
+def compared(spark, expected, found, folder, buckets=4):
+    left, right = (spark.createDataFrame(r, TABLE) for r in (expected, found))
+    return differences.table_differences(left, right, KEY, F.col("m"), str(folder), buckets)
+
+
+def plain(expected, found):
+    a, b = Counter(expected), Counter(found)
+    out = []
+    for key in {r[:2] for r in [*a, *b]}:
+        mine = {r for r in [*a, *b] if r[:2] == key}
+        less, more = [r for r in mine if a[r] > b[r]], [r for r in mine if b[r] > a[r]]
+        if less or more:
+            kind = "changed" if less and more else "lost" if less else "added" if any(not a[r] for r in more) else "doubled"
+            out.append((*key, kind, sum(a[r] for r in mine), sum(b[r] for r in mine)))
+    return sorted(out, key=repr)
+
+
+def as_plain(df):
+    return sorted((tuple(r) for r in df.select(*KEY, "difference", "expected_rows", "found_rows").collect()), key=repr)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_random_changes_are_named(spark, tmp_path, seed):
+    pick = random.Random(seed)
+    expected = [
+        (pick.choice([None, *range(12)]), pick.choice([None, 1, 2, 3]), pick.choice([None, 1, 2]), pick.choice([None, "a"]))
+        for _ in range(80)
+    ]
+    found = list(expected)
+    for _ in range(pick.randrange(1, 9)):
+        k = pick.randrange(len(found))
+        change = pick.choice(["lose", "double", "change", "add"])
+        if change == "lose":
+            found.pop(k)
+        elif change == "double":
+            found.append(found[k])
+        elif change == "change":
+            found[k] = (*found[k][:2], pick.choice([None, 1, 2, 9]), found[k][3])
+        else:
+            found.append((pick.randrange(20), pick.choice([None, 1, 7]), 5, "b"))
+    pick.shuffle(found)
+    assert as_plain(compared(spark, expected, found, tmp_path)) == plain(expected, found)
+
+
+def test_changed_columns_are_named(spark, tmp_path):
+    found = compared(spark, [(1, 1, 1, "a"), (2, 1, 1, "a"), (3, 1, 1, None)], [(1, 1, 2, "b"), (2, 1, 1, "a"), (3, 1, 1, "")], tmp_path)
+    assert rows(found, "k", "difference", "columns") == [(1, "changed", "v,w"), (3, "changed", "w")]
+
+
+def test_only_leaves_that_differ_are_looked_at(spark, tmp_path):
+    expected = [(k, k % 5, 1, "a") for k in range(500)]
+    found = [r if r[0] != 123 else (123, 3, 2, "a") for r in expected]
+    assert compared(spark, expected, found, tmp_path / "a").count() == 1
+    leaf = spark.read.parquet(f"{tmp_path}/a/unequal").collect()
+    assert [r._branch for r in leaf] == ["3"] and spark.read.parquet(f"{tmp_path}/a/expected").count() == 20
+    # Equal tables, empty ones, and an exchange of values between rows.
+    assert compared(spark, expected, expected[::-1], tmp_path / "b").count() == 0
+    assert compared(spark, [], [], tmp_path / "c").count() == 0
+    assert compared(spark, expected[:3], [], tmp_path / "d").count() == 3
+    swapped = compared(spark, [(1, 1, 1, "a"), (2, 1, 2, "b")], [(1, 1, 2, "b"), (2, 1, 1, "a")], tmp_path / "e")
+    assert rows(swapped, "k", "difference") == [(1, "changed"), (2, "changed")]
+    moved = compared(spark, [(1, 1, None, "1")], [(1, 1, 1, None)], tmp_path / "f")
+    assert rows(moved, "k", "columns") == [(1, "v,w")]
+
+
+# --- rules --------------------------------------------------------------------------
+
+
+def places(spark, *entries):
+    return mart(spark, "dim_location", [{"location_key": k, "country": c, "postal_code": p} for k, c, p in entries])
+
+
+def test_rows_are_repaired_or_set_aside(spark, tmp_path):
+    df = places(
+        spark, (1, "X", "501"), (2, "X", "00501"), (3, "X", None), (4, "X", "5o1"), (5, None, " 7 "), (6, " ", ""), (None, "X", "123456"),
+        (8, "X", " 12345"), (8, "X", " 12345"),
+    )
+    found = repairs.split(df, LOCATION_RULES, str(tmp_path))
+    assert rows(found.accepted, "location_key", "postal_code") == [
+        (1, "00501"), (2, "00501"), (3, None), (8, "12345"), (8, "12345"),
+    ]
+    assert found.accepted.columns == df.columns
+    assert rows(found.rejected, "location_key", "postal_code", "failed_rules") == [
+        (4, "5o1", ["postal_code format"]),
+        (5, "00007", ["country known"]),
+        (6, "", ["country format", "postal_code format"]),
+        (None, "123456", ["location_key known", "postal_code format"]),
+    ]
+    assert found.failed == {"location_key known": 1, "country known": 1, "country format": 1, "postal_code format": 3}
+    assert found.repaired == {"postal_code format": 4}
+
+
+def test_rules_follow_each_other(spark, tmp_path):
+    rules = [
+        Rule("trimmed", "country", lambda c: c == F.trim(c), F.trim),
+        formatted("country", "^[A-Z]+$", F.upper),
+        known("city"),
+    ]
+    df = places(spark, (1, " ab ", None), (2, "A1", None)).withColumn("city", F.lit("c"))
+    found = repairs.split(df, rules, str(tmp_path))
+    assert rows(found.accepted, "location_key", "country") == [(1, "AB")]
+    assert rows(found.rejected, "country", "failed_rules", "repaired_rules") == [("A1", ["country format"], [])]
+    assert repairs.split(df.limit(0), rules, str(tmp_path)).failed == {"trimmed": 0, "country format": 0, "city known": 0}
+    assert repairs.split(df, [], str(tmp_path)).accepted.count() == 2

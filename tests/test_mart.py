@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from frames import rows
 from martflow.operators import checks, versions
+from martflow.operators.repairs import LOCATION_RULES
 from martflow.operators.tables import read_dimension, read_fact
 from martflow.plans import dims, facts, mart
 from martflow.schemas import SOURCE_TABLES
@@ -108,16 +109,36 @@ def test_a_window_past_the_calendar_is_refused(spark, source, tmp_path):
     assert not (tmp_path / "mart").exists()
 
 
-def test_visits_are_counted_anew_unless_reuse_is_asked_for(spark, source, tmp_path):
-    staging, store = str(tmp_path / "staging"), str(tmp_path / "store")
+def test_visits_and_ratings_are_kept_if_asked_for(spark, source, tmp_path):
+    staging, visits, ratings = (str(tmp_path / name) for name in ("staging", "visits", "ratings"))
     without = StoredSource(**{**source.__dict__, "web_visit": source.web_visit.limit(0)})
-    rates = lambda run: rows(mart.staged_table(spark, staging, "fct_marketing", run))
-    first = rates(mart.build_mart(source, staging, visits_store=store).run)
-    assert rates(mart.build_mart(without, staging, visits_store=store).run) == first
-    assert rates(mart.build_mart(without, staging).run) != first
-    # Another window is not served from the store.
-    early = rates(mart.build_mart(source, staging, visits_store=store, visits_as_of=date(2000, 1, 1)).run)
-    assert early == rates(mart.build_mart(without, staging).run)
+    table = lambda report, name="fct_marketing": rows(mart.staged_table(spark, staging, name, report.run))
+    plain = mart.build_mart(source, staging, visits_as_of=date(2024, 1, 20))
+    kept = mart.build_mart(source, staging, visits_as_of=date(2024, 1, 20), visits_store=visits, ratings_store=ratings)
+    assert table(kept) == table(plain) and table(kept, "dim_product") == table(plain, "dim_product")
+    # The days are in the store now; without it the visits are gone.
+    again = mart.build_mart(without, staging, visits_as_of=date(2024, 1, 20), visits_store=visits, ratings_store=ratings)
+    assert table(again) == table(plain) and table(again, "dim_product") == table(plain, "dim_product")
+    assert table(mart.build_mart(without, staging)) != table(plain)
+    # A later run counts the days since, and a window that is replaced corrects the ratings.
+    later = mart.build_mart(
+        source, staging, since=date(2000, 6, 1), to_replace=True, visits_store=visits, ratings_store=ratings
+    )
+    whole = mart.build_mart(source, staging, since=date(2000, 6, 1), to_replace=True)
+    assert table(later) == table(whole) and table(later, "dim_product") == table(plain, "dim_product")
+
+
+def test_rules_set_rows_of_a_dimension_aside(spark, source, tmp_path):
+    staging = str(tmp_path)
+    codes = F.when(F.col("location_id") == 3, "x1").when(F.col("location_id") == 4, "123").otherwise("00001")
+    places = StoredSource(**{**source.__dict__, "locations": source.locations.withColumn("postal_code", codes)})
+    report = mart.build_mart(places, staging, rules={"dim_location": LOCATION_RULES})
+    assert report.failed_rules["dim_location"]["postal_code format"] == 1
+    assert report.repaired_rules["dim_location"] == {"postal_code format": 1}
+    staged = mart.staged_table(spark, staging, "dim_location")
+    assert rows(staged.filter("location_key in (3, 4)"), "location_key", "postal_code") == [(4, "00123")]
+    rejected = spark.read.parquet(f"{staging}/{report.run}/rejected/dim_location")
+    assert rows(rejected, "location_key", "failed_rules") == [(3, ["postal_code format"])]
 
 
 def test_a_calendar_to_the_last_order(spark, source, tmp_path):
