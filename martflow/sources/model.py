@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from dataclasses import dataclass
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 
 from martflow.schemas import SOURCE_TABLES, conform
-from martflow.sources.jdbc import key_range, read_table
+from martflow.sources.jdbc import key_range, read_evenly, read_table
 
 
 class RetailSource(Protocol):
@@ -66,17 +67,22 @@ def database_source(
     url: str,
     partitions: int = 64,
     bounds: dict[str, tuple] | None = None,
+    even: Collection[str] = (),
     **options: str,
 ) -> RetailSource:
     """The source tables from a relational database, each read by ``partitions`` tasks.
 
     ``bounds`` gives the range of the split column per table; the database is
     asked for the ones left out. Values outside the range are read too, by the
-    first and last task.
+    first and last task. The tables in ``even`` are split by quantiles instead:
+    for keys with large gaps, or visits that come in waves.
     """
     frames = {}
     for name in SOURCE_TABLES:
         column = SPLIT_COLUMNS[name]
+        if name in even:
+            frames[name] = read_evenly(spark, url, name, column, partitions, **options)
+            continue
         span = (bounds or {}).get(name) or key_range(spark, url, name, column, **options)
         split = {"split_column": column, "bounds": span, "partitions": partitions} if span else {}
         frames[name] = read_table(spark, url, name, **split, **options)

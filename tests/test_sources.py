@@ -116,3 +116,54 @@ def test_prepare_keeps_a_session_that_is_large_enough(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     prepare(spark, "/root/testdata/sf0.001/orders.parquet", "/no/such/folder")
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+# --- even splits ------------------------------------------------------------------
+
+
+def test_bounds_are_written_as_any_database_reads_them():
+    from datetime import date, datetime
+    from decimal import Decimal
+
+    assert [jdbc.literal(v) for v in (5, Decimal("1.50"), date(2024, 1, 2), "o'x")] == ["5", "1.50", "DATE '2024-01-02'", "'o''x'"]
+    assert jdbc.literal(datetime(2024, 1, 2, 3, 4, 5)) == "TIMESTAMP '2024-01-02 03:04:05'"
+    for value in (None, True):
+        with pytest.raises(TypeError):
+            jdbc.literal(value)
+
+
+@pytest.mark.parametrize("column, kind", [("id", "bigint"), ("t", "timestamp_ntz")])
+def test_every_row_is_in_one_even_part(spark, column, kind):
+    """The database's part is played by Spark's own SQL on a temporary view."""
+    keys = spark.range(1000).selectExpr("if(id < 500, id, if(id < 700, 500, id * id * 1000)) as id")
+    table = keys.selectExpr("id", "cast(timestamp_seconds(id) as timestamp_ntz) as t").union(
+        spark.sql("select cast(null as bigint), cast(null as timestamp_ntz)")
+    )
+    table.createOrReplaceTempView("uneven")
+    tiles = f"select {column} as v, ntile(8) over (order by {column}) as part from uneven where {column} is not null"
+    bounds = [r[0] for r in spark.sql(f"select min(v) from ({tiles}) group by part").collect()]
+    predicates = jdbc.range_predicates(column, bounds)
+    sizes = [table.filter(p).count() for p in predicates]
+    assert sum(sizes) == 1001
+    # Only the frequent value makes a part larger than an eighth.
+    assert sorted(sizes)[-1] <= 125 + 200 + 1 and sorted(sizes)[-2] <= 127
+    assert jdbc.range_predicates(column, bounds[:1]) == jdbc.range_predicates(column, []) == ["1 = 1"]
+
+
+def test_tables_may_be_split_by_quantiles(spark, monkeypatch):
+    asked, read = [], []
+    monkeypatch.setattr(
+        jdbc, "read_query", lambda spark, url, sql, **o: asked.append(sql) or spark.createDataFrame([(k,) for k in (7, 1, 4, 4)], "b long")
+    )
+
+    class Jdbc:
+        def jdbc(self, url, table, predicates, properties):
+            read.append((url, table, predicates, properties))
+            return "rows"
+
+    session = type("Session", (), {"read": Jdbc(), "createDataFrame": spark.createDataFrame})()
+    assert jdbc.read_evenly(session, "jdbc:x", "sales", "sales_id", 4, user="me") == "rows"
+    assert "ntile(4) OVER (ORDER BY sales_id)" in asked[0]
+    ((url, table, predicates, properties),) = read
+    assert (url, table, properties["user"], properties["fetchsize"]) == ("jdbc:x", "sales", "me", "10000")
+    assert predicates == ["sales_id < 4 OR sales_id IS NULL", "sales_id >= 4 AND sales_id < 7", "sales_id >= 7"]
