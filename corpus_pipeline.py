@@ -17,6 +17,9 @@ from martflow.llm.queries import PACKING_VOCABULARY, vocabulary
 from martflow.llm.repeats import remove_repeats
 from martflow.llm.rules import apply_rules
 
+#: Bytes of a string that must not repeat in the corpus: less than fifty words of prose take.
+REPEATED_BYTES = 200
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go; lines that are frequent in their source go from the others."""
@@ -30,7 +33,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated strings are cut out; documents of which nothing is left go."""
-    return remove_repeats(docs)
+    return remove_repeats(docs, length=REPEATED_BYTES)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
