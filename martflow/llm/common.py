@@ -67,6 +67,29 @@ def with_rows(docs: DataFrame, name: str) -> DataFrame:
     return stored(docs.withColumn("row", F.monotonically_increasing_id()), name)
 
 
+#: Row numbers that are sent to all tasks: 8 MiB of them.
+BROADCAST_ROWS = 1 << 20
+
+
+def _sent(ids: DataFrame) -> DataFrame | None:
+    return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else None
+
+
+def only_rows(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """``rows`` without those that the stored table ``ids`` (row) lacks, before a join that shuffles them.
+
+    Few enough numbers are broadcast; more leave the choice to the join.
+    """
+    sent = _sent(ids)
+    return rows if sent is None else rows.join(sent, "row", "left_semi")
+
+
+def without_rows(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """``rows`` without those in the stored table ``ids`` (row); only many numbers shuffle them."""
+    sent = _sent(ids)
+    return rows.join(ids.hint("shuffle_hash") if sent is None else sent, "row", "left_anti")
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

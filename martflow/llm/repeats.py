@@ -23,7 +23,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martflow.llm.common import batches_of_bytes, packed, shuffle_partitions, stored, text_bytes, unpacked, with_rows
+from martflow.llm.common import (
+    batches_of_bytes,
+    only_rows,
+    packed,
+    shuffle_partitions,
+    stored,
+    text_bytes,
+    unpacked,
+    with_rows,
+    without_rows,
+)
 from martflow.llm.suffix_arrays import common_prefixes, suffix_array
 from martflow.llm.words import mixed, powers, ragged, text_buffers
 
@@ -353,9 +363,10 @@ def _repeats(texts: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BY
         )
     )
     buckets = shuffle_partitions(spark)
+    windows = stored(windows, "windows")
     found = stored(
-        texts.select("row", "text")
-        .join(stored(windows, "windows").withColumnRenamed("row", "_row").hint("shuffle_hash"), F.col("row") == F.col("_row"))
+        only_rows(texts.select("row", "text"), windows.select("row"))
+        .join(windows.withColumnRenamed("row", "_row").hint("shuffle_hash"), F.col("row") == F.col("_row"))
         .select("row", "shard", "windows", "text")
         .groupBy("shard")
         .applyInArrow(_shard(length, buckets), FOUND),
@@ -394,7 +405,8 @@ def remove_repeats(docs: DataFrame, **settings) -> DataFrame:
     """``docs`` with repeated strings cut out of the texts; rows of which nothing is left go."""
     rows = with_rows(packed(docs, "text"), "texts")
     found = _repeats(rows.select("row", F.col("_kept.doc_id").cast("long").alias("doc_id"), "text"), **settings)
-    changed = found.filter("n_removed > 0").select(F.col("row").alias("_row"), "kept_text")
-    joined = rows.join(stored(changed, "kept-texts").hint("shuffle_hash"), F.col("row") == F.col("_row"), "left")
-    left = joined.select(F.coalesce("kept_text", "text").alias("text"), "_kept", F.col("_row").isNotNull().alias("cut"))
-    return unpacked(left.filter("not cut or trim(text) != ''"), docs.columns, "text")
+    changed = stored(found.filter("n_removed > 0").select("row", "kept_text"), "kept-texts")
+    ids = changed.select("row")
+    cut = only_rows(rows, ids).drop("text").join(changed.hint("shuffle_hash"), "row").filter("trim(kept_text) != ''")
+    left = without_rows(rows, ids).select("text", "_kept").union(cut.select("kept_text", "_kept"))
+    return unpacked(left, docs.columns, "text")

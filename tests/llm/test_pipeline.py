@@ -33,7 +33,7 @@ def test_stages(spark, sf_dir, wanted):  # noqa: F811
     by_class = classes(outputs[0])
     assert sorted(r.doc_id for r in outputs[1]) == sorted({c for _, c, _ in by_class})
 
-    left = {doc_id: (size, gone) for doc_id, size, gone, _, _ in repeats(outputs[1], 400)}
+    left = {doc_id: (size, gone) for doc_id, size, gone, _, _ in repeats(outputs[1], corpus_pipeline.REPEATED_BYTES)}
     before = {r.doc_id: r.text for r in outputs[1]}
     for r in outputs[2]:
         size, gone = left.pop(r.doc_id)
