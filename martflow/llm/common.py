@@ -99,12 +99,16 @@ def numbered(rows: DataFrame, keys: Sequence[str], order: Sequence[str], name: s
 
     No group meets in one task: its rows are dealt to blocks by their content
     and place, numbered in each block, and moved up by the rows of the blocks
-    before. ``keys`` must not be null.
+    before. ``keys`` must not be null. The blocks are stored once and read twice:
+    places that were made anew by each read could differ between the two.
     """
     keys, order = list(keys), list(order)
     blocks = max(16, shuffle_partitions(rows.sparkSession))
-    dealt = rows.withColumn("_row", F.monotonically_increasing_id()).withColumn(
-        "_block", F.pmod(F.xxhash64(*order, "_row"), F.lit(blocks))
+    dealt = stored(
+        rows.withColumn("_row", F.monotonically_increasing_id()).withColumn(
+            "_block", F.pmod(F.xxhash64(*order, "_row"), F.lit(blocks))
+        ),
+        "blocks",
     )
     within = dealt.withColumn(
         "_place", F.row_number().over(Window.partitionBy(*keys, "_block").orderBy(*order, "_row")) - 1

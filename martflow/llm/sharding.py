@@ -18,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martflow.llm.common import numbered, stored, text_bytes
+from martflow.llm.common import numbered, text_bytes
 
 #: region -> rack -> shard -> weight
 Tree = dict[str, dict[str, dict[int, float]]]
@@ -106,5 +106,5 @@ def shard_documents(docs: DataFrame, tree: Tree, grown: Tree | None = None) -> D
         placed = placed.withColumn("grown_shard", F.lit(None).cast("int"))
     else:
         placed = descend(placed, grown, prefix="grown_").drop("grown_region", "grown_rack")
-    slots = numbered(stored(placed, "shards"), ["shard"], ["doc_id", "text_crc32"], "slot")
+    slots = numbered(placed, ["shard"], ["doc_id", "text_crc32"], "slot")
     return slots.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "region", "rack")
