@@ -32,8 +32,11 @@ def create(spark: SparkSession, path: str, text: str) -> bool:
     merge or overwrite, and looking first, let two writers win.
     """
     fs, handle = _open(spark, path)
-    scheme = fs.getUri().getScheme()
     fs.mkdirs(handle.getParent())
+    scheme = fs.getUri().getScheme()
+    if scheme == "viewfs":
+        # A view decides nothing itself.
+        return create(spark, f"{fs.resolvePath(handle.getParent()).toString()}/{handle.getName()}", text)
     if scheme == "file":
         return _link(spark, fs, handle, text)
     builder = fs.createFile(handle).overwrite(False)
