@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import base64
 from collections import Counter
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import functions as F
 from samples import awkward_texts, documents, rows_of
@@ -14,6 +16,20 @@ from martflow.llm.token_counts import TokenLedger
 TOTALS = ["source", "lang", "tokenizer", "n_docs", "n_bytes", "n_tokens"]
 
 
+class Tokenizers:
+    """Ids of a text by tiktoken itself, with a vocabulary in rank form."""
+
+    def __init__(self, name):
+        import tiktoken
+
+        ranks, pattern = vocabulary(name)
+        table = {base64.b64decode(a): int(b) for a, b in (line.split() for line in ranks.splitlines() if line)}
+        self.encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=table, special_tokens={})
+
+    def __call__(self, text):
+        return self.encoding.encode_ordinary(text or "")
+
+
 def plain(rows, wanted, tokenizer):  # noqa: F811
     docs, size, tokens = Counter(), Counter(), Counter()
     for r in rows:
@@ -27,6 +43,8 @@ def test_table(spark, sf_dir, wanted):  # noqa: F811
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
     got = op6_token_counts(spark, sf_dir)
     assert rows_of(got.filter("tokenizer = 'byte_bpe_50k'"), *TOTALS) == plain(docs, wanted, "byte_bpe_50k")
+    second = Tokenizers(COUNTED_VOCABULARIES[1])
+    assert rows_of(got.filter("tokenizer != 'byte_bpe_50k'"), *TOTALS) == plain(docs, second, "byte_bpe_multi_50k")
     assert got.select("tokenizer").distinct().count() == 2
 
 
@@ -65,3 +83,47 @@ def test_empty_and_wrong_changes(spark, tmp_path):
     with pytest.raises(Exception, match="can't be applied"):
         ledger.commit("wrong", documents(spark, ["a", "b"]).withColumn("op", F.lit("upsert")))
     assert ledger.batches() == ["empty"]
+
+
+def ledger_of(spark, tmp_path):
+    ranks, pattern = vocabulary(COUNTED_VOCABULARIES[0])
+    return TokenLedger(spark, f"file://{tmp_path}/ledger", {"v1": ranks}, pattern)
+
+
+def test_racing_batches_that_revise_one_document(spark, tmp_path):
+    ledger = ledger_of(spark, tmp_path)
+    docs = documents(spark, [f"text number {k}" for k in range(30)]).filter("doc_id is not null").dropDuplicates(["doc_id"])
+    ledger.commit("load", docs.withColumn("op", F.lit("insert")))
+    before = ledger.totals().agg(F.sum("n_docs")).first()[0]
+
+    def revise(k):
+        changes = docs.withColumns({"op": F.lit("revise"), "text": F.lit(f"{'more ' * k}words"), "lang": F.lit(f"l{k}")})
+        return ledger.commit(f"revise {k}", changes)
+
+    with ThreadPoolExecutor(3) as pool:
+        assert all(pool.map(revise, range(3)))
+    last = int(ledger.batches()[-1].split()[1])
+    # The last batch's texts and languages, each once.
+    assert {r.lang for r in ledger.totals().collect()} == {f"l{last}"}
+    assert ledger.totals().agg(F.sum("n_docs"), F.sum("n_tokens")).first()[:] == (before, before * (last + 1))
+
+
+def test_racing_deliveries_of_one_batch_count_once(spark, tmp_path):
+    ledger = ledger_of(spark, tmp_path)
+    docs = documents(spark, ["one two", "three"]).withColumn("op", F.lit("insert"))
+    with ThreadPoolExecutor(3) as pool:
+        assert sorted(pool.map(lambda _: ledger.commit("load", docs), range(3))) == [False, False, True]
+    assert ledger.totals().agg(F.sum("n_docs")).first()[0] == 2
+
+
+def test_compaction_changes_nothing_but_the_folders(spark, tmp_path):
+    ledger = ledger_of(spark, tmp_path)
+    docs = documents(spark, awkward_texts())
+    ledger.commit("a", docs.withColumn("op", F.lit("insert")))
+    ledger.commit("b", docs.filter("doc_id > 5").withColumn("op", F.lit("delete")))
+    before, held = rows_of(ledger.totals(), *TOTALS), rows_of(ledger.documents(), "doc_id", *TOTALS)
+    ledger.compact()
+    assert rows_of(ledger.totals(), *TOTALS) == before and rows_of(ledger.documents(), "doc_id", *TOTALS) == held
+    assert ledger.batches() == ["a", "b"] and not ledger.commit("b", docs.withColumn("op", F.lit("delete")))
+    ledger.commit("c", docs.filter("doc_id <= 5").withColumn("op", F.lit("delete")))
+    assert ledger.documents().filter("doc_id is not null").count() == 0
