@@ -246,6 +246,9 @@ QUERIES: dict[str, Query] = {
     )
 }
 
+#: The large tables of queries that read others than documents.
+INPUTS: dict[str, tuple[str, ...]] = {"op5_url_rules": ("pages",), "op13_four_russians": ("embeddings",)}
+
 ORACLE: dict[str, str] = {
     "op5_url_rules": OP5_SQL,
     "op11_lsh_forest": OP11_SQL,
