@@ -35,6 +35,7 @@ def prepare(
     shuffled_bytes: int | None = None,
     partition_bytes: int = 128 * MIB,
     most_partitions: int | None = None,
+    adaptive: bool = True,
 ) -> SparkSession:
     """Fit a running session to what its next plans shuffle; returns it.
 
@@ -42,7 +43,7 @@ def prepare(
     those that turn out small, but it cannot make more of them. What is shuffled
     is the stored size of ``inputs``, or ``shuffled_bytes`` where there are no
     files to measure, as for a catalogue or a database. The setting is only
-    raised.
+    raised. Without ``adaptive`` nothing but this setting is touched.
 
     There is no bound unless ``most_partitions`` gives one. Without it 100 TiB
     make 819,200 partitions; the driver holds about a byte per scan task and
@@ -50,7 +51,7 @@ def prepare(
     in a scan task (``spark.sql.files.maxPartitionBytes``) or give a bound and
     larger executors. A bound of 20,000 costs 5 GiB a partition at 100 TiB.
     """
-    for name, value in ADAPTIVE.items():
+    for name, value in ADAPTIVE.items() if adaptive else ():
         spark.conf.set(name, value)
     size = sum(files.size(spark, path) for path in inputs) if shuffled_bytes is None else shuffled_bytes
     present = int(spark.conf.get("spark.sql.shuffle.partitions"))

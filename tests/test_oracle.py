@@ -93,3 +93,10 @@ def compare(spark, duck, name):
     assert len(actual) == len(expected)
     for got, want in zip(actual, expected):
         assert got == want, name
+
+
+def test_sessions_are_fitted_to_the_tables_a_query_reads():
+    from __spark_entry__ import _tables
+
+    assert _tables(oracle.oracle_sql()["visits"]) == ("events",)
+    assert _tables(oracle.oracle_sql()["fct_sales"]) == ("customer", "orders", "lineitem")
