@@ -186,7 +186,12 @@ def find_leaks(
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "documents") -> DataFrame:
-    """``docs`` without contaminated documents, or (``remove="spans"``) with the hit spans cut out."""
+    """``docs`` without contaminated documents, or (``remove="spans"``) with the hit spans cut out.
+
+    All columns are kept, whatever their names. A null text holds no window and
+    stays; of repeated rows all stay or all go. Without documents or items
+    nothing is removed.
+    """
     if remove not in ("documents", "spans"):
         raise ValueError(f"remove documents or spans, not {remove}")
     rows = packed(docs, "doc_id", "text")

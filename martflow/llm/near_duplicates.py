@@ -293,7 +293,12 @@ def _classes(
 
 
 def one_of_each(docs: DataFrame, **settings) -> DataFrame:
-    """``docs`` with one row of each class of near duplicates: the smallest doc_id's."""
+    """``docs`` with one row of each class of near duplicates: the smallest doc_id's first one.
+
+    All columns are kept, whatever their names. Texts without words, null
+    included, are each a class of their own, so all of them stay; of repeated
+    rows with words one stays. A null id comes last. An empty table stays empty.
+    """
     rows = with_rows(packed(docs, "text"), "texts")
     found = _classes(rows.select("row", F.col("_kept.doc_id").cast("long").alias("doc_id"), "text"), **settings)
     kept = found.groupBy("class_row").agg(

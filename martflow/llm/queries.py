@@ -122,6 +122,38 @@ def op13_four_russians(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mine_hard_negatives(vectors, F.col("vec_id") % 50 == 0)
 
 
+OP3_SQL = r"""
+WITH items AS (
+  SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM benchmark WHERE text IS NOT NULL
+), sized AS (
+  SELECT *, least(10, len(words)) AS n FROM items WHERE len(words) > 0
+), item_windows AS (
+  SELECT DISTINCT item_id, n, array_to_string(words[i:i + n - 1], ' ') AS w
+  FROM (SELECT *, unnest(range(1, len(words) - n + 2)) AS i FROM sized)
+), texts AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), doc_windows AS (
+  SELECT doc_id, n, i, array_to_string(words[i:i + n - 1], ' ') AS w
+  FROM (SELECT doc_id, words, n, unnest(range(1, len(words) - n + 2)) AS i
+        FROM texts, (SELECT DISTINCT n FROM sized) WHERE len(words) >= n)
+), hits AS (
+  SELECT d.doc_id, d.i, d.n, t.item_id FROM doc_windows d JOIN item_windows t ON d.n = t.n AND d.w = t.w
+), hit_words AS (
+  SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM hits) GROUP BY doc_id
+), hit_items AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items, array_to_string(list_sort(list(DISTINCT item_id)), ',') AS ids
+  FROM hits GROUP BY doc_id
+)
+SELECT t.doc_id, len(t.words)::BIGINT AS n_words, coalesce(w.n_hit, 0)::BIGINT AS n_hit,
+       coalesce(i.n_items, 0)::BIGINT AS n_items, sha256(coalesce(i.ids, '')) AS items_sha256,
+       coalesce(w.n_hit, 0) > 0 AS contaminated
+FROM texts t LEFT JOIN hit_words w ON t.doc_id = w.doc_id LEFT JOIN hit_items i ON t.doc_id = i.doc_id
+"""
+
 OP5_SQL = r"""
 WITH parts AS (
   SELECT page_id, row_number() OVER () AS row,
@@ -250,6 +282,7 @@ QUERIES: dict[str, Query] = {
 INPUTS: dict[str, tuple[str, ...]] = {"op5_url_rules": ("pages",), "op13_four_russians": ("embeddings",)}
 
 ORACLE: dict[str, str] = {
+    "op3_decontaminate": OP3_SQL,
     "op5_url_rules": OP5_SQL,
     "op11_lsh_forest": OP11_SQL,
     "op12_skip_list": OP12_SQL,

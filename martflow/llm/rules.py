@@ -259,7 +259,12 @@ def _without_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def apply_rules(docs: DataFrame, **settings) -> DataFrame:
-    """The kept rows of ``docs`` with frequent lines taken out of their texts; columns as they were."""
+    """The kept rows of ``docs`` with frequent lines taken out of their texts; columns as they were.
+
+    Null, empty and very short texts fail the base rules and go. Repeated rows
+    are judged alike and all stay or go; a null host is a host. Other columns
+    are kept, whatever their names. An empty table stays empty.
+    """
     host = settings.get("host", "source")
     verdicts = stored(
         quality_rules(docs, **settings)

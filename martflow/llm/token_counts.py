@@ -79,7 +79,11 @@ class TokenLedger:
         return {"entries": part, "deltas": part}
 
     def count(self, docs: DataFrame) -> DataFrame:
-        """Entries of documents: a row per document and tokenizer."""
+        """Entries of documents: a row per document and tokenizer.
+
+        A null text has no bytes and no tokens. Rows are counted as they come,
+        null ids and repeated rows too; other columns are ignored.
+        """
         rows = docs.select(
             F.col("doc_id").cast("long"),
             F.col("source").cast("string"),
