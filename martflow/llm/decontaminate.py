@@ -1,17 +1,18 @@
 """Benchmark decontamination by a broadcast set of word windows.
 
 The windows of the test items are ten consecutive words each, or the whole item
-if it is shorter. Their words are numbered, their hashes sorted, and the index
-is broadcast; items are taken in blocks of at most ``BLOCK_BYTES`` of text, and
-each block is a scan of its own, so what is broadcast has a bound however large
-the benchmarks are. A scan looks up every window of every document and verifies
-each hit word by word.
+if it is shorter. Their words are numbered, their hashes sorted, and the index,
+a few arrays, is broadcast; distinct items are taken in blocks of at most
+``BLOCK_BYTES`` of text, and each block is a scan of its own that stores nothing
+but its hits, so what is broadcast has a bound however large the benchmarks are.
+A scan looks up every window of every document and verifies each hit word by
+word.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -19,40 +20,47 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martflow.llm.common import LOWER_A_Z, batches_of_bytes, packed, stored, unpacked
+from martflow.llm.common import batches_of_bytes, packed, stored, unpacked, with_rows
 from martflow.llm.words import ALPHANUMERIC, Words, mixed, powers
 
 WINDOW = 10
-BLOCK_BYTES = 32 << 20
+#: The driver may take so much to index a block of items, which takes up to so many times the items' text
+#: (measured with words of three letters); what is broadcast is a quarter of it.
+INDEX_BYTES, INDEX_TIMES = 256 << 20, 32
+BLOCK_BYTES = INDEX_BYTES // INDEX_TIMES
 BATCH_BYTES = 8 << 20
-WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 BASE = 0xD1B54A32D192ED03
 
 
 class WindowIndex:
-    """Sorted hashes of the windows of some items, by length, with their words and items."""
-
-    def __init__(self, items: list[tuple[str | None, str | None]], window: int = WINDOW):
-        number: dict[bytes, int] = {}
-        found: dict[int, dict[tuple[int, ...], set[str]]] = {}
-        for item, text in items:
-            words = [
-                number.setdefault(w, len(number))
-                for w in WORD.findall((text or "").encode().translate(LOWER_A_Z))
-            ]
-            n = min(window, len(words))
-            for i in range(len(words) - n + 1 if n else 0):
-                holders = found.setdefault(n, {}).setdefault(tuple(words[i : i + n]), set())
-                if item is not None:
-                    holders.add(item)
-        self.vocabulary = pa.array(list(number), type=pa.large_binary())
+    """Sorted hashes of the distinct windows of some items, by length, with their words and items, all in arrays."""
+
+    def __init__(self, items: pa.Table, window: int = WINDOW):
+        """``items``: item_id (a name or null) and text."""
+        words = Words(items.column("text"), ALPHANUMERIC)
+        self.vocabulary, self.names = words.vocabulary, items.column("item_id").combine_chunks()
+        self.ids = words.ids.astype(np.int32) if len(words) else np.zeros(0, dtype=np.int32)
+        lengths = np.minimum(words.counts, window)
+        self.bounds = words.bounds.astype(np.int32)
         self.by_length = []
-        for n, windows in sorted(found.items()):
-            ids = np.array(list(windows), dtype=np.int64).reshape(-1, n)
-            hashes = self.hashes(ids.T)
-            order = np.argsort(hashes)
-            holders = [sorted(windows[tuple(w)]) for w in ids[order].tolist()]
-            self.by_length.append((n, hashes[order], ids[order], holders))
+        for n in np.unique(lengths[lengths > 0]).tolist():
+            own = np.flatnonzero(lengths == n)
+            windows = words.counts[own] - n + 1
+            first = np.arange(windows.sum()) + np.repeat(words.bounds[own] - (np.cumsum(windows) - windows), windows)
+            hashes = self.hashes([self.ids[first + k] for k in range(n)])
+            order = np.argsort(hashes, kind="stable")
+            hashes, first = hashes[order], first[order].astype(np.int32)
+            del order
+            same = hashes[1:] == hashes[:-1]
+            for k in range(n):
+                same &= self.ids[first[1:] + k] == self.ids[first[:-1] + k]
+            start = np.flatnonzero(np.concatenate([[True], ~same]))
+            self.by_length.append((n, hashes[start], first, np.append(start, len(first)).astype(np.int32)))
+
+    def holders(self, places: np.ndarray) -> list[str]:
+        """Names of the items that windows start in."""
+        item = np.searchsorted(self.bounds, places, side="right") - 1
+        return [name for name in self.names.take(pa.array(item)).to_pylist() if name is not None]
 
     @staticmethod
     def hashes(columns) -> np.ndarray:
@@ -61,13 +69,13 @@ class WindowIndex:
             total = total + power * (column.astype(np.uint64) + np.uint64(1))
         return mixed(np.atleast_1d(total))
 
-    def matches(self, words: Words) -> Iterator[tuple[np.ndarray, int, np.ndarray, list[list[str]]]]:
-        """(first words, length, window numbers, items by window number) of all verified hits."""
+    def matches(self, words: Words) -> Iterator[tuple[np.ndarray, int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(first words, length, window numbers, places in items and their bounds by window number) of all verified hits."""
         known = pc.index_in(words.vocabulary, value_set=self.vocabulary)
         known = pc.fill_null(known, -1).to_numpy(zero_copy_only=False).astype(np.int64)
         ids = known[words.ids] if len(words) else np.zeros(0, dtype=np.int64)
         gaps = np.concatenate([[0], np.cumsum(ids < 0)])
-        for n, hashes, windows, holders in self.by_length:
+        for n, hashes, places, bounds in self.by_length:
             if len(ids) < n:
                 continue
             first = np.flatnonzero(gaps[n:] == gaps[: len(ids) - n + 1])
@@ -79,8 +87,8 @@ class WindowIndex:
                 first, low, high = (x[low < high] for x in (first, low, high))
                 same = np.ones(len(first), dtype=bool)
                 for k in range(n):
-                    same &= windows[low, k] == ids[first + k]
-                yield first[same], n, low[same], holders
+                    same &= self.ids[places[bounds[low]] + k] == ids[first + k]
+                yield first[same], n, low[same], places, bounds
                 low = low + 1
 
 
@@ -95,11 +103,11 @@ def _scanner(index, clean: bool):
             np.add.at(edge, flat[0::2], 1)
             np.add.at(edge, flat[1::2], -1)
             items = [set(x) for x in batch.column("_items").to_pylist()]
-            for first, n, window, holders in index.value.matches(words):
+            for first, n, window, places, bounds in index.value.matches(words):
                 np.add.at(edge, first, 1)
                 np.add.at(edge, first + n, -1)
                 for text, w in set(zip(words.texts[first].tolist(), window.tolist(), strict=True)):
-                    items[text].update(holders[w])
+                    items[text].update(index.value.holders(places[bounds[w] : bounds[w + 1]]))
             hit = np.zeros(len(words) + 2, dtype=bool)
             hit[1:-1] = np.cumsum(edge[:-1]) > 0
             # Runs of hit words; a text's last word ends its run.
@@ -153,23 +161,39 @@ def find_leaks(
     """
     spark = docs.sparkSession
     keep = tuple(c for c in keep if c != "doc_id")
-    items = benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("string")).filter("text is not null")
+    items = (
+        benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("string")).filter("text is not null").distinct()
+    )
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
     held = dict.fromkeys(("doc_id", "text", *keep))
-    rows = docs.select(
-        *held,
+
+    def scanned(rows: DataFrame, block: int) -> DataFrame:
+        # At most about block_bytes of text reach the driver at a time.
+        own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).toArrow()
+        index = spark.sparkContext.broadcast(WindowIndex(own, window))
+        return rows.mapInArrow(_scanner(index, clean and block == blocks - 1), rows.schema)
+
+    nothing = [
         F.lit(0).cast("long").alias("_n_words"),
         F.array().cast("array<int>").alias("_spans"),
         F.array().cast("array<string>").alias("_items"),
-    )
-    for block in range(blocks):
-        # At most about block_bytes of text reach the driver at a time.
-        own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
-        index = spark.sparkContext.broadcast(WindowIndex([tuple(x) for x in own], window))
-        rows = rows.mapInArrow(_scanner(index, clean and block == blocks - 1), rows.schema)
-        if block < blocks - 1:
-            rows = stored(rows, "leaks")
+    ]
+    if blocks == 1:
+        rows = scanned(docs.select(*held, *nothing), 0)
+    else:
+        # Texts are stored once; of each block but the last only the hits are.
+        texts = with_rows(docs.select(*held), "texts")
+        hits = [
+            stored(scanned(texts.select("row", "text", *nothing), k).filter("size(_spans) > 0").drop("text"), "hits")
+            for k in range(blocks - 1)
+        ]
+        merged = reduce(DataFrame.unionByName, hits).groupBy("row").agg(
+            F.flatten(F.collect_list("_spans")).alias("spans"), F.array_distinct(F.flatten(F.collect_list("_items"))).alias("items")
+        )
+        found = texts.join(stored(merged, "hits").withColumnRenamed("row", "_row"), F.col("row") == F.col("_row"), "left")
+        carried = [F.coalesce("spans", nothing[1]).alias("_spans"), F.coalesce("items", nothing[2]).alias("_items")]
+        rows = scanned(found.select(*held, nothing[0], *carried), blocks - 1)
     n_hit = F.expr("aggregate(sequence(0, size(_spans) div 2 - 1), 0L, (s, i) -> s + _spans[2 * i + 1] - _spans[2 * i])")
     n_hit = F.when(F.size("_spans") > 0, n_hit).otherwise(F.lit(0).cast("long"))
     return rows.select(

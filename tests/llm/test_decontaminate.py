@@ -83,3 +83,24 @@ def test_empty_tables(spark):
     full = documents(spark, awkward_texts())
     assert find_leaks(full, none).filter("contaminated or n_items > 0").count() == 0
     assert decontaminate(full, none).count() == full.count()
+
+
+def test_index_is_small(monkeypatch):
+    import pickle
+    import random
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from martflow.llm.decontaminate import INDEX_TIMES, WindowIndex
+
+    pick = random.Random(1)
+    texts = [" ".join(f"w{int(pick.paretovariate(0.7)) % 50_000}" for _ in range(100)) for _ in range(8000)]
+    items = pa.table({"item_id": [str(k) for k in range(len(texts))], "text": texts})
+    size = sum(map(len, texts))
+    tracemalloc.start()
+    index = WindowIndex(items)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    print(f"{size} bytes of text, peak {peak / size:.1f} times, sent {len(pickle.dumps(index)) / size:.1f} times")
+    assert len(pickle.dumps(index)) < INDEX_TIMES / 4 * size and peak < INDEX_TIMES * size
