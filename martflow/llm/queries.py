@@ -183,18 +183,21 @@ WITH RECURSIVE texts AS (
          regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                             '[^\x20\x09-\x0D]+') AS words
   FROM documents
-), sets AS (
-  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(words) - 1), lambda i: array_to_string(words[i:i + 2], ' '))) END AS own
-  FROM texts
+), placed AS (
+  SELECT doc_id, len(words) AS n, unnest(words) AS word, unnest(range(len(words))) AS i FROM texts
+), runs AS (
+  SELECT doc_id, n, i, word, lead(word, 1) OVER w AS second, lead(word, 2) OVER w AS third
+  FROM placed WINDOW w AS (PARTITION BY doc_id ORDER BY i)
 ), shingles AS (
-  SELECT doc_id, unnest(own) AS shingle FROM sets
+  SELECT DISTINCT doc_id, concat_ws(' ', word, second, third) AS shingle FROM runs WHERE third IS NOT NULL OR (n < 3 AND i = 0)
+), sets AS (
+  SELECT t.doc_id, count(s.shingle) AS size FROM texts t LEFT JOIN shingles s ON t.doc_id = s.doc_id GROUP BY t.doc_id
 ), links AS (
   SELECT p.a, p.b
   FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
         FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY 1, 2) p
   JOIN sets s ON s.doc_id = p.a JOIN sets t ON t.doc_id = p.b
-  WHERE 100 * shared >= 85 * (len(s.own) + len(t.own) - shared)
+  WHERE 100 * shared >= 85 * (s.size + t.size - shared)
 ), reach(a, b) AS (
   SELECT doc_id, doc_id FROM sets
   UNION
@@ -202,7 +205,7 @@ WITH RECURSIVE texts AS (
 ), found AS (
   SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a
 )
-SELECT s.doc_id, len(s.own)::BIGINT AS n_shingles, f.component_id, s.doc_id = f.component_id AS kept
+SELECT s.doc_id, s.size AS n_shingles, f.component_id, s.doc_id = f.component_id AS kept
 FROM sets s JOIN found f ON s.doc_id = f.doc_id
 """
 
