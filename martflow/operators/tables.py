@@ -277,6 +277,34 @@ def replace_window(df: DataFrame, path: str, name: str, since: date) -> None:
     versions.publish(spark, store, change)
 
 
+def compact_fact(spark: SparkSession, path: str, name: str, most: int = 1) -> list[str]:
+    """Write each month that lies in more than ``most`` folders into one; returns these months' folder names.
+
+    Every append leaves a folder of its own in each of its months. Rows stay as
+    they are; other months are not read. Appends that come meanwhile stay beside
+    the new folder; a replacement that comes meanwhile fails this.
+    """
+    store, own = versions.home(spark, path)
+    table = _present(spark, path, versions.last(spark, store))
+    by_month: dict[str, list[str]] = {}
+    for folder in table.folders:
+        by_month.setdefault(folder.rpartition("/")[2], []).append(folder)
+    scattered = sorted(month for month, folders in by_month.items() if len(folders) > most)
+    if not scattered:
+        return []
+    old = [folder for month in scattered for folder in by_month[month]]
+    written = write_months(read_months(spark, path, Table(dict.fromkeys(old)), MART_TABLES[name]), path, name)
+
+    def change(latest: Version) -> dict[str, Table]:
+        present = latest.tables[own].folders
+        if not set(old) <= set(present):
+            raise versions.Conflict(f"{path} has lost folders that were to be joined: another writer came first")
+        return {own: Table({**{f: n for f, n in present.items() if f not in old}, **written})}
+
+    versions.publish(spark, store, change)
+    return scattered
+
+
 # --- the star schema --------------------------------------------------------
 
 

@@ -198,6 +198,30 @@ def test_a_replacement_that_would_lose_an_append_fails(spark, tmp_path, monkeypa
     assert content(spark, path) == [(1, 20240105, 1), (2, 20240106, 2)]
 
 
+def test_scattered_months_are_joined(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "f")
+    for k in range(3):
+        tables.append_fact(fact(spark, (k, 20240105, k), (k, None, k)), path, "fct_sales")
+    tables.append_fact(fact(spark, (9, 20240305, 9)), path, "fct_sales")
+    before, store = content(spark, path), versions.last
+    march = [f for f in store(spark, path).tables["f"].folders if f.endswith("=202403")]
+    write = tables.write_months
+
+    def meanwhile(*args):
+        written = write(*args)
+        monkeypatch.setattr(tables, "write_months", write)
+        tables.append_fact(fact(spark, (7, 20240107, 7)), path, "fct_sales")
+        return written
+
+    monkeypatch.setattr(tables, "write_months", meanwhile)
+    assert tables.compact_fact(spark, path, "fct_sales") == ["month_key=202401", f"month_key={tables.NO_MONTH}"]
+    assert content(spark, path) == sorted([*before, (7, 20240107, 7)], key=lambda r: [(v is None, str(v)) for v in r])
+    folders = list(store(spark, path).tables["f"].folders)
+    assert march[0] in folders and len(folders) == 4
+    assert tables.compact_fact(spark, path, "fct_sales") == ["month_key=202401"]
+    assert tables.compact_fact(spark, path, "fct_sales") == []
+
+
 def test_an_unfinished_version_is_no_version_and_is_not_passed(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "f")
     monkeypatch.setattr(versions, "PAUSE", 0.01)
