@@ -9,9 +9,10 @@ What goes on is dealt to shards by each text's smallest repeated anchor, so that
 texts with common parts mostly meet; many texts with one anchor are cut into
 several shards. A shard sorts its suffixes (Larsson-Sadakane), takes their
 common prefixes (Kasai), and finds windows that repeat within it. Windows whose
-anchor also occurs in other shards leave it as sorted digests, a digest once for
-each class of equal windows. Ranges of digests then meet: the shards' sorted
-runs are merged, and each shard's digests are looked up by binary search.
+anchor also occurs in other shards leave it as digests, a digest once for each
+class of equal windows. Ranges of digests then meet: they are sorted together,
+and each shard's digests are looked up in those of several shards by binary
+search.
 """
 
 from __future__ import annotations
@@ -40,6 +41,8 @@ from martflow.llm.words import mixed, powers, ragged, text_buffers
 LENGTH = 400
 SHARD_BYTES = 3 << 20
 BATCH_BYTES = 4 << 20
+#: What a window's digest and place take, and how much of it one range of digests holds.
+DIGEST_BYTES, RANGE_BYTES = 24, 64 << 20
 GRAM_BASES = (0x9FB21C651E98DF25, 0xC2B2AE3D27D4EB4F)
 ORDER_BITS = 24
 SEPARATOR = 0xFF
@@ -143,6 +146,17 @@ def covered(starts: np.ndarray, length: int, n: int) -> np.ndarray:
     return np.cumsum(edges[:-1]) > 0
 
 
+def steps(values: np.ndarray) -> bytes:
+    """Numbers that mostly rise by little, as the bytes of their steps, byte by byte of equal weight: easily compressed."""
+    taken = np.diff(values, prepend=0).astype("<i8")
+    return np.ascontiguousarray(taken.view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def from_steps(data: bytes) -> np.ndarray:
+    taken = np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(8, -1).T)
+    return np.cumsum(taken.view("<i8").ravel())
+
+
 FOUND = "row long, text string, starts binary, shard long, bucket int, high binary, low binary, rows binary, places binary"
 
 
@@ -211,20 +225,21 @@ def _shard(length: int, buckets: int):
         # One window of each class that other shards may have; its place only if it does not repeat here.
         sent = order[(asked & whole)[order]]
         of = group[(asked & whole)[order]]
-        sent = sent[np.unique(of, return_index=True)[1]]
+        sent = np.sort(sent[np.unique(of, return_index=True)[1]])
         if len(sent):
             high, low = (string_hashes(data, sent, length, base) for base in GRAM_BASES)
-            by_digest = np.lexsort((low, high))
-            sent, high, low = sent[by_digest], high[by_digest], low[by_digest]
             own, places = located(sent)
-            known = np.where(repeated[sent], -1, rows[own])
+            # In the order of the texts, so that places take few bytes; whether a window repeats here is their last bit.
+            places = places * 2 + repeated[sent]
             bucket = (high >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
-            limits = np.searchsorted(bucket, np.arange(buckets + 1))
+            by_bucket = np.argsort(bucket, kind="stable")
+            limits = np.searchsorted(bucket[by_bucket], np.arange(buckets + 1))
             for b in np.flatnonzero(np.diff(limits)):
-                part = slice(limits[b], limits[b + 1])
-                values = (None, None, None, shard, int(b), high[part], low[part], known[part].astype("<i8"), places[part].astype("<i4"))
+                part = by_bucket[limits[b] : limits[b + 1]]
+                digests = high[part].tobytes(), low[part].tobytes()
+                values = (None, None, None, shard, int(b), *digests, steps(rows[own[part]]), steps(places[part]))
                 for name, value in zip(out, values, strict=True):
-                    out[name].append(value.tobytes() if isinstance(value, np.ndarray) else value)
+                    out[name].append(value)
         kinds = [pa.int64(), pa.string(), pa.binary(), pa.int64(), pa.int32(), *[pa.binary()] * 4]
         return pa.table([pa.array(v, type=t) for v, t in zip(out.values(), kinds, strict=True)], names=list(out))
 
@@ -233,10 +248,8 @@ def _shard(length: int, buckets: int):
 
 def _merge(table: pa.Table) -> pa.Table:
     """Of one range of digests, those that several shards have: (row, start) of the windows that wait for them."""
-    columns = {
-        name: [np.frombuffer(b, dtype=kind) for b in table.column(name).to_pylist()]
-        for name, kind in (("high", "<u8"), ("low", "<u8"), ("rows", "<i8"), ("places", "<i4"))
-    }
+    columns = {name: [np.frombuffer(b, dtype="<u8") for b in table.column(name).to_pylist()] for name in ("high", "low")}
+    columns |= {name: [from_steps(b) for b in table.column(name).to_pylist()] for name in ("rows", "places")}
     high, low = np.concatenate(columns["high"]), np.concatenate(columns["low"])
     order = np.lexsort((low, high))
     same = (high[order[1:]] == high[order[:-1]]) & (low[order[1:]] == low[order[:-1]])
@@ -247,12 +260,12 @@ def _merge(table: pa.Table) -> pa.Table:
     rows, places = [], []
     start = 0
     for run, own, place in zip(columns["high"], columns["rows"], columns["places"], strict=True):
-        # Each shard's sorted run against the merged digests of several shards.
+        # Each shard's digests against the merged ones of several shards.
         at = np.searchsorted(shared, run)
         met = (at < len(shared)) & (shared[np.minimum(at, len(shared) - 1)] == run) if len(shared) else np.zeros(len(run), bool)
-        met &= several[start : start + len(run)] & (own >= 0)
+        met &= several[start : start + len(run)] & (place & 1 == 0)
         rows.append(own[met])
-        places.append(place[met])
+        places.append(place[met] >> 1)
         start += len(run)
     rows, places = np.concatenate(rows), np.concatenate(places)
     order = np.argsort(rows, kind="stable")
@@ -336,7 +349,10 @@ def _repeats(texts: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BY
     marks = own.groupBy("mark").agg(F.sum("weight").alias("total")).withColumn(
         "parts", F.ceil(F.col("total") / F.lit(shard_bytes)).cast("int")
     )
-    packs = max(1, -(-(marks.filter("parts = 1").agg(F.sum("total")).first()[0] or 0) // shard_bytes))
+    small, every = marks.agg(F.sum(F.when(F.col("parts") == 1, F.col("total"))), F.sum("total")).first()
+    packs = max(1, -(-(small or 0) // shard_bytes))
+    # A window has at most one digest, so a range of digests has a bound whatever the corpus weighs.
+    buckets = max(shuffle_partitions(spark), -(-(every or 0) * DIGEST_BYTES // RANGE_BYTES))
     dealt = stored(
         own.join(marks, "mark").select(
             "row",
@@ -362,7 +378,6 @@ def _repeats(texts: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BY
             F.collect_list(F.struct("first", "last", F.col("met").isNotNull().alias("cross"))).alias("windows"),
         )
     )
-    buckets = shuffle_partitions(spark)
     windows = stored(windows, "windows")
     found = stored(
         only_rows(texts.select("row", "text"), windows.select("row"))
@@ -402,7 +417,12 @@ def _repeats(texts: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BY
 
 
 def remove_repeats(docs: DataFrame, **settings) -> DataFrame:
-    """``docs`` with repeated strings cut out of the texts; rows of which nothing is left go."""
+    """``docs`` with repeated strings cut out of the texts; rows of which nothing is left go.
+
+    All columns are kept, whatever their names. Rows whose text is null, empty or
+    shorter than ``length`` have no such string and stay as they are; copies of a
+    longer text go, all of them. An empty table stays empty.
+    """
     rows = with_rows(packed(docs, "text"), "texts")
     found = _repeats(rows.select("row", F.col("_kept.doc_id").cast("long").alias("doc_id"), "text"), **settings)
     changed = stored(found.filter("n_removed > 0").select("row", "kept_text"), "kept-texts")
