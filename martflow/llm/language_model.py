@@ -31,6 +31,7 @@ from martflow.llm.elias_fano import Trie
 from martflow.llm.words import VISIBLE, Words, mixed
 
 STRENGTH = 32.0
+MOST_WORDS = 1 << 32
 BLOCK_BYTES = 8 << 20
 PART_BYTES = 8 << 20
 #: Codes 1 to 255 stand for log10 values from LOWEST to 0; 0 for a pair that is not there.
@@ -147,8 +148,26 @@ ANSWERS = (
 )
 
 
+def _hottest(tokens: int, shards: int):
+    """Of each part's most frequent words those with more than a shard's share of the corpus' tokens."""
+
+    def pick(batches):
+        for batch in batches:
+            rows = batch.to_pylist()
+            for row in rows:
+                hot, totals = (np.frombuffer(row[name], dtype="<i8") for name in ("hot", "hot_totals"))
+                wanted = totals * shards > tokens
+                row["hot"], row["hot_totals"] = hot[wanted].tobytes(), totals[wanted].tobytes()
+            yield pa.RecordBatch.from_pylist(rows, schema=batch.schema)
+
+    return pick
+
+
 def _count_words(hot_share: float):
-    """Total counts of one part's words. A first row with no block has the part's sums and most frequent words."""
+    """Total counts of one part's words. A first row with no block has the part's sums and most frequent words.
+
+    A word with a share of the corpus' tokens has at least that share of its part's.
+    """
 
     def count(table: pa.Table) -> pa.Table:
         part = table.column("part")[0].as_py()
@@ -156,7 +175,6 @@ def _count_words(hot_share: float):
         counts = np.concatenate([restored_array(b, "<u4") for b in table.column("counts").to_pylist()])
         words, at = np.unique(np.concatenate(sent), return_inverse=True)
         totals = np.bincount(at, weights=counts, minlength=len(words)).astype(np.int64)
-        # At most 1 / hot_share of the part's words hold more than that share of its tokens.
         hot = np.flatnonzero(totals > max(hot_share * totals.sum(), 1))
         sums = (len(words), int((totals > 0).sum()), int(totals.sum()))
         rows = [(None, part, None, None, *sums, hot.astype("<i8").tobytes(), totals[hot].astype("<i8").tobytes())]
@@ -388,8 +406,12 @@ def score_texts(docs: DataFrame, held_bucket: int = 1, buckets: int = 5, part_by
         blocks.mapInArrow(_send_words(parts), WORD_ROWS).groupBy("part").applyInArrow(_count_words(1 / shards), ANSWERS),
         "word-counts",
     )
-    # A row for each part, with at most as many words in all as there are parts and shards.
-    sums = answers.filter("block is null").select("part", "words", "known", "tokens", "hot", "hot_totals").collect()
+    # A row for each part, with at most as many words in all as there are shards.
+    heads = answers.filter("block is null").select("part", "words", "known", "tokens", "hot", "hot_totals")
+    words, tokens = heads.agg(F.coalesce(F.sum("words"), F.lit(0)), F.coalesce(F.sum("tokens"), F.lit(0))).first()
+    if words >= MOST_WORDS:
+        raise ValueError(f"{words} distinct words: more than a word's number of 32 bits can tell")
+    sums = heads.mapInArrow(_hottest(tokens, shards), heads.schema).collect()
     vocabulary = spark.sparkContext.broadcast(Vocabulary(sums, parts, shards))
     replies = answers.filter("block is not null").select("block", "part", "totals", "numbers")
     # Hashes are not read again: answers come in the order of the words.
