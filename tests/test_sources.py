@@ -1,9 +1,12 @@
+from types import SimpleNamespace
+
 import pytest
 
 from martflow.operators import files
 from martflow.schemas import SOURCE_TABLES
 from martflow.session import prepare, scratch_dir
 from martflow.sources import jdbc, model
+from martflow.sources.csv import read_csv, write_csv
 
 
 def test_split_reads_name_their_bounds():
@@ -79,6 +82,17 @@ def test_scratch_folder_may_be_given_and_is_shared(spark, monkeypatch):
     assert scratch_dir(spark, "s3a://bucket/x") == "s3a://bucket/x"
 
 
+def test_folders_that_the_session_names_are_shared_by_its_cluster(spark, monkeypatch):
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    assert scratch_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    conf = {"spark.sql.warehouse.dir": "file:/mounted/warehouse/"}
+    assert scratch_dir(SimpleNamespace(conf=conf, sparkContext=context)) == "file:/mounted/warehouse/scratch"
+    path = f"{scratch_dir(spark)}/shared-by-a-cluster"
+    write_csv(spark.range(3), path)
+    assert read_csv(spark, path, spark.range(3).schema).count() == 3
+
+
 def test_prepare_fits_a_session_to_large_inputs(spark, monkeypatch):
     name = "spark.sql.shuffle.partitions"
     before = spark.conf.get(name)
