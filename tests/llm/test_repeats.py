@@ -109,6 +109,17 @@ def test_repeat_behind_16_mib(spark, tmp_path):
     assert got == {0: (len(whole), 400, 1), 1: (414, 400, 1)}
 
 
+def test_a_repeated_passage_takes_eight_bytes(spark, tmp_path, monkeypatch):
+    whole, _ = long_text(30_000)
+    docs = saved(spark, documents(spark, ["A" + whole, "B" + whole + "C", whole[:9_000] + "D" + whole[9_000:]]), tmp_path)
+    kept, write = {}, repeats_module.stored
+    monkeypatch.setattr(repeats_module, "stored", lambda df, name, *how: kept.setdefault(name, write(df, name, *how)))
+    got = {r.doc_id: (r.n_removed, r.n_spans) for r in find_repeats(docs).collect()}
+    assert got == {0: (30_000, 1), 1: (30_000, 1), 2: (30_000, 2)}
+    spans = [r.spans for r in kept["found"].filter("bucket is null").orderBy("row").collect()]
+    assert [np.frombuffer(s, dtype="<i4").tolist() for s in spans] == [[1, 29_601], [1, 29_601], [0, 9_001, 8_600, 29_601]]
+
+
 def test_empty_table(spark, tmp_path):
     docs = saved(spark, documents(spark, []), tmp_path)
     assert find_repeats(docs).count() == 0 and remove_repeats(docs).count() == 0
