@@ -120,6 +120,26 @@ def test_a_repeated_passage_takes_eight_bytes(spark, tmp_path, monkeypatch):
     assert [np.frombuffer(s, dtype="<i4").tolist() for s in spans] == [[1, 29_601], [1, 29_601], [0, 9_001, 8_600, 29_601]]
 
 
+def test_copies_go_without_an_exchange_of_anchors_by_text(spark, tmp_path, monkeypatch):
+    docs = saved(spark, documents(spark, mixtures(3)), tmp_path)
+    wanted = expected(docs.collect(), 40)
+    plans, write = {}, repeats_module.stored
+
+    def seen(df, name, *how):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name, *how)
+
+    monkeypatch.setattr(repeats_module, "stored", seen)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert rows_of(find_repeats(docs, length=40), *COLUMNS) == wanted
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    for name in ("common", "repeated-anchors"):
+        assert "hashpartitioning(anchor" in plans[name] and "hashpartitioning(row" not in plans[name]
+
+
 def test_empty_table(spark, tmp_path):
     docs = saved(spark, documents(spark, []), tmp_path)
     assert find_repeats(docs).count() == 0 and remove_repeats(docs).count() == 0
